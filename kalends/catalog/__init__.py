@@ -9,7 +9,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 _MODULES = (
-    "functions",
+    "functions", "checks", "joins",
 
 )
 
