@@ -9,7 +9,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 _MODULES = (
-    "functions", "checks", "joins",
+    "functions", "checks", "joins", "aggregates", "indices", "windows",
 
 )
 
