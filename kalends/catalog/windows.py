@@ -15,7 +15,7 @@ from kalends.sources.tables import MONEY, table
 
 # anchors: the first month and every month divisible by five; other months only have a rate
 base.add("chain_grid", """
-    SELECT economy, category, period, CASE WHEN period = '1995-01' OR CAST(substr(period, 6, 2) AS INTEGER) % 5 = 0 THEN unit_price / 7 END AS anchor,
+    SELECT economy, category, period, CASE WHEN period = '1995-01' OR CAST(substr(period, 6, 2) AS INTEGER) % 5 = 0 THEN unit_price / 7.13 END AS anchor,
            rate / 10 AS central_rate, rate / 10 - 0.01 AS lower_rate, rate / 10 + 0.01 AS upper_rate FROM rates""", "rates")
 
 
@@ -29,7 +29,7 @@ base.add("chain_grid", """
 def chain_link(spark, sf_dir):
     rates = joins.monthly_rates(tables.observations(spark, sf_dir), ["economy", "category"], "unit_price")
     anchored = (F.col("period") == "1995-01") | (F.substring("period", 6, 2).cast("int") % 5 == 0)
-    grid = rates.select("economy", "category", "period", F.when(anchored, F.col("unit_price") / 7).alias("anchor"), (F.col("rate") / 10).alias("central_rate"),
+    grid = rates.select("economy", "category", "period", F.when(anchored, F.col("unit_price") / 7.13).alias("anchor"), (F.col("rate") / 10).alias("central_rate"),
                         (F.col("rate") / 10 - 0.01).alias("lower_rate"), (F.col("rate") / 10 + 0.01).alias("upper_rate"))
     return windows.chain_link(grid).select("economy", "category", "period", *[r(F.col(c), 4).alias(c) for c in ("central", "lower", "upper")])
 
