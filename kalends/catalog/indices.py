@@ -54,11 +54,11 @@ def definitions(spark, sf_dir):
 
 def series_observations(spark, sf_dir):
     """Unit price per series and month. Supplier-category sums are made once and summed again for the headline."""
-    sums = cut(tables.lines(spark, sf_dir).groupBy("l_suppkey", "category", "period").agg(F.sum("amount").alias("amount"), F.sum("units").alias("units")))
+    sums = cut(tables.lines(spark, sf_dir).groupBy("l_suppkey", "category", "month").agg(F.sum("amount").alias("amount"), F.sum("units").alias("units")))
     key = F.col("l_suppkey")
-    price = lambda amount, units: amount.cast("double") / units.cast("double")
-    own = sums.filter(key % 5 < 3).select(F.concat(F.lit("C"), key, F.lit("_"), "category").alias("series_id"), "period", price(F.col("amount"), F.col("units")).alias("value"))
-    headline = sums.filter(key % 5 != 3).groupBy(F.concat(F.lit("H"), key).alias("series_id"), "period").agg(price(F.sum("amount"), F.sum("units")).alias("value"))
+    own = sums.filter(key % 5 < 3).withColumn("series_id", F.concat(F.lit("C"), key, F.lit("_"), "category"))
+    headline = sums.filter(key % 5 != 3).withColumn("series_id", F.concat(F.lit("H"), key))
+    own, headline = (tables.priced(df, "series_id").select("series_id", "period", F.col("unit_price").alias("value")) for df in (own, headline))
     return own.unionByName(headline)
 
 

@@ -15,14 +15,35 @@ MONEY = "decimal(18,2)"
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
+# Column types of the driver's tables; a given schema saves the footer-reading job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def month_of(col: Column) -> Column:
     return F.date_format(col, "yyyy-MM")
 
 
+def cents(col: Column) -> Column:
+    """Money or quantity with two decimals as an exact long: cheap to sum and independent of row order."""
+    return F.round(col * 100).cast("long")
+
+
 def economies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """economy_key, economy, region."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
@@ -31,37 +52,50 @@ def economies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with its economy, category, month and exact money amounts."""
+def lines(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+    """One row per line item with its economy, category, month number and exact amounts in hundredths.
+
+    The date bound is put on the scan, so it is pushed down. Months stay integers until rows are grouped.
+    """
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     where = supplier.join(economies(spark, sf_dir), F.col("s_nationkey") == F.col("economy_key"))
     what = table(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_type").alias("category"), F.col("p_brand").alias("brand")
     )
+    scan = table(spark, sf_dir, "lineitem")
+    if before is not None:
+        scan = scan.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     return (
-        table(spark, sf_dir, "lineitem")
-        .select(
+        scan.select(
             "l_suppkey", "l_partkey",
-            month_of(F.col("l_shipdate")).alias("period"),
-            F.col("l_extendedprice").cast(MONEY).alias("amount"),
-            F.col("l_quantity").cast(MONEY).alias("units"),
+            (F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1).alias("month"),
+            cents(F.col("l_extendedprice")).alias("amount"),
+            cents(F.col("l_quantity")).alias("units"),
             F.col("l_returnflag").alias("flag"),
         )
         .join(where, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(what, F.col("l_partkey") == F.col("p_partkey"))
-        .select("l_suppkey", "economy", "region", "category", "brand", "period", "amount", "units", "flag")
+        .select("l_suppkey", "economy", "region", "category", "brand", "month", "amount", "units", "flag")
     )
 
 
+def period_of(month: Column) -> Column:
+    """``yyyy-MM`` of a month number (year x 12 + month - 1)."""
+    return F.concat_ws("-", F.floor(month / 12).cast("string"), F.lpad((month % 12 + 1).cast("string"), 2, "0"))
+
+
 def priced(df: DataFrame, *keys: str) -> DataFrame:
-    """Sum exact amounts per key; the unit price is value over quantity."""
+    """Sum exact amounts per key and month; the unit price is value over quantity."""
+    plain = lambda name: F.sum(name).cast("double") / 100.0
     return (
-        df.groupBy(*keys)
-        .agg(F.sum("amount").cast("double").alias("value"), F.sum("units").cast("double").alias("quantity"))
-        .withColumn("unit_price", F.col("value") / F.col("quantity"))
+        df.groupBy(*keys, "month").agg(plain("amount").alias("value"), plain("units").alias("quantity"))
+        .select(*keys, period_of(F.col("month")).alias("period"), "value", "quantity", (F.col("value") / F.col("quantity")).alias("unit_price"))
     )
 
 
+FULL_MONTHS_BEFORE = "2001-11-01"
+
+
 def observations(spark: SparkSession, sf_dir: str, *, by: str = "economy", category: str = "category",
                  first_vintage: bool = False) -> DataFrame:
     """economy, category, period, value, quantity, unit_price.
@@ -69,14 +103,14 @@ def observations(spark: SparkSession, sf_dir: str, *, by: str = "economy", categ
     ``by='region'`` gives the dense panel (regions as economies, full months only);
     ``first_vintage`` leaves out returned lines, as a first publication would.
     """
-    rows = lines(spark, sf_dir)
+    rows = lines(spark, sf_dir, FULL_MONTHS_BEFORE if by == "region" else None)
     if by == "region":
-        rows = rows.drop("economy").withColumnRenamed("region", "economy").filter(F.col("period") <= "2001-10")
+        rows = rows.drop("economy").withColumnRenamed("region", "economy")
     if category != "category":
         rows = rows.drop("category").withColumnRenamed(category, "category")
     if first_vintage:
         rows = rows.filter(F.col("flag") != "R")
-    return priced(rows, "economy", "category", "period")
+    return priced(rows, "economy", "category")
 
 
 def headline_of(obs: DataFrame) -> DataFrame:
