@@ -52,10 +52,10 @@ def economies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lines(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str, before: str | None = None, since: str | None = None) -> DataFrame:
     """One row per line item with its economy, category, month number and exact amounts in hundredths.
 
-    The date bound is put on the scan, so it is pushed down. Months stay integers until rows are grouped.
+    The date bounds are put on the scan, so they are pushed down. Months stay integers until rows are grouped.
     """
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     where = supplier.join(economies(spark, sf_dir), F.col("s_nationkey") == F.col("economy_key"))
@@ -65,6 +65,8 @@ def lines(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFr
     scan = table(spark, sf_dir, "lineitem")
     if before is not None:
         scan = scan.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
+    if since is not None:
+        scan = scan.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
     return (
         scan.select(
             "l_suppkey", "l_partkey",
