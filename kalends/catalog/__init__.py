@@ -9,7 +9,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 _MODULES = (
-    "functions", "checks", "joins", "aggregates", "indices", "windows", "completion", "backtest", "vintage", "forecast", "weights",
+    "functions", "checks", "joins", "aggregates", "indices", "windows", "completion", "backtest", "vintage", "forecast", "weights", "ingest", "audit",
 
 )
 

@@ -154,12 +154,12 @@ def history_residuals(spark, sf_dir):
 
 
 @query("as_of_panel", sql("""
-    SELECT economy, category, period, strftime(release_date, '%Y-%m-%d') AS release_date, round(unit_price, 6) AS unit_price
+    SELECT economy, category, period, strftime(release_date, '%Y-%m-%d') AS release_date, unit_price
     FROM robs JOIN calendar USING (period) WHERE release_date <= DATE '1999-03-20'""", "robs", "calendar"))
 def as_of_panel(spark, sf_dir):
     obs = cut(tables.observations(spark, sf_dir, by="region"))
     seen = joins.as_of_panel(obs, tables.release_calendar(obs), "1999-03-20")
-    return seen.select("economy", "category", "period", F.date_format("release_date", "yyyy-MM-dd").alias("release_date"), r(F.col("unit_price")).alias("unit_price"))
+    return seen.select("economy", "category", "period", F.date_format("release_date", "yyyy-MM-dd").alias("release_date"), "unit_price")
 
 
 base.add("pairs_months", """

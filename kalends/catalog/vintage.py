@@ -26,12 +26,12 @@ def first_panel(spark, sf_dir):
 
 
 @query("publication_availability", sql(f"""
-    SELECT economy, period, {rnd('unit_price')} AS unit_price, strftime(release_date, '%Y-%m-%d') AS release_date, date_diff('day', last_day(CAST(period || '-01' AS DATE)), release_date)::INTEGER AS lag_days
+    SELECT economy, period, unit_price, strftime(release_date, '%Y-%m-%d') AS release_date, date_diff('day', last_day(CAST(period || '-01' AS DATE)), release_date)::INTEGER AS lag_days
     FROM rheadline JOIN calendar USING (period)""", "rheadline", "calendar"))
 def publication_availability(spark, sf_dir):
     obs = cut(tables.observations(spark, sf_dir, by="region"))
     rows = vintage.publication_availability(tables.headline_of(obs), tables.release_calendar(obs))
-    return rounded(rows, unit_price=6).withColumn("release_date", F.date_format("release_date", "yyyy-MM-dd"))
+    return rows.withColumn("release_date", F.date_format("release_date", "yyyy-MM-dd"))
 
 
 def _base_year(source, keys):
