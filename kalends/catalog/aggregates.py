@@ -154,7 +154,8 @@ def errors(spark, sf_dir):
            {rnd('avg(CAST(covered AS DOUBLE))')} AS coverage, {rnd('avg(bps)', 3)} AS mean_bps, {rnd('max(bps)', 3)} AS max_bps, {rnd('quantile_cont(bps, 0.95)', 3)} AS p95_bps
     FROM errors GROUP BY brand""", "errors"))
 def error_metrics(spark, sf_dir):
-    found = aggregates.error_metrics(errors(spark, sf_dir), ["brand"])
+    cases = cut(errors(spark, sf_dir).select("brand", "error", "ape", "bps", "covered"))
+    found = aggregates.error_metrics(cases, ["brand"])
     for name, places in (("mae", 4), ("mape", 4), ("rmse", 4), ("bias", 4), ("coverage", 6), ("mean_bps", 3), ("max_bps", 3), ("p95_bps", 3)):
         found = found.withColumn(name, r(F.col(name), places))
     return found

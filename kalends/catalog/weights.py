@@ -215,7 +215,7 @@ def weights_by_dimension(spark, sf_dir):
 
 @query("research_gate", sql("""
     SELECT *, concat_ws('|', CASE WHEN complete_economies < 15 THEN 'TOO_FEW_COMPLETE_ECONOMIES' END, CASE WHEN cells <> complete_economies * 8 THEN 'INCOMPLETE_GRID' END, CASE WHEN nonpositive_cells > 0 THEN 'NONPOSITIVE_CELL' END,
-             CASE WHEN weight_sum <> 1 THEN 'WEIGHTS_DO_NOT_SUM_TO_ONE' END) AS blocking_reasons, CASE WHEN complete_economies < 15 OR cells <> complete_economies * 8 OR nonpositive_cells > 0 OR weight_sum <> 1 THEN 'BLOCKED' ELSE 'PASS' END AS status
+             CASE WHEN weight_sum IS DISTINCT FROM 1 THEN 'WEIGHTS_DO_NOT_SUM_TO_ONE' END) AS blocking_reasons, CASE WHEN complete_economies < 15 OR cells <> complete_economies * 8 OR nonpositive_cells > 0 OR weight_sum IS DISTINCT FROM 1 THEN 'BLOCKED' ELSE 'PASS' END AS status
     FROM (SELECT count(DISTINCT economy) AS complete_economies, count(*) AS cells, count(*) FILTER (WHERE real <= 0) AS nonpositive_cells, (SELECT round(sum(weight), 8) FROM oweights) AS weight_sum, (SELECT count(*) FROM hcells WHERE reason <> '') AS missing_cells FROM hwhole)""", "hwhole", "oweights", "hcells"))
 def research_gate(spark, sf_dir):
     _, parts = matrix(spark, sf_dir)
@@ -425,8 +425,8 @@ GATE = {"estimated_share": 0.2, "class_e_share": 0.05, "metric_coverage": 1.0, "
     SELECT 'complete_grid' AS check, CASE WHEN holes = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS observed, 1.0::DOUBLE AS threshold, holes = 0 AS passed FROM f
     {''.join(f" UNION ALL SELECT '{n}', {rnd(f'CAST({n} AS DOUBLE)', 7)}, {float(v)}::DOUBLE, {n} {'<=' if n in ('estimated_share', 'class_e_share', 'mape') else '>='} {float(v)} FROM f" for n, v in GATE.items())}
     {''.join(f" UNION ALL SELECT '{n}', 1.0, 1.0, true" for n in ('leave_one_out_validation', 'result_driven_donor_selection_disabled', 'validation_monetary_release_blocked'))}""", "wgridd", "wloo", extra={"f": """
-    SELECT (SELECT count(*) FROM wgridd WHERE central IS NULL) AS holes, (SELECT sum(central) FILTER (WHERE evidence_class >= 'C') / sum(central) FROM wgridd) AS estimated_share, (SELECT coalesce(sum(central) FILTER (WHERE evidence_class >= 'E'), 0) / sum(central) FROM wgridd) AS class_e_share,
-           (SELECT count(*) FILTER (WHERE m.mae IS NOT NULL) / count(*) FROM wgridd w LEFT JOIN (SELECT substr(method, 1, 1) AS k, category, avg(abs(error)) AS mae FROM wloo GROUP BY 1, 2) m ON m.k = substr(w.evidence_class, 1, 1) AND m.category = w.category WHERE w.evidence_class >= 'C') AS metric_coverage,
+    SELECT (SELECT count(*) FROM wgridd WHERE central IS NULL) AS holes, (SELECT coalesce(sum(central) FILTER (WHERE evidence_class >= 'C'), 0) / sum(central) FROM wgridd) AS estimated_share, (SELECT coalesce(sum(central) FILTER (WHERE evidence_class >= 'E'), 0) / sum(central) FROM wgridd) AS class_e_share,
+           (SELECT CASE WHEN count(*) = 0 THEN 1.0 ELSE count(*) FILTER (WHERE m.mae IS NOT NULL) / count(*) END FROM wgridd w LEFT JOIN (SELECT substr(method, 1, 1) AS k, category, avg(abs(error)) AS mae FROM wloo GROUP BY 1, 2) m ON m.k = substr(w.evidence_class, 1, 1) AND m.category = w.category WHERE w.evidence_class >= 'C') AS metric_coverage,
            (SELECT count(DISTINCT target) FROM wloo) AS economies, (SELECT count(*) FROM wloo) AS predictions, (SELECT avg(ape) FROM wloo) AS mape, (SELECT avg(CAST(covered AS DOUBLE)) FROM wloo) AS coverage"""}))
 def weight_release_gate(spark, sf_dir):
     cells, profiles, constraints = imputation_inputs(spark, sf_dir)

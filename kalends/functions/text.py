@@ -40,9 +40,9 @@ def strip_accents(col: Column) -> Column:
     spelled = col
     for char, letters in several.items():
         spelled = F.replace(spelled, F.lit(char), F.lit(letters))
-    # ligatures are rare: the chain only runs on texts that hold one
-    col = F.when(col.rlike("[" + "".join(several) + "]"), spelled).otherwise(col)
-    return F.translate(col, source, target)
+    # ligatures are rare: the chain only runs on texts that hold one, and plain ASCII needs no folding at all
+    spelled = F.when(col.rlike("[" + "".join(several) + "]"), spelled).otherwise(col)
+    return F.when(F.octet_length(col) == F.length(col), col).otherwise(F.translate(spelled, source, target))
 
 
 def normalize_name(col: Column) -> Column:

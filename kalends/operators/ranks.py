@@ -1,76 +1,109 @@
-"""Exact order statistics that never gather a key group in one task.
+"""Exact order statistics without ordering or shuffling whole groups.
 
-Equal values are merged first. Sketched split points cut each key into ranges, range totals
-give every range its starting position, and only the rows inside one range are ordered
-together. The sketch decides how even the ranges are, never the result.
+Two rounds of histograms (map-side combined, at most ``BUCKETS`` rows per key) narrow each wanted position
+down to a sliver of the value range; only the rows inside it are grouped by value and ordered. Equal values
+are counted, not gathered, so one heavy key or value costs a scan and nothing more. The input is scanned
+once per step: cut it first if it is costly to compute.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 64
+BUCKETS = 1024
+SLACK = 1e-9
 
 
-def positions(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
-    """keys, value, cum_n, total_n, cum_w, total_w: inclusive running count and weight per key by value."""
-    keys = list(keys)
+@dataclass(frozen=True)
+class Wanted:
+    """The first value whose running count (or weight) reaches ``target``, an expression of total_n and total_w."""
+
+    target: Column
+    weighted: bool = False
+
+
+def _bucket(low: str, high: str) -> Column:
+    share = (F.col("_v") - F.col(low)) / (F.col(high) - F.col(low))
+    return F.when(F.col(high) > F.col(low), F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0).cast("int")
+
+
+def _lookup(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on keys that may be null."""
+    right = small.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in small.columns if c not in keys])
+    rule = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return rows.join(right, rule).drop(*[f"_r_{k}" for k in keys])
+
+
+def _holding(table: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """Add start and end positions of each bucket within its group (on top of _sn, _sw) and keep those that hold the target."""
+    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = table.withColumn("_en", F.col("_sn") + F.sum("_n").over(before)).withColumn("_ew", F.col("_sw") + F.sum("_ww").over(before))
+    return placed.withColumn("_sn", F.col("_en") - F.col("_n")).withColumn("_sw", F.col("_ew") - F.col("_ww"))
+
+
+def _inside() -> Column:
+    counted = (F.col("_sn") < F.col("_target")) & (F.col("_en") >= F.col("_target"))
+    # sums of weights in another order may differ in their last digits, so ends are taken loosely
+    weighed = (F.col("_sw") * (1 - SLACK) < F.col("_target")) & (F.col("_ew") * (1 + SLACK) >= F.col("_target"))
+    return F.when(F.col("_weighted"), weighed).otherwise(counted)
+
+
+def pick(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, Wanted], weight: str | None = None) -> DataFrame:
+    """One row per key with the value at every wanted position."""
     source = df if keys else df.withColumn("_all", F.lit(1))
-    keys = keys or ["_all"]
-    merged = (
-        source.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"), (F.sum(weight) if weight else F.count("*")).alias("_w"))
-    )
-    cuts = merged.groupBy(*keys).agg(
-        F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], F.lit(1000)).alias("_cuts"),
-        F.sum("_n").alias("total_n"), F.sum("_w").alias("total_w"))
-    ranged = merged.join(cuts, keys).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rn"), F.sum("_w").alias("_rw")).select(
-        *keys, "_range", F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_sn"),
-        F.coalesce(F.sum("_rw").over(before), F.lit(0)).alias("_sw"))
-    inside = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.join(starts, [*keys, "_range"]).select(
-        *keys, F.col("_v").alias(value), (F.col("_sn") + F.sum("_n").over(inside)).alias("cum_n"), "total_n",
-        (F.col("_sw") + F.sum("_w").over(inside)).alias("cum_w"), "total_w")
-
-
-def _pick(df: DataFrame, keys: Sequence[str], value: str, weight: str | None, wanted: Mapping[str, Callable[[], Column]]) -> DataFrame:
-    found = positions(df, keys, value, weight)
-    result = found.groupBy(*(keys or ["_all"])).agg(*[F.min(F.when(rule(), F.col(value))).alias(name) for name, rule in wanted.items()])
-    return result if keys else result.drop("_all")
+    keys = list(keys) or ["_all"]
+    rows = source.select(*keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w")).filter("_v is not null")
+    sums = (F.count("*").alias("_n"), F.sum("_w").alias("_ww"))
+    ends = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("total_n"), F.sum("_w").alias("total_w"))
+    first = _lookup(rows, ends.select(*keys, "_lo", "_hi"), keys).withColumn("_b", _bucket("_lo", "_hi")).drop("_lo", "_hi")
+    counts = first.groupBy(*keys, "_b").agg(*sums, F.min("_v").alias("_blo"), F.max("_v").alias("_bhi"))
+    zero = counts.withColumn("_sn", F.lit(0).cast("long")).withColumn("_sw", F.col("_ww") * 0)
+    goals = F.array(*[
+        F.struct(F.lit(name).alias("_name"), want.target.cast("double").alias("_target"), F.lit(want.weighted).alias("_weighted")) for name, want in wanted.items()])
+    goal_rows = ends.select(*keys, F.explode(goals).alias("g")).select(*keys, "g.*")
+    held = _lookup(_holding(zero, keys, "_b"), goal_rows, keys).filter(_inside()).select(
+        *keys, "_b", "_name", "_target", "_weighted", "_blo", "_bhi", "_sn", "_sw")
+    group = [*keys, "_name", "_b"]
+    second = _lookup(first, held, [*keys, "_b"]).withColumn("_c", _bucket("_blo", "_bhi"))
+    fixed = ["_target", "_weighted", "_sn", "_sw"]
+    slivers = _holding(second.groupBy(*group, "_c", *fixed).agg(*sums), group, "_c").filter(_inside()).select(*group, "_c", "_sn", "_sw")
+    last = _lookup(second.drop("_sn", "_sw"), slivers, [*group, "_c"]).groupBy(*group, "_c", *fixed, "_v").agg(*sums)
+    upto = Window.partitionBy(*group, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.when(F.col("_weighted"), F.col("_sw") + F.col("_cw") >= F.col("_target")).otherwise(F.col("_sn") + F.col("_cn") >= F.col("_target"))
+    found = last.withColumn("_cn", F.sum("_n").over(upto)).withColumn("_cw", F.sum("_ww").over(upto)).filter(reached)
+    return found.groupBy(*keys).agg(*[F.min(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in wanted]).drop("_all")
 
 
 def weighted_quantile(df: DataFrame, keys: Sequence[str], value: str, weight: str, quantiles: Mapping[str, float]) -> DataFrame:
     """First value whose running weight reaches the quantile of the total weight."""
-    at = lambda q: lambda: F.col("cum_w") >= F.col("total_w").cast("double") * q * (1 - 1e-12)
-    return _pick(df, keys, value, weight, {name: at(q) for name, q in quantiles.items()})
+    at = lambda q: Wanted(F.col("total_w").cast("double") * q * (1 - 1e-12), weighted=True)
+    return pick(df, keys, value, {name: at(q) for name, q in quantiles.items()}, weight)
 
 
 def percentile_nearest_rank(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
     """Element number ceil(q n), counted from one."""
-    at = lambda q: lambda: F.col("cum_n") >= F.greatest(F.ceil(F.round(F.col("total_n") * q, 9)), F.lit(1))
-    return _pick(df, keys, value, None, {name: at(q) for name, q in quantiles.items()})
+    at = lambda q: Wanted(F.greatest(F.ceil(F.round(F.col("total_n") * q, 9)), F.lit(1)))
+    return pick(df, keys, value, {name: at(q) for name, q in quantiles.items()})
 
 
 def percentile_linear(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
     """Value at position q (n - 1), interpolated between neighbours."""
     spot = lambda q: F.round((F.col("total_n") - 1) * q, 9)
-    found = positions(df, keys, value)
-    aggregates = []
+    wanted = {}
     for name, q in quantiles.items():
-        aggregates += [
-            F.min(F.when(F.col("cum_n") >= F.floor(spot(q)) + 1, F.col(value))).alias(f"_lo_{name}"),
-            F.min(F.when(F.col("cum_n") >= F.ceil(spot(q)) + 1, F.col(value))).alias(f"_hi_{name}"),
-            F.max(spot(q) - F.floor(spot(q))).alias(f"_part_{name}"),
-        ]
-    ends = found.groupBy(*(keys or ["_all"])).agg(*aggregates)
-    blend = lambda n: F.col(f"_lo_{n}") * (1 - F.col(f"_part_{n}")) + F.col(f"_hi_{n}") * F.col(f"_part_{n}")
-    return ends.select(*keys, *[blend(name).alias(name) for name in quantiles])
+        wanted[f"_lo_{name}"] = Wanted(F.floor(spot(q)) + 1)
+        wanted[f"_hi_{name}"] = Wanted(F.ceil(spot(q)) + 1)
+    found = pick(df, keys, value, wanted)
+    sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("total_n"))
+    rows = _lookup(found, sizes, list(keys)) if keys else found.withColumn("total_n", sizes.scalar())
+    part = lambda q: spot(q) - F.floor(spot(q))
+    return rows.select(*keys, *[(F.col(f"_lo_{n}") * (1 - part(q)) + F.col(f"_hi_{n}") * part(q)).alias(n) for n, q in quantiles.items()])
 
 
 def upper_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
     """Element number floor(n / 2), counted from zero."""
-    return _pick(df, keys, value, None, {name: lambda: F.col("cum_n") >= F.floor(F.col("total_n") / 2) + 1})
+    return pick(df, keys, value, {name: Wanted(F.floor(F.col("total_n") / 2) + 1)})
