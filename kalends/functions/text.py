@@ -86,7 +86,7 @@ def html_to_text(col: Column) -> Column:
     """Visible text: no script or style bodies, one line break per tag, entities read, blanks squeezed."""
     text = F.regexp_replace(_without_code(col), "<[^>]+>", "\n")
     text = F.regexp_replace(unescape(text), "[ \t]+", " ")
-    return F.replace(text, F.lit(" "), F.lit(" "))
+    return F.replace(text, F.lit("\u00a0"), F.lit(" "))
 
 
 def searchable_text(col: Column) -> Column:
