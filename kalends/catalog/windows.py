@@ -91,9 +91,11 @@ def gap_priority(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("category"))
     key = F.col("n_nationkey")
     nation = table(spark, sf_dir, "nation")
-    supplier = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == key).select("s_suppkey", F.col("n_name").alias("economy"))
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    named = nation.select("n_nationkey", F.col("n_name").alias("economy"))
     held = table(spark, sf_dir, "lineitem").filter((F.col("l_quantity") >= 49) & (F.year("l_shipdate") == 1996))
-    cells = held.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("economy", "category").agg(
+    cells = held.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(part, F.col("l_partkey") == F.col("p_partkey")).join(
+        named, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("economy", "category").agg(
         F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double").alias("real"))
     probe = nation.filter(key % 5 != 4).select(
         F.col("n_name").alias("economy"), F.when(key % 3 == 0, "A_EXACT").when(key % 3 == 1, "B_BRIDGEABLE").otherwise("D_UNAVAILABLE").alias("candidate_class"),
