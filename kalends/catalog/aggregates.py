@@ -114,10 +114,10 @@ def weighted_quantile(spark, sf_dir):
 
 
 @query("percentile_linear", f"""
-    SELECT l_returnflag, l_linestatus, {rnd('quantile_cont(l_extendedprice, 0.5)', 4)} AS median, {rnd('quantile_cont(l_extendedprice, 0.953)', 4)} AS p953 FROM lineitem GROUP BY 1, 2""")
+    SELECT l_returnflag, l_linestatus, {rnd('quantile_cont(l_extendedprice, 0.5)')} AS median, {rnd('quantile_cont(l_extendedprice, 0.953)')} AS p953 FROM lineitem GROUP BY 1, 2""")
 def percentile_linear(spark, sf_dir):
     found = ranks.percentile_linear(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", {"median": 0.5, "p953": 0.953})
-    return found.withColumn("median", r(F.col("median"), 4)).withColumn("p953", r(F.col("p953"), 4))
+    return found.withColumn("median", r(F.col("median"))).withColumn("p953", r(F.col("p953")))
 
 
 @query("percentile_nearest_rank", """
