@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,19 +20,19 @@ def build_session(app: str = "kalends", master: str | None = None, partitions: i
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder so later branches reread it.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and all executors see: the checkpoint folder, else one in the warehouse.
 
-    The folder is the session's ``spark.checkpoint.dir``. A local session without one gets a
-    temporary folder; a cluster without one keeps the lineage, which is slower but safe.
+    ``spark.checkpoint.dir`` is read from the session; the warehouse is shared wherever tables can be saved.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                return df
-            folder = tempfile.mkdtemp(prefix="kalends-checkpoint-")
+        folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder so that later branches reread it instead of computing it again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
