@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from kalends.session import shared_folder
 
@@ -28,3 +33,27 @@ def count_words(text):
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_texts(df: DataFrame, text: str, make, fields: str, step: int = 4 << 20) -> DataFrame:
+    """Append what ``make`` returns for a text to each row of ``df``, without its column ``text``.
+
+    ``make(texts)`` gets a list of texts, null among them, of about ``step`` bytes at most unless one text is longer, and
+    returns a list of values for every one of ``fields`` (DDL). Rows stay in their partitions.
+    """
+    kept = [c for c in df.columns if c != text]
+    schema = StructType([df.schema[c] for c in kept] + StructType.fromDDL(fields).fields)
+    out = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(len(kept))
+            size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // step)) + 1).tolist(), len(size)]
+            for i, j in zip(edges, edges[1:]):
+                made = make(column.slice(i, j - i).to_pylist()) if j > i else [[]] * (len(out) - len(kept))
+                arrays = [batch.column(k).slice(i, j - i).cast(out[k].type) for k in range(len(kept))]
+                arrays += [pa.array(v, out[len(kept) + k].type) for k, v in enumerate(made)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=out)
+
+    return df.select(*kept, text).mapInArrow(run, schema)
