@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import pieces, simhash
+from kalends.llm import pieces, quality, simhash
 
 MODEL = "piece_bpe_32k.model"
 
@@ -46,3 +46,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by subword vectors trained on labelled rows outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
