@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import pieces, quality, simhash
+from kalends.llm import pieces, pseudonyms, quality, simhash
 
 MODEL = "piece_bpe_32k.model"
+#: Only for these queries over made-up documents; real corpora need a secret key of their own.
+PUBLIC_KEY = b"key of the registered query"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +55,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by subword vectors trained on labelled rows outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by keyed pseudonyms of the same format."""
+    out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PUBLIC_KEY)
+    return out.select("doc_id", "text", F.coalesce(F.aggregate(F.map_values("kinds"), F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)).alias("n_pseudonyms"))
