@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import pieces, pseudonyms, quality, simhash
+from kalends.llm import mixture, pieces, pseudonyms, quality, simhash
 
 MODEL = "piece_bpe_32k.model"
 #: Only for these queries over made-up documents; real corpora need a secret key of their own.
@@ -62,3 +62,10 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by keyed pseudonyms of the same format."""
     out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PUBLIC_KEY)
     return out.select("doc_id", "text", F.coalesce(F.aggregate(F.map_values("kinds"), F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)).alias("n_pseudonyms"))
+
+
+@query
+def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources to their target weights takes of every document."""
+    planned = mixture.plan(table(spark, sf_dir, "documents"))
+    return mixture.taken(planned).select("doc_id", "size", "source_size", "target", "taken")
