@@ -115,9 +115,9 @@ def fit(docs: DataFrame, labels: DataFrame, setup: Settings = Settings(), id_col
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(setup.most_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # of a long text, windows over its whole length are enough for training
-    rows = texts.join(known, "id").select("id", "text", "y").toLocalIterator()
-    found = sorted(((r.id, _spread(r.text), r.y) for r in rows), key=lambda r: (r[0], r[1] or ""))
+    # one text for an id: the smallest; of a long text, windows over its whole length are enough for training
+    rows = texts.join(known, "id").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y")).toLocalIterator()
+    found = sorted((r.id, _spread(r.text), r.y) for r in rows)
     return train([(text, y) for _, text, y in found], setup)
 
 
@@ -134,10 +134,10 @@ def held_out(id_col):
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def score(docs: DataFrame, model, setup: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+def score(docs: DataFrame, model, setup: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, *, others: tuple[str, ...] = ()) -> DataFrame:
     """Score every whole text: ``doc_id``, ``held_out``, ``score`` from 0 to 1 and ``predicted`` (1 from the threshold on).
 
-    One row per row of ``docs``, without a shuffle; the model has a fixed size and is broadcast. Texts without words, null
+    One row per row of ``docs`` with the columns ``others`` as they are, without a shuffle; the model has a fixed size and is broadcast. Texts without words, null
     among them, get the score of the intercept. Other columns are not read; labels never are.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -152,6 +152,8 @@ def score(docs: DataFrame, model, setup: Settings = Settings(), id_col: str = "d
             out.append(float(1 / (1 + np.exp(-(bias + total / max(count, 1))))))
         return (out,)
 
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    scored = map_texts(base, "text", make, "score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    base = docs.select(F.col(id_col).alias("doc_id"), *(c for c in others if c != text_col), F.col(text_col).alias("text"), F.col(text_col).alias("_text"))
+    if text_col not in others:
+        base = base.drop("text")
+    scored = map_texts(base, "_text", make, "score double")
+    return scored.select("doc_id", *others, held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

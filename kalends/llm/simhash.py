@@ -134,11 +134,12 @@ def _links(shards: DataFrame, radius: int, most: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096,
+    others: tuple[str, ...] = (),
 ) -> DataFrame:
     """Class of every document whose SimHash fingerprints link at ``radius`` or fewer differing bits.
 
-    Returns ``doc_id``, ``fingerprint`` (long) and ``component_id``, one row per row of ``docs``. Distinct fingerprints
+    Returns ``doc_id``, ``others`` as they are, ``fingerprint`` (long) and ``component_id``, one row per row of ``docs``. Distinct fingerprints
     are dealt into shards, each shard gets a BK-tree, and each member searches its shard's tree; only a spanning
     forest of the links leaves a shard, so output and memory stay linear in its members.
 
@@ -152,8 +153,10 @@ def near_duplicates(
     ``docs`` are not read. An empty table gives an empty result.
     """
     described = _described(shingle, sketch)(F.col("text"))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).select("doc_id", described.alias("d"))
-    base = stored(base.select("doc_id", "d.fp", "d.low") if sketch else base.select("doc_id", "d.fp"), "prints")
+    base = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(f"_{c}") for c in others), F.col(text_col).alias("text"))
+    kept = [f"_{c}" for c in others]
+    base = base.select("doc_id", *kept, described.alias("d"))
+    base = stored(base.select("doc_id", *kept, "d.fp", "d.low") if sketch else base.select("doc_id", *kept, "d.fp"), "prints")
     smallest = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     if sketch:
         shards = base.select("fp", F.explode("low").alias("key")).distinct().select(F.lit(0).alias("t"), "key", "fp")
@@ -164,4 +167,4 @@ def near_duplicates(
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     linked = named.join(names, "label").select("fp", "component_id")
     classes = smallest.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return base.join(classes, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+    return base.join(classes, "fp").select("doc_id", *(F.col(f"_{c}").alias(c) for c in others), F.col("fp").alias("fingerprint"), "component_id")
