@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import chat, mixture, pieces, pseudonyms, quality, simhash
+from kalends.llm import chat, mixture, pieces, pseudonyms, quality, simhash, warc
 
 MODEL = "piece_bpe_32k.model"
 #: Only for these queries over made-up documents; real corpora need a secret key of their own.
@@ -106,3 +106,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("under_loss").cast("long").alias("loss_chars"), F.sha2(F.col("under_loss").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as WARC records with revisits and segments, then read the archives back."""
+    folder = warc.archive_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_pages(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
