@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import chat, mixture, pieces, pseudonyms, quality, simhash, warc
+from kalends.llm import chat, fingerprints, mixture, pieces, pseudonyms, quality, simhash, warc
+from kalends.llm.common import stored
 
 MODEL = "piece_bpe_32k.model"
 #: Only for these queries over made-up documents; real corpora need a secret key of their own.
@@ -114,3 +115,18 @@ def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
     return warc.read_pages(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; for ids divisible by 50 also how many other prints lie within three bits."""
+    found = stored(fingerprints.edited_likeness(table(spark, sf_dir, "documents")), "likeness")
+    asked = found.where("doc_id % 50 = 0")
+    near = fingerprints.within_radius(found, asked).groupBy(F.col("query").alias("fp")).agg(F.count("*").alias("n"))
+    near = asked.select("fp").distinct().join(near, "fp", "left").select("fp", F.coalesce("n", F.lit(0)).alias("prints_within_3"))
+    out = found.join(near, "fp", "left")
+    text = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
+    return out.select(
+        "doc_id", "n_chars", "edited_sha256", text("fp").alias("fingerprint"), text("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
+        F.when(F.col("doc_id") % 50 == 0, F.col("prints_within_3")).alias("prints_within_3"),
+    )
