@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import chat, fingerprints, mixture, pieces, pseudonyms, quality, simhash, warc
+from kalends.llm import chat, fingerprints, mixture, neighbours, pieces, pseudonyms, quality, simhash, warc
 from kalends.llm.common import stored
 
 MODEL = "piece_bpe_32k.model"
@@ -130,3 +130,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", text("fp").alias("fingerprint"), text("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
         F.when(F.col("doc_id") % 50 == 0, F.col("prints_within_3")).alias("prints_within_3"),
     )
+
+
+@query
+def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
