@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import chat, fingerprints, mixture, neighbours, pieces, pseudonyms, quality, simhash, warc
+from kalends.llm import chat, fingerprints, mixture, neighbours, pieces, pseudonyms, quality, simhash, substrings, warc
 from kalends.llm.common import stored
 
 MODEL = "piece_bpe_32k.model"
@@ -137,3 +137,10 @@ def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 35-word windows that occur anywhere else."""
+    left = substrings.without_repeats(table(spark, sf_dir, "documents"), window=35)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
