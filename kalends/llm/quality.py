@@ -76,15 +76,17 @@ def train(rows: list[tuple[str | None, int]], setup: Settings) -> tuple[np.ndarr
     """Fit vectors of buckets and a softmax over their mean by stochastic gradient descent.
 
     The softmax is linear in the mean vector, so a bucket's share of the score is one number: returned are these numbers,
-    class 1 against class 0, and the intercept. Reruns on the same rows agree.
+    class 1 against class 0, and the intercept. Reruns on the same rows agree. Without rows all scores are 0.5.
     """
+    if not rows:
+        return np.zeros(setup.buckets), 0.0
     rng = np.random.default_rng(setup.seed)
     sets = [np.concatenate([np.zeros(0, np.int64), *features(text, setup)]) for text, _ in rows]
     labels = np.array([y for _, y in rows], np.int64)
     vectors = rng.uniform(-1 / setup.dims, 1 / setup.dims, (setup.dims, setup.buckets))
     weights, bias = rng.normal(0, 0.5, (setup.dims, 2)), np.zeros(2)
     parts = max(1, len(rows) // setup.batch)
-    steps = max(setup.epochs * parts, setup.least_steps) if rows else 0
+    steps = max(setup.epochs * parts, setup.least_steps)
     for step in range(steps):
         if step % parts == 0:
             order = np.array_split(rng.permutation(len(rows)), parts)
