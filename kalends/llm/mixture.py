@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kalends.llm.common import WORD, count_words, stored
 
 SEED = 20_240_607
+BROADCAST_ROWS = 50_000  # of the plan, each of some 150 bytes
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -75,13 +76,13 @@ def plan(
     own, null ids and repeated rows count like any other; other columns are not read; an empty table gives an empty result.
     """
     h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    sizes = docs.select(
+    every = docs.select(
         F.col(id_col).alias("doc_id"), *others, F.col(source_col).alias("source_"), count_words(F.col(text_col)).alias("size"), h.alias("h"),
     ).withColumns({
         "key": F.coalesce(F.concat(F.lit("="), F.col("source_").cast("string")), F.lit("")),
         "block": F.shiftrightunsigned("h", 64 - bits).cast("int"), "sub": F.shiftrightunsigned(F.shiftleft("h", bits), 64 - bits).cast("int"),
     })
-    sizes = stored(sizes, "sizes")
+    sizes = stored(every.drop(*others), "sizes")
     blocks = stored(sizes.groupBy("key", "block").agg(F.sum("size").alias("block_size"), F.first("source_").alias("source")), "blocks")
     sources = blocks.groupBy("key").agg(F.first("source").alias("source"), F.sum("block_size").alias("source_size"))
     targets = source_targets(sources, weights, most).withColumn("full", F.when(F.col("source_size") > 0, F.floor(F.col("quota") / F.col("source_size"))).otherwise(0))
@@ -100,12 +101,14 @@ def plan(
     drawn = drawn.agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("units"))  # most + 1 at most
     blocks = blocks.join(drawn, ["key", "block"], "left")
 
-    rows = sizes.join(blocks, ["key", "block"])
+    # the plan has at most ``2 ** bits`` rows for each source; it is broadcast where that is little, so that documents stay where they are
+    small = F.broadcast if blocks.count() <= BROADCAST_ROWS else (lambda df: df)
+    rows = (every if others else sizes).join(small(blocks), ["key", "block"])
     inside = (F.col("block_part") > 0) & (F.col("block_part") < F.col("block_size"))
     within = sizes.join(blocks.where(inside).select("key", "block", F.col("block_part").alias("rest")), ["key", "block"])
     subs = within.groupBy("key", "block", "sub", "rest").agg(F.sum("size").alias("sub_size"))
     subs = _filled(subs, ["key", "block"], F.col("sub"), "sub_size").select("key", "block", "sub", "sub_size", F.col("part").alias("sub_part"))
-    rows = rows.join(subs, ["key", "block", "sub"], "left")
+    rows = rows.join(small(subs), ["key", "block", "sub"], "left")
     split = F.coalesce((F.col("sub_part") > 0) & (F.col("sub_part") < F.col("sub_size")), F.lit(False))
     whole = rows.where(~split).withColumn("part", F.when(F.coalesce("sub_part", "block_part") > 0, F.col("size")).otherwise(0))
     cut = _filled(rows.where(split).withColumn("rest", F.col("sub_part")), ["key", "block", "sub"], F.col("h"), "size")
