@@ -172,7 +172,7 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, graph: np.ndarray, starts
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", *,
-    k: int = 20, shard_rows: int = 5000, block_rows: int = 512, degree: int = 32, build_width: int = 64, width: int = 200, slack: float = 1.2,
+    k: int = 20, shard_rows: int = 20_000, block_rows: int = 512, degree: int = 32, build_width: int = 64, width: int = 200, slack: float = 1.2,
 ) -> DataFrame:
     """The ``k`` rows of ``vectors`` with the largest inner product for each row of ``queries``, approximately.
 
