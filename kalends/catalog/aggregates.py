@@ -217,15 +217,18 @@ def evidence_weight_shares(spark, sf_dir):
 
 
 @query("category_coverage", """
-    WITH h AS (SELECT l_suppkey, list(DISTINCT p_type) AS held FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 49 AND l_discount > 0.08 GROUP BY 1)
+    WITH h AS (SELECT l_suppkey, list(p_type) AS held FROM (SELECT l_suppkey, p_type FROM lineitem JOIN part ON l_partkey = p_partkey
+      GROUP BY 1, 2 HAVING 3 * count(*) FILTER (l_returnflag = 'R') <= count(*)) GROUP BY 1)
     SELECT s_name AS economy, coalesce(len(held), 0)::INTEGER AS available, 6 AS required, coalesce(len(held), 0) = 6 AS complete,
            array_to_string(list_filter(['ECONOMY','LARGE','MEDIUM','PROMO','SMALL','STANDARD'], lambda c: NOT list_contains(coalesce(held, []), c)), '|') AS missing
     FROM supplier LEFT JOIN h ON l_suppkey = s_suppkey""")
 def category_coverage(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("category"))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("economy"))
-    held = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49 and l_discount > 0.08").select("l_suppkey", "l_partkey").join(
-        part, F.col("l_partkey") == F.col("p_partkey")).select("l_suppkey", "category").distinct().join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    # a supplier's category is available unless over a third of its lines came back
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    shares = lines.groupBy("l_suppkey", "category").agg((3 * F.count_if(F.col("l_returnflag") == "R") <= F.count("*")).alias("available"))
+    held = shares.filter("available").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     return aggregates.category_coverage(held, supplier.select("economy"), tables.CATEGORIES)
 
 

@@ -19,7 +19,7 @@ _SUFFIX = (".html", ".json", ".pdf", ".xls", ".zip", ".csv", ".htm")
 @query("content_signature", """
     SELECT page_id AS doc_id, CASE WHEN why = '' THEN 'PASS' ELSE 'FAIL' END AS status, why AS reason FROM (SELECT page_id, CASE WHEN page_id % 40 = 39 THEN 'EMPTY_RESPONSE' WHEN page_id % 30 = 29 THEN 'UNEXPECTED_CONTENT_TYPE:application/xml'
       WHEN page_id % 7 = 2 AND page_id % 3 <> 0 THEN 'INVALID_PDF_SIGNATURE' WHEN page_id % 7 = 3 THEN 'INVALID_XLS_SIGNATURE' WHEN page_id % 7 = 4 AND page_id % 3 <> 2 THEN 'INVALID_ZIP_CONTAINER_SIGNATURE'
-      WHEN page_id % 7 IN (0, 6) AND position('<' IN substr(CASE page_id % 3 WHEN 0 THEN '%PDF-1.7 ' WHEN 1 THEN '  {"a": ' ELSE 'PK' END || html, 1, 512)) = 0 THEN 'INVALID_HTML_SIGNATURE'
+      WHEN page_id % 7 IN (0, 6) AND position('<' IN CASE page_id % 3 WHEN 0 THEN '%PDF-1.7 ' WHEN 1 THEN '  {"a": ' ELSE 'PK' END || html) = 0 THEN 'INVALID_HTML_SIGNATURE'
       WHEN page_id % 7 = 1 AND page_id % 3 <> 1 THEN 'INVALID_JSON_SIGNATURE' ELSE '' END AS why FROM pages)""")
 def content_signature(spark, sf_dir):
     k = F.col("page_id")

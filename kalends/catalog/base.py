@@ -17,27 +17,27 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "robs": (("lines",), """
         SELECT region AS economy, category, period, CAST(sum(amount) AS DOUBLE) AS value, CAST(sum(units) AS DOUBLE) AS quantity,
                CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) AS unit_price
-        FROM lines WHERE period <= '2001-10' GROUP BY region, category, period"""),
+        FROM lines GROUP BY region, category, period"""),
     "fobs": (("lines",), """
         SELECT region AS economy, category, period, CAST(sum(amount) AS DOUBLE) AS value, CAST(sum(units) AS DOUBLE) AS quantity,
                CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) AS unit_price
-        FROM lines WHERE period <= '2001-10' AND flag <> 'R' GROUP BY region, category, period"""),
+        FROM lines WHERE flag <> 'R' GROUP BY region, category, period"""),
     "headline": (("lines",), """
         SELECT economy, period, CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) AS unit_price
         FROM lines GROUP BY economy, period"""),
     "rheadline": (("lines",), """
         SELECT region AS economy, period, CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) AS unit_price
-        FROM lines WHERE period <= '2001-10' GROUP BY region, period"""),
+        FROM lines GROUP BY region, period"""),
     "fheadline": (("lines",), """
         SELECT region AS economy, period, CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) AS unit_price
-        FROM lines WHERE period <= '2001-10' AND flag <> 'R' GROUP BY region, period"""),
+        FROM lines WHERE flag <> 'R' GROUP BY region, period"""),
     "weights": (("lines",), """
         SELECT economy, category, CAST(sum(amount) AS DOUBLE) / (SELECT CAST(sum(amount) AS DOUBLE) FROM lines) AS weight
         FROM lines GROUP BY economy, category"""),
     "rweights": (("lines",), """
         SELECT region AS economy, category,
-               CAST(sum(amount) AS DOUBLE) / (SELECT CAST(sum(amount) AS DOUBLE) FROM lines WHERE period <= '2001-10') AS weight
-        FROM lines WHERE period <= '2001-10' GROUP BY region, category"""),
+               CAST(sum(amount) AS DOUBLE) / (SELECT CAST(sum(amount) AS DOUBLE) FROM lines) AS weight
+        FROM lines GROUP BY region, category"""),
     "rel": (("obs",), """
         SELECT o.economy, o.category, o.period, 100.0 * o.unit_price / b.unit_price AS price_relative
         FROM obs o JOIN obs b ON o.economy = b.economy AND o.category = b.category AND b.period = '1996-01'"""),

@@ -24,10 +24,10 @@ base.add("sdef", f"""
            CASE WHEN s_suppkey % 2 = 0 THEN 'P1_OFFICIAL_CATEGORY' ELSE 'P2_OFFICIAL_AGGREGATE' END AS evidence_class, 1 + s_suppkey % 3 AS source_priority, s_suppkey % 11 <> 0 AS enabled
     FROM supplier JOIN nation ON s_nationkey = n_nationkey, {_TYPES} WHERE s_suppkey % 5 < 3
     UNION ALL SELECT 'H' || s_suppkey, s_suppkey, n_name, NULL, category, CASE s_suppkey % 4 WHEN 2 THEN 'P4_REGIONAL_PROXY' WHEN 3 THEN 'P5_GLOBAL_PROXY' ELSE 'P3_OFFICIAL_HEADLINE' END,
-           1 + s_suppkey % 2, s_suppkey % 11 <> 0 FROM supplier JOIN nation ON s_nationkey = n_nationkey, {_TYPES} WHERE s_suppkey % 5 <> 3""")
+           1 + s_suppkey % 2, s_suppkey % 11 <> 0 FROM supplier JOIN nation ON s_nationkey = n_nationkey, {_TYPES} WHERE s_suppkey % 5 >= 2""")
 base.add("sobs", """
     SELECT 'C' || suppkey || '_' || category AS series_id, period, CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) AS value FROM lines WHERE suppkey % 5 < 3 GROUP BY suppkey, category, period
-    UNION ALL SELECT 'H' || suppkey, period, CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) FROM lines WHERE suppkey % 5 <> 3 GROUP BY suppkey, period""", "lines")
+    UNION ALL SELECT 'H' || suppkey, period, CAST(sum(amount) AS DOUBLE) / CAST(sum(units) AS DOUBLE) FROM lines WHERE suppkey % 5 >= 2 GROUP BY suppkey, period""", "lines")
 base.add("snorm", f"""
     SELECT d.series_id, d.economy, d.target AS category, o.period, 100.0 * o.value / b.value AS price_relative, d.evidence_class, d.source_priority
     FROM sobs o JOIN sobs b ON b.series_id = o.series_id AND b.period = '{REFERENCE}' JOIN sdef d ON d.series_id = o.series_id WHERE d.enabled""", "sobs", "sdef")
@@ -37,7 +37,7 @@ base.add("ssel", """
 
 
 def definitions(spark, sf_dir):
-    """Series registry: one series per supplier and category for some suppliers, one headline series for most."""
+    """Series registry: every supplier has a series per category, a headline series, or both."""
     key = F.col("s_suppkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("economy"))
     supplier = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -45,7 +45,7 @@ def definitions(spark, sf_dir):
     own = supplier.filter(key % 5 < 3).withColumn("own", F.explode(categories)).select(
         F.concat(F.lit("C"), key, F.lit("_"), "own").alias("series_id"), "economy", F.array("own").alias("target_categories"),
         F.when(key % 2 == 0, EVIDENCE_CLASSES[0]).otherwise(EVIDENCE_CLASSES[1]).alias("evidence_class"), (1 + key % 3).alias("source_priority"), (key % 11 != 0).alias("enabled"))
-    headline = supplier.filter(key % 5 != 3).select(
+    headline = supplier.filter(key % 5 >= 2).select(
         F.concat(F.lit("H"), key).alias("series_id"), "economy", categories.alias("target_categories"),
         F.when(key % 4 == 2, EVIDENCE_CLASSES[3]).when(key % 4 == 3, EVIDENCE_CLASSES[4]).otherwise(EVIDENCE_CLASSES[2]).alias("evidence_class"),
         (1 + key % 2).alias("source_priority"), (key % 11 != 0).alias("enabled"))
@@ -57,7 +57,7 @@ def series_observations(spark, sf_dir):
     sums = cut(tables.lines(spark, sf_dir).groupBy("l_suppkey", "category", "month").agg(F.sum("amount").alias("amount"), F.sum("units").alias("units")))
     key = F.col("l_suppkey")
     own = sums.filter(key % 5 < 3).withColumn("series_id", F.concat(F.lit("C"), key, F.lit("_"), "category"))
-    headline = sums.filter(key % 5 != 3).withColumn("series_id", F.concat(F.lit("H"), key))
+    headline = sums.filter(key % 5 >= 2).withColumn("series_id", F.concat(F.lit("H"), key))
     own, headline = (tables.priced(df, "series_id").select("series_id", "period", F.col("unit_price").alias("value")) for df in (own, headline))
     return own.unionByName(headline)
 
@@ -235,7 +235,8 @@ def separated(spark, sf_dir):
     second = region.filter(key == 1).select(F.col("r_name").alias("economy"), F.lit("EUR").alias("currency"), F.lit("1999-07").alias("effective_from"), F.lit("").alias("effective_to"))
     obs = cut(tables.observations(spark, sf_dir, by="region"))
     cells = tables.relatives_of(obs, REFERENCE).join(tables.weights_of(obs), ["economy", "category"])
-    fx = fx_rates(spark, sf_dir).filter(~((F.col("currency") == "C03") & F.col("period").startswith("1998")))
+    gap = (F.col("currency") == "C03") & F.col("period").startswith("1998")  # a year without a published rate
+    fx = fx_rates(spark, sf_dir).withColumn("rate", F.when(~gap, F.col("rate"))).filter("rate is not null")
     return index.fx_separation(cut(cells), first.unionByName(second), fx, REFERENCE)
 
 

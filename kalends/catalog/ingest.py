@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,8 @@ from kalends.catalog.base import rnd, sql
 from kalends.catalog.joins import BRIDGE_SQL, bridge, fx_rates
 from kalends.catalog.weights import DIRECT, PROXY, icp, icp_long, nominal, registry
 from kalends.functions.months import months_between
-from kalends.session import cut
+from kalends.functions.numbers import rnd as r
+from kalends.session import cut, shared_folder
 from kalends.sources import ingest, tables
 from kalends.sources.tables import MONEY, table
 
@@ -190,31 +191,52 @@ def check_structure_conformance(spark, sf_dir):
 
 @query("series_health", """
     SELECT p_partkey AS series_id, CASE WHEN p_size = 7 THEN 404 ELSE 200 END AS http_status, coalesce(n, 0) AS observation_count, CASE WHEN p_size <> 7 AND coalesce(n, 0) > 0 THEN 'OK' ELSE 'FAILED' END AS status
-    FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_quantity > 40 AND l_returnflag = 'R' GROUP BY 1) ON l_partkey = p_partkey""")
+    FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_partkey = p_partkey""")
 def series_health(spark, sf_dir):
     receipts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("series_id"), F.when(F.col("p_size") == 7, 404).otherwise(200).alias("http_status"))
-    obs = table(spark, sf_dir, "lineitem").filter("l_quantity > 40 and l_returnflag = 'R'").select(F.col("l_partkey").alias("series_id"))
+    obs = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("series_id"))
     return ingest.series_health(receipts, obs)
 
 
-@query("audit_file_hashes")
+@query("audit_file_hashes", """
+    WITH h AS (SELECT 'page-' || page_id AS name, sha256(coalesce(html, '')) AS actual, page_id AS k FROM pages),
+      m AS (SELECT name, CASE WHEN k % 7 = 0 THEN repeat('0', 64) WHEN k % 3 = 0 THEN upper(actual) ELSE actual END AS expected FROM h WHERE k % 5 <> 4
+            UNION ALL SELECT name, actual FROM h WHERE k % 11 = 0 UNION ALL SELECT 'gone-' || k, actual FROM h WHERE k % 13 = 0 UNION ALL SELECT '../' || name, actual FROM h WHERE k % 17 = 0),
+      e AS (SELECT name, count(*) AS entries, min(expected) AS expected FROM m GROUP BY 1)
+    SELECT coalesce(e.name, h.name) AS name, CASE WHEN e.name LIKE '%/%' THEN 'UNSAFE_PATH' WHEN entries > 1 THEN 'DUPLICATE' WHEN entries IS NULL THEN 'UNLISTED'
+           WHEN actual IS NULL THEN 'MISSING' WHEN lower(expected) <> actual THEN 'MISMATCH' ELSE 'OK' END AS status FROM e FULL OUTER JOIN h ON e.name = h.name""")
 def audit_file_hashes(spark, sf_dir):
+    """Pages as the files of a bundle, against a manifest with wrong, missing, repeated and unsafe entries."""
+    key = F.col("page_id")
+    hashes = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page-"), key).alias("name"), F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256).alias("actual"), key)
+    stated = F.when(key % 7 == 0, "0" * 64).when(key % 3 == 0, F.upper("actual")).otherwise(F.col("actual"))
+    entries = F.array_compact(F.array(
+        F.when(key % 5 != 4, F.struct("name", stated.alias("expected"))), F.when(key % 11 == 0, F.struct("name", F.col("actual").alias("expected"))),
+        F.when(key % 13 == 0, F.struct(F.concat(F.lit("gone-"), key).alias("name"), F.col("actual").alias("expected"))),
+        F.when(key % 17 == 0, F.struct(F.concat(F.lit("../"), F.col("name")).alias("name"), F.col("actual").alias("expected")))))
+    manifest = hashes.select(F.explode(entries).alias("e")).select("e.*")
+    return ingest.audit_file_hashes(hashes.drop("page_id"), manifest)
+
+
+@query("audit_bundle_files")
+def audit_bundle_files(spark, sf_dir):
+    """The tables' own files against a manifest of their hashes; file bytes are out of SQL's reach."""
     hashes = cut(ingest.file_hashes(spark, sf_dir, "*.parquet"))
     good = hashes.select("name", F.when(F.col("name").startswith("n"), F.lit("0" * 64)).otherwise(F.col("actual")).alias("expected")).filter("name not like 'c%'")
     extra = hashes.groupBy().agg(F.count("*").alias("n")).select(F.explode(F.array(F.lit("gone.parquet"), F.lit("../region.parquet"), F.lit("part.parquet"))).alias("name"), F.lit("1" * 64).alias("expected"))
     return ingest.audit_file_hashes(hashes, good.unionByName(extra))
 
 
-@query("write_tables")
+@query("write_tables", sql(f"SELECT economy, category, period, unit_price, {rnd('weight', 9)} AS weight FROM obs JOIN weights USING (economy, category)", "obs", "weights"))
 def write_tables(spark, sf_dir):
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    folder = f"{shared}/tables-{context.applicationId}-{spark.range(1).select(F.uuid()).first()[0]}" if shared else tempfile.mkdtemp(prefix="kalends-tables-") + "/out"
+    folder = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
     obs = cut(tables.observations(spark, sf_dir))
     ingest.write_tables({
         "weights": (tables.weights_of(obs), ("economy", "category", "weight"), ("economy", "category")),
         "prices": (obs, ("economy", "category", "period", "unit_price"), ("economy", "category", "period"))}, folder)
-    return spark.read.parquet(f"{folder}/prices").join(spark.read.parquet(f"{folder}/weights"), ["economy", "category"])
+    read = spark.read.parquet(f"{folder}/prices").join(spark.read.parquet(f"{folder}/weights"), ["economy", "category"])
+    return read.withColumn("weight", r(F.col("weight"), 9))
 
 
 _HEADING_ROWS = [(h, c) for c, hs in DIRECT.items() for h in hs] + [(h, c) for c, h in PROXY.items()]

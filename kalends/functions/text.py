@@ -2,82 +2,42 @@
 
 from __future__ import annotations
 
-import json
+import html
 import unicodedata
-from functools import lru_cache
-from html.entities import html5
 
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 
-@lru_cache(maxsize=1)
-def _fold_table() -> tuple[str, str, dict[str, str]]:
-    """Characters that fold to one ASCII character, to nothing, and to several characters.
-
-    Built from the Unicode compatibility decomposition of the basic plane.
-    """
-    source, target, dropped, several = [], [], [], {}
-    for code in range(0x80, 0x10000):
-        if 0xD800 <= code <= 0xDFFF:
-            continue
-        char = chr(code)
-        if unicodedata.combining(char):
-            dropped.append(char)
-            continue
-        folded = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if not folded.isascii() or not any(c.isalnum() for c in folded):
-            continue
-        if len(folded) == 1:
-            source.append(char)
-            target.append(folded)
-        elif 0xFB00 <= code <= 0xFB06 or code in (0x2116, 0x2122, 0x132, 0x133, 0x2026):
-            several[char] = folded
-    return "".join(source + dropped), "".join(target), several
+def _each(function):
+    """Arrow function that applies a text function to the texts that are not null."""
+    return F.arrow_udf(lambda texts: pa.array([None if t is None else function(t) for t in texts.to_pylist()], pa.string()), "string")
+
+
+def _folded(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
 def strip_accents(col: Column) -> Column:
-    source, target, several = _fold_table()
-    spelled = col
-    for char, letters in several.items():
-        spelled = F.replace(spelled, F.lit(char), F.lit(letters))
-    # ligatures are rare: the chain only runs on texts that hold one, and plain ASCII needs no folding at all
-    spelled = F.when(col.rlike("[" + "".join(several) + "]"), spelled).otherwise(col)
-    return F.when(F.octet_length(col) == F.length(col), col).otherwise(F.translate(spelled, source, target))
+    """Compatibility decomposition without combining marks. Spark has no such function, so texts beyond ASCII go through Arrow."""
+    return F.coalesce(_each(_folded)(F.when(F.octet_length(col) > F.length(col), col)), col)
 
 
 def normalize_name(col: Column) -> Column:
     """Accent-free lower-case words with single spaces; ``&`` reads "and", ``^{..}`` notes are dropped."""
+    # The patterns of notes and of what parts words.
     text = F.replace(strip_accents(col), F.lit("&"), F.lit(" and "))
     text = F.regexp_replace(text, r"\^\{[^}]+\}", " ")
     return F.lower(F.trim(F.regexp_replace(text, "[^A-Za-z0-9]+", " ")))
 
 
-@lru_cache(maxsize=1)
-def _entities() -> str:
-    return json.dumps({f"&{name}": char for name, char in html5.items() if name.endswith(";")})
-
-
 def unescape(col: Column) -> Column:
-    """Named and numeric character references to characters; ampersands last, so nothing is read twice."""
-    names = F.from_json(F.lit(_entities()), "map<string,string>")
-    tokens = F.array_distinct(F.regexp_extract_all(col, F.lit("(&#?[0-9A-Za-z]+;)"), F.lit(1)))
-
-    def char(token: Column) -> Column:
-        hexed = F.lower(F.substring(token, 3, 1)) == "x"
-        digits = F.when(hexed, F.regexp_extract(token, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1)).otherwise(
-            F.conv(F.regexp_extract(token, "^&#([0-9]{1,7});$", 1), 10, 16)
-        )
-        numeric = F.when(F.length(digits) > 0, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
-        return F.coalesce(F.when(token.startswith("&#"), numeric).otherwise(F.element_at(names, token)), token)
-
-    pairs = F.transform(tokens, lambda t: F.struct((char(t) == "&").alias("last"), t.alias("token"), char(t).alias("char")))
-    replaced = F.aggregate(
-        F.array_sort(pairs), col, lambda text, pair: F.replace(text, pair["token"], pair["char"])
-    )
-    return F.when(col.contains("&"), replaced).otherwise(col)
+    """Character references read once, as HTML 5 does: named ones without a semicolon, and numbers of the C1 range, too."""
+    return F.coalesce(_each(html.unescape)(F.when(col.contains("&"), col)), col)
 
 
 def _without_code(col: Column) -> Column:
+    # The patterns of script and style elements.
     text = F.regexp_replace(col, r"(?is)<script\b[^>]*>.*?</script>", " ")
     return F.regexp_replace(text, r"(?is)<style\b[^>]*>.*?</style>", " ")
 

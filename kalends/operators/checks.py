@@ -128,17 +128,19 @@ def case_metadata_mismatch(cases: DataFrame, fields: Sequence[str]) -> DataFrame
 
 
 def interval_overlaps(assignments: DataFrame) -> DataFrame:
-    """Intervals of one economy that start before an earlier one has ended; an open end is ``9999-12``.
+    """Intervals of one economy that start before an earlier one has ended, each with the earlier one that lasts longest.
 
-    Comparing with the furthest end so far finds a clash whenever any pair overlaps.
+    An open end is ``9999-12``. Comparing with the furthest end so far finds a clash whenever any pair overlaps.
     """
     end = F.when(F.coalesce("effective_to", F.lit("")) == "", "9999-12").otherwise(F.col("effective_to"))
     order = Window.partitionBy("economy").orderBy("effective_from", "until", "currency")
-    earlier = F.max("until").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    earlier = F.max(F.struct("until", "currency", "effective_from")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        assignments.withColumn("until", end).withColumn("occupied_until", earlier)
-        .filter("occupied_until >= effective_from")
-        .select("economy", "currency", "effective_from", "until", "occupied_until")
+        assignments.withColumn("until", end).withColumn("earlier", earlier)
+        .filter("earlier.until >= effective_from")
+        .select(
+            "economy", "currency", "effective_from", "until", F.col("earlier.currency").alias("earlier_currency"),
+            F.col("earlier.effective_from").alias("earlier_from"), F.col("earlier.until").alias("occupied_until"))
     )
 
 
@@ -163,31 +165,50 @@ def registry_violations(definitions: DataFrame, category_count: int) -> DataFram
     return links.unionByName(own).filter("violation is not null")
 
 
-def fallback_cycles(definitions: DataFrame) -> DataFrame:
-    """Series on a fallback cycle.
+def _settled(state: DataFrame, step) -> DataFrame:
+    """``state`` (node, label) after ``step`` changes nothing any more; every round is cut."""
+    sums = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("node", "label").cast("decimal(20,0)"))).first()
+    state, before, now = cut(state), None, None
+    while before is None or before != now:
+        before = sums(state) if now is None else now
+        state = cut(step(state))
+        now = sums(state)
+    return state
 
-    Rounds of semi joins peel series that no chain can return to; the reach of the few that
-    remain is closed by doubling. Rounds grow with chain length, not with the number of series.
-    """
-    links = definitions.select(F.col("series_id").alias("a"), F.explode("fallback_series").alias("b")).distinct()
+
+def _core(links: DataFrame) -> DataFrame:
+    """Links whose ends both have a link in and a link out: what is left when open chains are peeled off."""
     live, size = cut(links), None
-    while True:
-        n = live.count()
-        if n == size:
-            break
+    while (n := live.count()) != size:
         size = n
         kept = live.join(live.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-        kept = kept.join(live.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
-        live = cut(kept.select("a", "b"))
-    reach, size = live, None
-    while True:
-        n = reach.count()
-        if n == size:
-            break
-        size = n
-        step = reach.select("a", F.col("b").alias("via")).join(reach.select(F.col("a").alias("via"), "b"), "via").select("a", "b")
-        reach = cut(reach.unionByName(step).distinct())
-    return reach.filter("a = b").select(F.col("a").alias("series_id"))
+        live = cut(kept.join(live.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a", "b"))
+    return live
+
+
+def fallback_cycles(definitions: DataFrame) -> DataFrame:
+    """Series on a fallback cycle.
+
+    In the core of the links, each series takes the smallest name that reaches it; going back from the series that kept its own name,
+    among those of its name, finds one strongly connected class per name. Classes leave and the rest is peeled again.
+    Tables never exceed the links; rounds are bounded by the core's diameter.
+    """
+    live = _core(definitions.select(F.col("series_id").alias("a"), F.explode("fallback_series").alias("b")).distinct())
+    found = live.select(F.col("a").alias("series_id")).limit(0)
+    while not live.isEmpty():
+        links = live
+        ahead = lambda s: s.unionByName(links.join(s, links["a"] == s["node"]).select(F.col("b").alias("node"), "label")).groupBy("node").agg(F.min("label").alias("label"))
+        named = _settled(links.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), ahead)
+        own = named.select(F.col("node").alias("a"), F.col("label"))
+        inner = cut(links.join(own, "a").join(named.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b").filter("label = label_b").select("a", "b"))
+        back = lambda s: s.unionByName(inner.join(s, inner["b"] == s["node"]).select(F.col("a").alias("node"), "label")).distinct()
+        members = _settled(named.filter("node = label"), back)
+        loops = links.filter("a = b").select(F.col("a").alias("node")).withColumn("loops", F.lit(True))
+        classes = members.join(loops, "node", "left").groupBy("label").agg(F.count("*").alias("n"), F.max("loops").alias("loops"))
+        found = found.unionByName(members.join(classes.filter("n > 1 or loops"), "label").select(F.col("node").alias("series_id")))
+        gone = members.select("node")
+        live = _core(links.join(gone, links["a"] == gone["node"], "left_anti").join(gone, F.col("b") == gone["node"], "left_anti"))
+    return found
 
 
 def mapping_violations(mapping: DataFrame, source_codes: DataFrame, targets: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Two rounds of histograms (map-side combined, at most ``BUCKETS`` rows per key) narrow each wanted position
 down to a sliver of the value range; only the rows inside it are grouped by value and ordered. Equal values
-are counted, not gathered, so one heavy key or value costs a scan and nothing more. The input is scanned
-once per step: cut it first if it is costly to compute.
+are counted, not gathered. Rows meet the histograms by key and salt, never by the bare key, so where that join
+is shuffled a heavy key is spread over ``SALTS`` tasks. The input is scanned once per step: cut it first if it
+is costly to compute.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 1024
 SLACK = 1e-9
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -31,11 +33,15 @@ def _bucket(low: str, high: str) -> Column:
     return F.when(F.col(high) > F.col(low), F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0).cast("int")
 
 
-def _lookup(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join on keys that may be null."""
+def _lookup(rows: DataFrame, small: DataFrame, keys: Sequence[str], salt: Column | None = None) -> DataFrame:
+    """Join on keys that may be null; with ``salt``, of rows whose keys may be heavy: ``small`` is then repeated for each salt."""
     right = small.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in small.columns if c not in keys])
     rule = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return rows.join(right, rule).drop(*[f"_r_{k}" for k in keys])
+    if salt is not None:
+        rows = rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)))
+        right = right.withColumn("_r_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        rule &= F.col("_salt") == F.col("_r_salt")
+    return rows.join(right, rule).drop(*[f"_r_{k}" for k in keys], "_salt", "_r_salt")
 
 
 def _holding(table: DataFrame, group: Sequence[str], order: str) -> DataFrame:
@@ -56,10 +62,11 @@ def pick(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, Wa
     """One row per key with the value at every wanted position."""
     source = df if keys else df.withColumn("_all", F.lit(1))
     keys = list(keys) or ["_all"]
-    rows = source.select(*keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w")).filter("_v is not null")
+    rows = source.select(*keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"), F.monotonically_increasing_id().alias("_row")).filter("_v is not null")
     sums = (F.count("*").alias("_n"), F.sum("_w").alias("_ww"))
     ends = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("total_n"), F.sum("_w").alias("total_w"))
-    first = _lookup(rows, ends.select(*keys, "_lo", "_hi"), keys).withColumn("_b", _bucket("_lo", "_hi")).drop("_lo", "_hi")
+    salt = F.xxhash64("_row", "_v", "_w")
+    first = _lookup(rows, ends.select(*keys, "_lo", "_hi"), keys, salt).withColumn("_b", _bucket("_lo", "_hi")).drop("_lo", "_hi")
     counts = first.groupBy(*keys, "_b").agg(*sums, F.min("_v").alias("_blo"), F.max("_v").alias("_bhi"))
     zero = counts.withColumn("_sn", F.lit(0).cast("long")).withColumn("_sw", F.col("_ww") * 0)
     goals = F.array(*[
@@ -68,10 +75,10 @@ def pick(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, Wa
     held = _lookup(_holding(zero, keys, "_b"), goal_rows, keys).filter(_inside()).select(
         *keys, "_b", "_name", "_target", "_weighted", "_blo", "_bhi", "_sn", "_sw")
     group = [*keys, "_name", "_b"]
-    second = _lookup(first, held, [*keys, "_b"]).withColumn("_c", _bucket("_blo", "_bhi"))
+    second = _lookup(first, held, [*keys, "_b"], salt).withColumn("_c", _bucket("_blo", "_bhi"))
     fixed = ["_target", "_weighted", "_sn", "_sw"]
     slivers = _holding(second.groupBy(*group, "_c", *fixed).agg(*sums), group, "_c").filter(_inside()).select(*group, "_c", "_sn", "_sw")
-    last = _lookup(second.drop("_sn", "_sw"), slivers, [*group, "_c"]).groupBy(*group, "_c", *fixed, "_v").agg(*sums)
+    last = _lookup(second.drop("_sn", "_sw"), slivers, [*group, "_c"], salt).groupBy(*group, "_c", *fixed, "_v").agg(*sums)
     upto = Window.partitionBy(*group, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     reached = F.when(F.col("_weighted"), F.col("_sw") + F.col("_cw") >= F.col("_target")).otherwise(F.col("_sn") + F.col("_cn") >= F.col("_target"))
     found = last.withColumn("_cn", F.sum("_n").over(upto)).withColumn("_cw", F.sum("_ww").over(upto)).filter(reached)

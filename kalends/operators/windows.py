@@ -114,30 +114,37 @@ def top_donors(pairs: DataFrame, n: int, by: Sequence[Column], keys: Sequence[st
     return pairs.withColumn("donor_rank", rank).filter(F.col("donor_rank") <= n)
 
 
-def leave_out_factors(factors: DataFrame, scenario: str, keys: Sequence[str] = ("origin", "target")) -> DataFrame:
+def leave_out_factors(factors: DataFrame, scenarios: str | Sequence[str], keys: Sequence[str] = ("origin", "target")) -> DataFrame:
     """Donor factors of each masked cell without the masked group, from totals minus own sums.
 
-    ``factors`` has the keys, economy, category, factor and weight. Pools: all cells, same economy, same category.
+    ``factors`` has the keys, economy, category, factor and weight; its columns stay. Pools: all cells, same economy, same
+    category. Each pool's totals are grouped once, pre-aggregated, and joined back; the scenarios are made from them in one pass.
     Counts decide whether a pool is empty.
     """
     measures = {"fw": F.col("factor") * F.col("weight"), "w": F.col("weight"), "f": F.col("factor"), "n": F.lit(1)}
-    scopes = {"g": (), "e": ("economy",), "c": ("category",)}
-    totals = {f"{s}_{m}": F.sum(expr).over(Window.partitionBy(*keys, *names)) for s, names in scopes.items() for m, expr in measures.items()}
-    rows = factors.withColumns(totals)
-    own = {m: expr for m, expr in measures.items()}
-    if scenario == "SINGLE_CELL":
-        masked = {"g": own, "e": own, "c": own}
-    elif scenario == "ECONOMY_OUTAGE":
-        masked = {"g": {m: F.col(f"e_{m}") for m in measures}, "e": {m: F.col(f"e_{m}") for m in measures}, "c": own}
-    elif scenario == "CATEGORY_OUTAGE":
-        masked = {"g": {m: F.col(f"c_{m}") for m in measures}, "e": own, "c": {m: F.col(f"c_{m}") for m in measures}}
-    else:
-        raise ValueError(f"unknown scenario: {scenario}")
-    left = lambda s, m: F.col(f"{s}_{m}") - masked[s][m]
-    mean = lambda s, top, bottom: F.when(left(s, "n") > 0, left(s, top) / left(s, bottom))
-    return rows.select(
-        *keys, F.lit(scenario).alias("scenario"), *CELL, "factor", "weight", mean("g", "f", "n").alias("global_equal"),
-        mean("g", "fw", "w").alias("global_weighted"), mean("e", "fw", "w").alias("economy_weighted"), mean("c", "fw", "w").alias("category_weighted"))
+    rows = factors
+    for scope, names in {"g": (), "e": ("economy",), "c": ("category",)}.items():
+        by = [*keys, *names]
+        rows = rows.join(factors.groupBy(*by).agg(*[F.sum(expr).alias(f"{scope}_{m}") for m, expr in measures.items()]), by)
+    own = dict(measures)
+    same = {scope: {m: F.col(f"{scope}_{m}") for m in measures} for scope in "gec"}
+    masked = {
+        "SINGLE_CELL": {"g": own, "e": own, "c": own},
+        "ECONOMY_OUTAGE": {"g": same["e"], "e": same["e"], "c": own},
+        "CATEGORY_OUTAGE": {"g": same["c"], "e": own, "c": same["c"]},
+    }
+
+    def outcome(scenario: str) -> Column:
+        left = lambda scope, m: same[scope][m] - masked[scenario][scope][m]
+        mean = lambda scope, top, bottom: F.when(left(scope, "n") > 0, left(scope, top) / left(scope, bottom))
+        return F.struct(
+            F.lit(scenario).alias("scenario"), mean("g", "f", "n").alias("global_equal"), mean("g", "fw", "w").alias("global_weighted"),
+            mean("e", "fw", "w").alias("economy_weighted"), mean("c", "fw", "w").alias("category_weighted"))
+
+    wanted = (scenarios,) if isinstance(scenarios, str) else tuple(scenarios)
+    if unknown := set(wanted) - masked.keys():
+        raise ValueError(f"unknown scenario: {sorted(unknown)}")
+    return rows.withColumn("s", F.explode(F.array(*map(outcome, wanted)))).select(*factors.columns, "s.*")
 
 
 def gap_priority(cells: DataFrame, probe: DataFrame, categories: Sequence[str], direct: Sequence[str],

@@ -19,11 +19,12 @@ RESOLVED = ("DATASET_ACQUIRED", "DOCUMENTATION_ONLY", "SOURCE_NOT_MACHINE_READAB
 def content_signature(docs: DataFrame) -> DataFrame:
     """PASS or the reason a body does not look like its suffix and declared type say.
 
-    ``docs``: doc_id, suffix, content_type, expected_type, body (text or binary). Formats are told by their first bytes.
+    ``docs``: doc_id, suffix, content_type, expected_type, body (text or binary). Binary formats are told by their first bytes, texts by
+    the whole body: a long comment or blank run before the first sign changes nothing.
     """
     raw = F.col("body").cast("binary")
     head = F.hex(F.substring(raw, 1, 4))
-    start = F.substring(F.col("body").cast("string"), 1, 512)
+    whole = F.col("body").cast("string")
     kind = F.lower(F.coalesce("content_type", F.lit("")))
     wrong = (F.coalesce("expected_type", F.lit("")) != "") & (kind != "") & ~kind.contains(F.col("expected_type")) & ~kind.contains("octet-stream") & ~kind.contains("binary")
     suffix = F.lower("suffix")
@@ -31,8 +32,8 @@ def content_signature(docs: DataFrame) -> DataFrame:
         F.when(F.coalesce(F.octet_length(raw), F.lit(0)) == 0, "EMPTY_RESPONSE").when(wrong, F.concat(F.lit("UNEXPECTED_CONTENT_TYPE:"), kind))
         .when((suffix == ".pdf") & (head != "25504446"), "INVALID_PDF_SIGNATURE").when((suffix == ".xls") & (head != "D0CF11E0"), "INVALID_XLS_SIGNATURE")
         .when(suffix.isin(".xlsx", ".zip", ".ods") & ~head.startswith("504B"), "INVALID_ZIP_CONTAINER_SIGNATURE")
-        .when(suffix.isin(".html", ".htm") & ~start.contains("<"), "INVALID_HTML_SIGNATURE")
-        .when((suffix == ".json") & ~start.rlike(r"^\s*[\{\[]"), "INVALID_JSON_SIGNATURE").otherwise(""))
+        .when(suffix.isin(".html", ".htm") & ~whole.contains("<"), "INVALID_HTML_SIGNATURE")
+        .when((suffix == ".json") & ~whole.rlike(r"^\s*[\{\[]"), "INVALID_JSON_SIGNATURE").otherwise(""))
     return docs.select("doc_id", F.when(reason == "", "PASS").otherwise("FAIL").alias("status"), reason.alias("reason"))
 
 

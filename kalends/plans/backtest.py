@@ -58,11 +58,7 @@ def completion_backtest(panel: DataFrame, weights: DataFrame, horizons: Sequence
     pairs = joins.rolling_origin_pairs(panel, horizons, window)
     factors = cut(pair_factors(panel, weights, pairs))
     keys = ("origin", "target", "horizon")
-    found = None
-    for scenario in SCENARIOS:
-        rows = windows.leave_out_factors(factors, scenario, keys)
-        found = rows if found is None else found.unionByName(rows)
-    rows = found.drop("factor", "weight").join(factors, [*keys, "economy", "category"])
+    rows = windows.leave_out_factors(factors, SCENARIOS, keys)
     equal, weighted = F.col("global_equal"), F.col("global_weighted")
     names = {B0: "P5_GLOBAL_EQUAL_HEADLINE", B1: "P5_GLOBAL_WEIGHTED"}
     if headline is not None:

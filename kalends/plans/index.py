@@ -6,15 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from kalends.operators import aggregates, joins, sets, windows
+from kalends.operators import aggregates, checks, joins, sets, windows
 from kalends.session import cut
 
 
 def normalize_prices(definitions: DataFrame, obs: DataFrame, reference: str) -> DataFrame:
     """Enabled series rebased to 100 at the reference month, one row per target category.
 
-    The reference value is one row per series, so the rebase is an equi-join on the series.
+    The reference value is one row per series, so the rebase is an equi-join on the series. Repeated series-months and
+    observations of series that no definition knows stop the step.
     """
+    checks.fail_on_rows(checks.duplicate_keys(obs, ["series_id", "period"]), "repeated series-months")
+    checks.fail_on_rows(checks.duplicate_keys(definitions, ["series_id"]), "repeated series definitions")
+    checks.fail_on_rows(obs.join(definitions, "series_id", "left_anti").select("series_id").distinct(), "unknown series")
     active = definitions.filter("enabled").drop("enabled")
     base = obs.filter(F.col("period") == reference).select("series_id", F.col("value").alias("reference_value"))
     rebased = obs.join(base, "series_id").select("series_id", "period", (F.lit(100.0) * F.col("value") / F.col("reference_value")).alias("price_relative"))
@@ -80,8 +84,13 @@ def fx_separation(cells: DataFrame, assignments: DataFrame, fx: DataFrame, refer
     """Local-price index beside a common-currency cost index; uncovered weight is reported, never renormalised.
 
     ``cells``: period, economy, category, weight, price_relative on a fixed universe. Rates are attached per
-    economy-month, not per cell, before the cells are joined.
+    economy-month, not per cell, before the cells are joined. Repeated cells or rates, rates that are not positive and
+    assignments that overlap stop the step.
     """
+    checks.fail_on_rows(checks.duplicate_keys(cells, ["economy", "category", "period"]), "repeated cells")
+    checks.fail_on_rows(checks.duplicate_keys(fx, ["currency", "period"]), "repeated exchange rates")
+    checks.fail_on_rows(fx.filter("rate is not null and (rate <= 0 or isnan(rate))").select("currency", "period", "rate"), "exchange rates that are not positive")
+    checks.fail_on_rows(checks.interval_overlaps(assignments), "overlapping currency assignments")
     valid = joins.assign_currency(cells, assignments).drop("matches")
     rated = joins.attach_fx(valid, fx, reference)
     base = valid.filter(F.col("period") == reference).select("economy", F.col("currency").alias("reference_currency"))

@@ -92,11 +92,11 @@ def proxy_cells(selected: DataFrame, wide: DataFrame, economies: DataFrame, head
         F.when(good, F.col("value") / F.col("ppp")).alias("real"), F.lit("PROXY").alias("derivation"), F.coalesce("source_id", F.lit("")).alias("source_id"), reason.alias("reason"))
 
 
-def entity_status(wide: DataFrame, registry: DataFrame, aggregate_tokens: Sequence[str], controls: Sequence[str], details: Sequence[str]) -> DataFrame:
-    """PARTICIPATING, AGGREGATE, imputed aggregates only, or unavailable. ``registry``: economy, participating."""
+def entity_status(wide: DataFrame, registry: DataFrame, aggregate_tokens: Sequence[str], controls: Sequence[str], details: Sequence[str], aggregate_codes: Sequence[str] = ()) -> DataFrame:
+    """PARTICIPATING, AGGREGATE (by code or by a token of the name), imputed aggregates only, or unavailable. ``registry``: economy, participating."""
     held = wide.filter("ppp is not null").groupBy("economy").agg(
         F.count_if(F.col("heading").isin(*controls)).alias("controls"), F.count_if(F.col("heading").isin(*details)).alias("details"))
-    named = F.lit(False)
+    named = F.col("economy").isin(*aggregate_codes) if aggregate_codes else F.lit(False)
     for token in aggregate_tokens:
         named = named | F.lower("economy").contains(token)
     return registry.join(held, "economy", "left").select("economy", F.when(F.col("participating"), "PARTICIPATING").when(named, "AGGREGATE").when(
@@ -386,7 +386,10 @@ def weight_release(cells: DataFrame) -> DataFrame:
 
 
 def weight_release_gate(shares: DataFrame, summary: DataFrame, complete_grid: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
-    """Eleven checks with observed value, threshold and pass flag. ``shares`` and ``summary`` are one-row tables."""
+    """Eleven checks with observed value, threshold and pass flag. ``shares`` and ``summary`` are one-row tables.
+
+    ``summary`` also says how the validation was made: ``leave_one_out``, ``result_driven_donor_selection`` and ``monetary_release_allowed``.
+    """
     fact = {name: shares.select(name).scalar().cast("double") for name in ("estimated_share", "class_e_share", "metric_coverage")}
     fact |= {name: summary.select(name).scalar().cast("double") for name in ("economies", "predictions", "mape", "coverage")}
     at_most = ("estimated_share", "class_e_share", "mape")
@@ -397,7 +400,10 @@ def weight_release_gate(shares: DataFrame, summary: DataFrame, complete_grid: Da
         limit = float(thresholds[name])
         checks.append(F.struct(F.lit(name).alias("check"), F.col(name).alias("observed"), F.lit(limit).alias("threshold"),
                                (F.col(name) <= limit if name in at_most else F.col(name) >= limit).alias("passed")))
-    # held by construction: validation leaves the target out, donors are chosen on profiles, nothing is monetary
-    for name in ("leave_one_out_validation", "result_driven_donor_selection_disabled", "validation_monetary_release_blocked"):
-        checks.append(F.struct(F.lit(name).alias("check"), F.lit(1.0).alias("observed"), F.lit(1.0).alias("threshold"), F.lit(True).alias("passed")))
+    stated = (
+        ("leave_one_out_validation", "leave_one_out", True), ("result_driven_donor_selection_disabled", "result_driven_donor_selection", False),
+        ("validation_monetary_release_blocked", "monetary_release_allowed", False))
+    row = row.withColumns({name: F.coalesce(summary.select(column).scalar(), F.lit(not wanted)) == wanted for name, column, wanted in stated})
+    for name, _, _ in stated:
+        checks.append(F.struct(F.lit(name).alias("check"), F.col(name).cast("double").alias("observed"), F.lit(1.0).alias("threshold"), F.col(name).alias("passed")))
     return row.select(F.explode(F.array(*checks)).alias("c")).select("c.*")

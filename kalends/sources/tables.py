@@ -100,17 +100,14 @@ def priced(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-FULL_MONTHS_BEFORE = "2001-11-01"
-
-
 def observations(spark: SparkSession, sf_dir: str, *, by: str = "economy", category: str = "category",
                  first_vintage: bool = False) -> DataFrame:
     """economy, category, period, value, quantity, unit_price.
 
-    ``by='region'`` gives the dense panel (regions as economies, full months only);
+    ``by='region'`` gives the dense panel, with regions as economies;
     ``first_vintage`` leaves out returned lines, as a first publication would.
     """
-    rows = lines(spark, sf_dir, FULL_MONTHS_BEFORE if by == "region" else None)
+    rows = lines(spark, sf_dir)
     if by == "region":
         rows = rows.drop("economy").withColumnRenamed("region", "economy")
     if category != "category":
