@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,30 @@ from kalends.session import shared_folder
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Settings of the writes that operators make: Spark removes the shuffle files of a query when it ends, not when the driver
+#: happens to collect its garbage, and Python gets long texts in smaller batches.
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
+@contextmanager
+def write_settings(spark: SparkSession):
+    """``SETTINGS`` hold for writes inside; the session's own come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and reread it: lineage ends there and later branches share the work."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with write_settings(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -18,7 +18,7 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 class WordHashes(dict):
     """64-bit hashes of words; starts anew when it holds ``most``."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:
@@ -173,14 +173,12 @@ def _passages(window: int):
             for r in range(batch.num_rows):
                 key = batch.column("key")[r].as_py()
                 word = hashes.of(batch.column("text")[r].as_py().encode("utf-8").split())
-                found = batch.column("found")[r].values
-                start, ref, ref_start = (found.field(c).to_numpy() for c in ("start", "ref", "ref_start"))
-                own = (ref == key) & (ref_start == start)
                 rows = []
-                for owner, is_own in [(key, True)] * bool(own.any()) + [(o, False) for o in np.unique(ref[~own])]:
-                    first, size = merged(start[own if is_own else ~own & (ref == owner)])
+                for found in batch.column("found")[r]:
+                    first, size = merged(found["starts"].values.to_numpy())
                     parts = [x for i, n in zip(first, size) for x in (word[i : i + n], np.zeros(1, np.uint64))]
-                    rows.append((int(owner), key, is_own, first.tolist(), size.tolist(), np.concatenate(parts).tobytes()))
+                    owner = found["ref"].as_py()
+                    rows.append((owner, key, owner == key, first.tolist(), size.tolist(), np.concatenate(parts).tobytes()))
                 if rows:
                     kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -218,8 +216,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     1. Every window is anchored at its least hashed run of ``gram`` words; equal windows have equal anchors. Anchors that occur
        more than once are marked in a bit table of fixed size, which is broadcast. Where it is crowded, more windows are candidates.
-    2. Windows with a marked anchor are counted by hash, pre-aggregated. The first place of each that occurs more than
-       once is its reference; the references of a document, merged, are its reference passages.
+    2. Windows with a marked anchor are counted by hash, pre-aggregated. Of those that occur more than once, the places in the
+       document with the smallest key are references; the references of a document, merged, are its reference passages.
     3. A suffix automaton of each document's reference passages goes to all documents that name it; they stream their
        own passages through it, and spans with matching statistics of ``window`` words or more are removed, like the references.
 
@@ -246,13 +244,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (tools[1].of(hashes)[starts].view(np.int64), starts) if len(starts) else None
 
     windows = stored(_rows(texts.select("key", "text"), candidates, "hash long, start int"), "windows")
-    first = windows.groupBy("hash").agg(F.min(F.struct("key", "start")).alias("ref"), F.count("*").alias("n")).where("n > 1")
-    repeated = windows.join(first.select("hash", "ref"), "hash")
-    found = repeated.groupBy("key").agg(F.collect_set(F.struct("start", F.col("ref.key").alias("ref"), F.col("ref.start").alias("ref_start"))).alias("found"))
+    first = stored(windows.groupBy("hash").agg(F.min("key").alias("ref"), F.count("*").alias("n")).where("n > 1").select("hash", "ref"), "first")
+    pairs = windows.join(first, "hash").groupBy("key", "ref").agg(F.collect_set("start").alias("starts"))
+    found = pairs.groupBy("key").agg(F.collect_list(F.struct("ref", "starts")).alias("found"))
     found = stored(found, "repeats")
     cut, fields = _passages(window)
-    # one row per distinct document: rows that repeat one would only give the same passages
-    passages = stored(texts.join(found, "key").select("key", "doc_id", "text", "found").mapInArrow(cut, fields).dropDuplicates(["owner", "key", "whole"]), "passages")
+    distinct = texts.groupBy("key").agg(F.first("text").alias("text"))  # rows that repeat one would only give the same passages
+    passages = stored(distinct.join(found, "key").select("key", "text", "found").mapInArrow(cut, fields), "passages")
     references = passages.where("whole").select("owner", F.col("words").alias("reference"))
     probes = passages.where("not whole").join(references, "owner").select("owner", "key", "starts", "sizes", "words", "reference")
     matched = probes.sortWithinPartitions("owner").mapInArrow(_stream(window), "key long, start int, size int")
