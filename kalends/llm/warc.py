@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm.common import map_texts, shared_folder, stored
+from kalends.llm.common import shared_folder, stored, write_settings
 
 #: Fixed values of the format: version line, record types and the profile of a revisit.
 VERSION = b"WARC/1.1"
@@ -54,22 +55,18 @@ def build_records(page: int | None, url: str | None, payload: bytes, digest: str
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, least: int = 0, segment: int = 8192, chunk: int = 4096, most: int = 2000) -> None:
-    """Write one record per page, plain WARC files of at most ``most`` records, into ``folder`` of any file system of Spark.
+    """Write one record per page, WARC files of at most ``most`` pages, each one gzip stream, into ``folder`` of any file system of Spark.
 
     Payload is the text in UTF-8, empty for null. Of pages with equal payloads of at least ``least`` bytes the one with the
     largest id is the response and the others revisit it; rows that repeat that id are all responses, and null ids come
     before all others. Payloads are told apart by SHA-1 and length. The largest ids are pre-aggregated before they are joined.
     A record must fit in memory; a file holds whole pages with all their segments.
     """
-    def digests(texts: list[str | None]):
-        return ([payload_digest((t or "").encode("utf-8")) for t in texts],)
-
-    base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    keyed = map_texts(base.select("*", F.col("html").alias("_text")), "_text", digests, "digest string")
-    keyed = keyed.withColumn("size", F.coalesce(F.octet_length("html"), F.lit(0)))
-    first = map_texts(base.select("page_id", "html"), "html", lambda t: (digests(t)[0], [len((x or "").encode("utf-8")) for x in t]), "digest string, size int")
-    first = first.groupBy("digest", "size").agg(F.max("page_id").alias("first"))
-    rows = keyed.join(first, ["digest", "size"])
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    keys = {"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")}
+    rows = rows.withColumns(keys)
+    first = rows.groupBy("digest", "size").agg(F.max("page_id").alias("first"))
+    rows = rows.join(first, ["digest", "size"])
     revisit = (F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = rows.select("page_id", "url", "digest", F.when(revisit, F.col("first")).alias("first"), revisit.alias("revisit"), "html")
 
@@ -78,12 +75,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             for at in range(0, batch.num_rows, 64):
                 out = []
                 for r in batch.slice(at, 64).to_pylist():
-                    data = build_records(r["page_id"], r["url"], (r["html"] or "").encode("utf-8"), r["digest"], r["first"], r["revisit"], segment, chunk)
+                    digest = base64.b32encode(bytes.fromhex(r["digest"])).decode()
+                    data = build_records(r["page_id"], r["url"], r["html"].encode("utf-8"), digest, r["first"], r["revisit"], segment, chunk)
                     out.append(data[:-1])  # the writer ends each row with the line feed that ends a record
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     lines = rows.mapInArrow(records, "value binary").select(F.col("value").cast("string").alias("value"))
-    lines.write.option("lineSep", "\n").option("maxRecordsPerFile", most).text(folder)
+    with write_settings(pages.sparkSession):
+        lines.write.option("lineSep", "\n").option("maxRecordsPerFile", most).option("compression", "gzip").text(folder)
 
 
 def parse(data: bytes):
@@ -135,6 +134,41 @@ def http_payload(block: bytes) -> bytes:
 
 
 RECORDS = "origin string, number int, total long, type string, uri string, digest string, refers string, block binary"
+PAGES = "origin string, type string, digest string, refers string, size long, payload binary"
+
+
+def _batches(rows, schema: str, least: int = 4 << 20):
+    """Arrow batches of row tuples whose last value is bytes or null, of some ``least`` bytes each."""
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*((f.split()[0], kinds[f.split()[1]]) for f in schema.split(", ")))
+    waiting, size = [], 0
+    for row in rows:
+        waiting.append(row)
+        size += 200 + len(row[-1] or b"")
+        if size > least:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*waiting), types)], names)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*waiting), types)], names)
+
+
+def _records(content: bytes, segmented: bool | None):
+    for f, block in parse(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content):
+        if segmented is None or segmented == ("warc-segment-number" in f):
+            own, total = f["warc-record-id"], f.get("warc-segment-total-length")
+            yield (
+                f.get("warc-segment-origin-id", own), int(f.get("warc-segment-number", 0)), int(total) if total else None, f["warc-type"],
+                f.get("warc-target-uri"), f.get("warc-payload-digest"), f.get("warc-refers-to"), block,
+            )
+
+
+def _page(origin: str, kind: str, digest: str | None, refers: str | None, block: bytes, keep: bool):
+    """Row of ``PAGES`` for a whole record; a response's payload is unchunked and must have the digest that its head names."""
+    payload = http_payload(block) if kind == "response" else None
+    digest = (digest or "").removeprefix("sha1:")
+    if payload is not None and payload_digest(payload) != digest:
+        raise ValueError(f"the payload of {origin} has another digest")
+    return origin, kind, digest, refers, None if payload is None else len(payload), payload if keep else None
 
 
 def read_records(spark: SparkSession, folder: str, segmented: bool | None = None) -> DataFrame:
@@ -142,35 +176,11 @@ def read_records(spark: SparkSession, folder: str, segmented: bool | None = None
 
     A record that is not segmented has number 0; ``segmented`` chooses those with or without segments.
     """
-    files = spark.read.format("binaryFile").load(folder).select("content")
-
     def run(batches):
-        names = [f.split()[0] for f in RECORDS.split(", ")]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
-
-        def packed(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
-
         for batch in batches:
-            for content in batch.column(0):
-                rows, size = [], 0
-                for f, block in parse(content.as_py()):
-                    own = f["warc-record-id"]
-                    if segmented is not None and segmented != ("warc-segment-number" in f):
-                        continue
-                    total = f.get("warc-segment-total-length")
-                    rows.append((
-                        f.get("warc-segment-origin-id", own), int(f.get("warc-segment-number", 0)), int(total) if total else None, f["warc-type"],
-                        f.get("warc-target-uri"), f.get("warc-payload-digest"), f.get("warc-refers-to"), block,
-                    ))
-                    size += len(block)
-                    if size > 4 << 20:
-                        yield packed(rows)
-                        rows, size = [], 0
-                if rows:
-                    yield packed(rows)
-
-    return files.mapInArrow(run, RECORDS)
+            yield from _batches((row for content in batch.column(0) for row in _records(content.as_py(), segmented)), RECORDS)
+
+    return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(run, RECORDS)
 
 
 def reassemble(segments: DataFrame) -> DataFrame:
@@ -199,23 +209,18 @@ def read_pages(spark: SparkSession, folder: str, payloads: bool = True) -> DataF
     equal the digest in its head; a revisit takes them from the response that it names, joined by name, and a missing one
     raises an error. What was read is written to the shared folder once.
     """
-    whole = read_records(spark, folder, segmented=False).select("origin", "type", "uri", "digest", "refers", "block")
-    records = whole.unionByName(reassemble(read_records(spark, folder, segmented=True)))
-    schema = pa.schema([("origin", pa.string()), ("type", pa.string()), ("digest", pa.string()), ("refers", pa.string()), ("size", pa.int64()), ("payload", pa.binary())])
+    def whole(batches):
+        for batch in batches:
+            yield from _batches((_page(o, k, d, f, b, payloads) for content in batch.column(0) for o, _, _, k, _, d, f, b in _records(content.as_py(), False)), PAGES)
 
-    def run(batches):
+    def joined(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = []
-                for r in batch.slice(at, 256).to_pylist():
-                    payload = http_payload(r["block"]) if r["type"] == "response" else None
-                    digest = (r["digest"] or "").removeprefix("sha1:")
-                    if payload is not None and payload_digest(payload) != digest:
-                        raise ValueError(f"the payload of {r['origin']} has another digest")
-                    rows.append((r["origin"], r["type"], digest, r["refers"], None if payload is None else len(payload), payload if payloads else None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
-
-    read = stored(records.mapInArrow(run, "origin string, type string, digest string, refers string, size long, payload binary"), "pages")
+            rows = (tuple(batch.column(c)[r].as_py() for c in ("origin", "type", "digest", "refers", "block")) for r in range(batch.num_rows))
+            yield from _batches((_page(*row, payloads) for row in rows), PAGES)
+
+    files = spark.read.format("binaryFile").load(folder).select("content")
+    segments = reassemble(read_records(spark, folder, segmented=True))
+    read = stored(files.mapInArrow(whole, PAGES).unionByName(segments.mapInArrow(joined, PAGES)), "pages")
 
     def page(name: Column) -> Column:
         return F.nullif(F.regexp_extract(name, "^<urn:page:([^:]*):", 1), F.lit("")).cast("long")
