@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -15,26 +17,44 @@ BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; starts anew when it holds ``most``."""
-
-    def __init__(self, most: int = 200_000):
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word) or 1  # 0 parts passages
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(np.r_[np.uint64(1), np.full(n, base)], dtype=np.uint64)
 
 
+SLICE = 1 << 16
+FORTH, BACKWARDS = _powers(BASE, SLICE), _powers(BACK, SLICE)
+GAP = re.compile(rb"[ \t-\r]")
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes = (hashes ^ (hashes >> np.uint64(31))) * MIX
+    return hashes ^ (hashes >> np.uint64(29))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the words of a text, none 0: polynomials over slices of it; XXH64 for words of ``SLICE`` bytes or more."""
+    data, at, out = text.encode("utf-8"), 0, [np.zeros(0, np.uint64)]
+    while at < len(data):
+        part = np.frombuffer(data, np.uint8, min(SLICE, len(data) - at), at)
+        gap = (part == 32) | ((part >= 9) & (part <= 13))
+        if len(part) == SLICE:
+            last = SLICE - 1 - int(gap[::-1].argmax())
+            if not gap[last]:
+                found = GAP.search(data, at + SLICE)
+                end = found.start() if found else len(data)
+                out.append(np.array([xxhash.xxh64_intdigest(data[at:end]) or 1], np.uint64))
+                at = end
+                continue
+            part, gap = part[: last + 1], gap[: last + 1]
+        padded = np.r_[True, gap, True]
+        edges = np.flatnonzero(padded[1:] != padded[:-1])
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * FORTH[: len(part)], out=total[1:])
+        out.append(np.maximum(_mixed((total[edges[1::2]] - total[edges[::2]]) * BACKWARDS[edges[::2]]), np.uint64(1)))
+        at += len(part)
+    return np.concatenate(out)
+
+
 class Windows:
     """Rolling hashes of the windows of a word sequence, and the anchor of each: its least hashed run of ``gram`` words, the first of equals."""
 
@@ -47,9 +67,7 @@ class Windows:
         if n >= len(self.forth):
             self.forth, self.back = _powers(BASE, 2 * n), _powers(BACK, 2 * n)
         total = np.r_[np.uint64(0), np.cumsum(hashes * self.forth[:n], dtype=np.uint64)]
-        runs = (total[size:] - total[: n - size + 1]) * self.back[: n - size + 1]
-        runs = (runs ^ (runs >> np.uint64(31))) * MIX
-        return runs ^ (runs >> np.uint64(29))
+        return _mixed((total[size:] - total[: n - size + 1]) * self.back[: n - size + 1])
 
     def anchors(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place and hash of each window's anchor, for every start of a window; places never go back."""
@@ -140,14 +158,14 @@ def _rows(df: DataFrame, make, names: str) -> DataFrame:
 def _anchor_filter(texts: DataFrame, window: int, gram: int, bits: int) -> np.ndarray:
     """Bit table of the anchors that occur more than once; its size is fixed, and so is what comes to the driver."""
     def make(text: str):
-        words = text.encode("utf-8").split()
+        words = word_hashes(text)
         if len(words) < window:
             return None
-        place, found = tools[1].anchors(tools[0].of(words))
+        place, found = tools.anchors(words)
         values, counts = np.unique(found[np.r_[True, place[1:] != place[:-1]]], return_counts=True)
         return values.view(np.int64), counts.astype(np.int32)
 
-    tools = (WordHashes(), Windows(window, gram))
+    tools = Windows(window, gram)
     anchors = _rows(texts, make, "anchor long, n int").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     place = F.shiftrightunsigned("anchor", 64 - bits)
     cells = anchors.groupBy(F.shiftrightunsigned(place, 6).cast("int").alias("cell")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - bits}) & 63 as int))")).alias("bits"))
@@ -168,11 +186,10 @@ def _passages(window: int):
         return first, starts[np.r_[gap - 1, len(starts) - 1]] + window - first
 
     def run(batches):
-        hashes = WordHashes()
         for batch in batches:
             for r in range(batch.num_rows):
                 key = batch.column("key")[r].as_py()
-                word = hashes.of(batch.column("text")[r].as_py().encode("utf-8").split())
+                word = word_hashes(batch.column("text")[r].as_py())
                 rows = []
                 for found in batch.column("found")[r]:
                     first, size = merged(found["starts"].values.to_numpy())
@@ -232,16 +249,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(_anchor_filter(texts.select("key", "text"), window, gram, bits))
-    tools = (WordHashes(), Windows(window, gram))
+    tools = Windows(window, gram)
 
     def candidates(text: str):
-        words = text.encode("utf-8").split()
+        words = word_hashes(text)
         if len(words) < window:
             return None
-        hashes = tools[0].of(words)
-        place = tools[1].anchors(hashes)[1] >> np.uint64(64 - bits)
+        place = tools.anchors(words)[1] >> np.uint64(64 - bits)
         starts = np.flatnonzero((shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1))
-        return (tools[1].of(hashes)[starts].view(np.int64), starts) if len(starts) else None
+        return (tools.of(words)[starts].view(np.int64), starts) if len(starts) else None
 
     windows = stored(_rows(texts.select("key", "text"), candidates, "hash long, start int"), "windows")
     first = stored(windows.groupBy("hash").agg(F.min("key").alias("ref"), F.count("*").alias("n")).where("n > 1").select("hash", "ref"), "first")
