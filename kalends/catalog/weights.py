@@ -27,9 +27,9 @@ TOLERANCE = 0.0001
 _KEY = "CAST(substr(economy, 8) AS INTEGER)"
 _YEAR = "period LIKE '1996-%'"
 # cells that no provider publishes, by economy, heading and provider
-_ICP_KNOWN = f"({_KEY} + CAST(substr(brand, 7) AS INTEGER)) % 6 <> 5"
-_NOMINAL_KNOWN = f"({_KEY} + CAST(substr(brand, 7) AS INTEGER) + suppkey % 3) % 4 <> 3"
-_CELL_KNOWN = f"({_KEY} + length(category)) % 3 <> 0"
+_ICP_KNOWN = f"({_KEY} % 4 <> 1 OR ({_KEY} + CAST(substr(brand, 7) AS INTEGER)) % 6 <> 5)"
+_NOMINAL_KNOWN = f"({_KEY} % 3 <> 1 OR ({_KEY} + CAST(substr(brand, 7) AS INTEGER) + suppkey % 3) % 4 <> 3)"
+_CELL_KNOWN = f"({_KEY} % 3 <> 0 OR ({_KEY} + length(category)) % 2 = 0)"
 
 base.add("icp", f"""
     SELECT economy, brand AS heading, nominal, CASE WHEN {_KEY} = 5 AND brand = 'Brand#23' THEN 0.0 ELSE mean_price / 1003.0 * (0.5 + {_KEY} / 10.0) END AS ppp,
@@ -60,7 +60,7 @@ def icp(spark, sf_dir):
     """economy, heading, ppp, nominal, real; one heading of one economy has no valid PPP."""
     prices = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("heading")).agg((F.sum(F.col("p_retailprice").cast(MONEY)).cast("double") / F.count("*")).alias("mean_price"))
     spent = year(spark, sf_dir).groupBy("economy", F.col("brand").alias("heading")).agg((F.sum("amount").cast("double") / 100.0).alias("nominal"))
-    spent = spent.withColumn("nominal", F.when((economy_number() + brand_number("heading")) % 6 != 5, F.col("nominal"))).filter("nominal is not null")  # unpublished cells
+    spent = spent.withColumn("nominal", F.when((economy_number() % 4 != 1) | ((economy_number() + brand_number("heading")) % 6 != 5), F.col("nominal"))).filter("nominal is not null")  # unpublished cells
     bad = (economy_number() == 5) & (F.col("heading") == "Brand#23")
     ppp = F.col("mean_price") / 1003.0 * (0.5 + economy_number() / 10.0)
     return spent.join(prices, "heading").select(
@@ -83,7 +83,7 @@ def nominal(spark, sf_dir):
     category = F.element_at(F.create_map(*[F.lit(x) for pair in SUPPLEMENTAL.items() for x in pair]), F.col("brand"))
     source = F.element_at(F.array(*[F.lit(s) for s in SOURCES]), (F.col("l_suppkey") % 3 + 1).cast("int"))
     rows = year(spark, sf_dir).filter(F.col("brand").isin(*SUPPLEMENTAL))
-    known = (economy_number() + brand_number("brand") + F.col("l_suppkey") % 3) % 4 != 3
+    known = (economy_number() % 3 != 1) | ((economy_number() + brand_number("brand") + F.col("l_suppkey") % 3) % 4 != 3)
     sums = rows.groupBy("economy", category.alias("category"), source.alias("source_id"), known.alias("known")).agg((F.sum("amount").cast("double") / 100.0).alias("value"))
     return sums.withColumn("value", F.when(F.col("known"), F.col("value"))).filter("value is not null").drop("known")  # unpublished cells
 
@@ -359,7 +359,7 @@ _GRID_SQL = f"SELECT economy, category, {rnd('central', 4)} AS central, {rnd('lo
 def imputation_inputs(spark, sf_dir):
     """Observed cells, profiles with totals, and one own-economy aggregate for every third economy."""
     sums = cut(year(spark, sf_dir).groupBy("economy", "category").agg(F.sum("amount").alias("all")).withColumn(
-        "seen", F.when((economy_number() + F.length("category")) % 3 != 0, F.col("all"))))
+        "seen", F.when((economy_number() % 3 != 0) | ((economy_number() + F.length("category")) % 2 == 0), F.col("all"))))
     evidence = F.when(economy_number() % 2 == 0, "A_OFFICIAL_EXACT").otherwise("B_OFFICIAL_DETERMINISTIC")
     central = F.col("seen").cast("double") / 100.0
     cells = sums.filter("seen is not null").select("economy", "category", central.alias("central"), central.alias("lower"), central.alias("upper"), evidence.alias("evidence_class"))

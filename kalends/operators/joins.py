@@ -76,6 +76,16 @@ def covariate_scales(profiles: DataFrame) -> DataFrame:
         F.struct("name", F.when(F.col("spread") > 0, F.col("spread")).otherwise(1.0).alias("scale")))).alias("scales"))
 
 
+def paired(left: DataFrame, right: DataFrame, regions: Column, own_only: bool = False) -> DataFrame:
+    """Targets ``t_economy`` of ``left`` with donors ``d_economy`` of ``right``, block by block: an equi-join on the donor's region.
+
+    ``regions`` is the array of all regions, a small fixed list with "" for null; with ``own_only`` a target meets its own region only.
+    """
+    known = lambda name: F.coalesce(F.col(name), F.lit(""))
+    rows = left.withColumn("_blocks", F.array(known("t_region")) if own_only else regions).withColumn("_block", F.explode("_blocks")).drop("_blocks")
+    return rows.join(right.withColumn("_own", known("d_region")), (F.col("_block") == F.col("_own")) & (F.col("t_economy") != F.col("d_economy"))).drop("_block", "_own")
+
+
 def donor_pairs(profiles: DataFrame, weights: DataFrame, same_region: bool | None = None) -> DataFrame:
     """target, donor, same_region, income_match, overlap, distance and similarity weight for economy pairs.
 
@@ -87,15 +97,13 @@ def donor_pairs(profiles: DataFrame, weights: DataFrame, same_region: bool | Non
     left = scaled.select(*[F.col(c).alias(f"t_{c}") for c in ("economy", "region", "income_group", "characteristics", "covariates", "scales")])
     right = profiles.join(world, "economy").select(
         *[F.col(c).alias(f"d_{c}") for c in ("economy", "region", "income_group", "characteristics", "covariates", "world_weight")])
-    rule = F.col("t_economy") != F.col("d_economy")
-    if same_region:
-        rule &= F.col("t_region") == F.col("d_region")
+    regions = profiles.agg(F.array_distinct(F.collect_list(F.coalesce("region", F.lit("")))).alias("r")).scalar()
     names = F.array_union(F.map_keys("t_covariates"), F.map_keys("d_covariates"))
     gap = lambda n: F.coalesce(F.abs(F.col("t_covariates")[n] - F.col("d_covariates")[n]) / F.col("t_scales")[n], F.lit(1.0))
     distance = F.when(F.size(names) == 0, 0.0).otherwise(F.aggregate(F.array_sort(names), F.lit(0.0), lambda s, n: s + gap(n)) / F.size(names))
     income = (F.col("t_income_group") == F.col("d_income_group")).cast("int")
     overlap = F.size(F.array_intersect("t_characteristics", "d_characteristics"))
-    return left.join(right, rule).select(
+    return paired(left, right, regions, bool(same_region)).select(
         F.col("t_economy").alias("target"), F.col("d_economy").alias("donor"), (F.col("t_region") == F.col("d_region")).alias("same_region"),
         income.alias("income_match"), overlap.alias("overlap"), distance.alias("distance"),
         (F.col("d_world_weight") * (1 + income + overlap) / (1 + distance)).alias("similarity"))

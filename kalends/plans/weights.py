@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kalends.functions.classes import measure_kind
-from kalends.operators import ranks, windows
+from kalends.operators import joins, ranks, windows
 from kalends.session import cut
 
 KINDS = ("PPP", "NOMINAL_EXPENDITURE", "REAL_EXPENDITURE")
@@ -268,8 +268,9 @@ def donor_distance(profiles: DataFrame, donors: DataFrame) -> DataFrame:
     square = lambda n: F.pow((F.col("t_covariates")[n] - F.col("d_covariates")[n]) / F.col("scales")[n], F.lit(2.0))
     rms = F.when(F.size(shared) == 0, 0.0).otherwise(F.sqrt(F.aggregate(shared, F.lit(0.0), lambda a, n: a + square(n)) / F.size(shared)))
     other = lambda name, cost: F.when(F.col(f"t_{name}") == F.col(f"d_{name}"), 0.0).otherwise(cost)
+    regions = profiles.agg(F.array_distinct(F.collect_list(F.coalesce("region", F.lit("")))).alias("r")).scalar()
     # the pairing is of economies, a dimension table, and is independent of the transactions
-    return left.join(right, F.col("t_economy") != F.col("d_economy")).select(
+    return joins.paired(left, right, regions).select(
         F.col("t_economy").alias("target"), F.col("d_economy").alias("donor"), (F.col("t_region") == F.col("d_region")).alias("same_region"),
         (other("region", 4.0) + other("income_group", 2.0) + rms).alias("distance"))
 
