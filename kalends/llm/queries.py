@@ -109,6 +109,16 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# base32 takes five bits a character, so five hexadecimal digits make four characters
+ORACLES["op3_warc_round_trip"] = """
+    WITH h AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+      d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+              substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest FROM h),
+      m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM m"""
+
+
 @query
 def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC records with revisits and segments, then read the archives back."""
@@ -123,7 +133,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stored(fingerprints.edited_likeness(table(spark, sf_dir, "documents")), "likeness")
     asked = found.where("doc_id % 50 = 0")
     near = fingerprints.within_radius(found, asked).groupBy(F.col("query").alias("fp")).agg(F.count("*").alias("n"))
-    near = asked.select("fp").distinct().join(near, "fp", "left").select("fp", F.coalesce("n", F.lit(0)).alias("prints_within_3"))
+    near = stored(asked.select("fp").distinct().join(near, "fp", "left").select("fp", F.coalesce("n", F.lit(0)).alias("prints_within_3")), "near")
     out = found.join(near, "fp", "left")
     text = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
     return out.select(
@@ -139,6 +149,15 @@ def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+ORACLES["op4_substring_dedup"] = r"""
+    WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+      x AS (SELECT r, i, md5(array_to_string(list_slice(ws, i, i + 34), ' ')) AS k FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 33, 1))) AS i FROM w)),
+      gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM x) WHERE n > 1),
+      words AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+      kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (r)"""
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 35-word windows that occur anywhere else."""
