@@ -166,5 +166,6 @@ def near_duplicates(
     named = labels.join(smallest, labels.node == smallest.fp).select("fp", "label", "first_id")
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     linked = named.join(names, "label").select("fp", "component_id")
-    classes = smallest.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    # written, so that the last join shuffles both sides and adaptive execution can split a fingerprint that many rows share
+    classes = stored(smallest.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "classes")
     return base.join(classes, "fp").select("doc_id", *(F.col(f"_{c}").alias(c) for c in others), F.col("fp").alias("fingerprint"), "component_id")
