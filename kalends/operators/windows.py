@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kalends.functions.classes import evidence_rank
 from kalends.functions.months import month_number, months_between
+from kalends.operators import checks
 
 CELL = ("economy", "category")
 
@@ -22,7 +23,11 @@ def preference() -> tuple[Column, ...]:
 
 
 def select_best_price(normalized: DataFrame) -> DataFrame:
-    """Per cell and month the series with the best (evidence rank, priority, id), and how many competed."""
+    """Per cell and month the series with the best (evidence rank, priority, id), and how many competed.
+
+    A series that appears twice in a cell and month stops the step.
+    """
+    checks.fail_on_rows(checks.duplicate_keys(normalized, [*CELL, "period", "series_id"]), "repeated candidates")
     rank, priority, series = preference()
     ordered = F.struct(rank.alias("rank"), priority.alias("source_priority"), series.alias("series_id"), "evidence_class", "price_relative")
     best = normalized.groupBy(*CELL, "period").agg(F.min(ordered).alias("best"), F.count("*").alias("candidate_count"))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kalends.functions.months import temporal_split
-from kalends.operators import joins, windows
+from kalends.operators import checks, joins, windows
 from kalends.session import cut
 
 # Model names, from plainest to richest.
@@ -53,8 +53,13 @@ def completion_backtest(panel: DataFrame, weights: DataFrame, horizons: Sequence
                         headline: DataFrame | None = None) -> DataFrame:
     """One case per mask, origin, target, horizon and model: estimate, error, bps and mean cell error.
 
-    With ``headline`` the two headline models follow that panel instead of the unmasked cells.
+    With ``headline`` the two headline models follow that panel instead of the unmasked cells. Repeated cells, weights that do
+    not sum up to 1 or are not positive, and cells without a weight stop the step.
     """
+    checks.fail_on_rows(checks.duplicate_keys(panel, ["economy", "category", "period"]), "repeated cells")
+    checks.fail_on_rows(checks.weight_sum_violations(weights, [], tol=1e-6), "weights that do not sum up to 1")
+    checks.fail_on_rows(weights.filter("weight is null or weight <= 0"), "weights that are not positive")
+    checks.fail_on_rows(panel.join(weights, ["economy", "category"], "left_anti").select("economy", "category").distinct(), "cells without a weight")
     pairs = joins.rolling_origin_pairs(panel, horizons, window)
     factors = cut(pair_factors(panel, weights, pairs))
     keys = ("origin", "target", "horizon")

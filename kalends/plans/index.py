@@ -14,16 +14,18 @@ def normalize_prices(definitions: DataFrame, obs: DataFrame, reference: str) ->
     """Enabled series rebased to 100 at the reference month, one row per target category.
 
     The reference value is one row per series, so the rebase is an equi-join on the series. Repeated series-months and
-    observations of series that no definition knows stop the step.
+    observations of series that no definition knows stop the step. Other columns of ``obs``, such as its provider, dataset, dates
+    and flags, stay on their rows.
     """
+    kept = [c for c in obs.columns if c not in ("series_id", "period", "value")]
     checks.fail_on_rows(checks.duplicate_keys(obs, ["series_id", "period"]), "repeated series-months")
     checks.fail_on_rows(checks.duplicate_keys(definitions, ["series_id"]), "repeated series definitions")
     checks.fail_on_rows(obs.join(definitions, "series_id", "left_anti").select("series_id").distinct(), "unknown series")
     active = definitions.filter("enabled").drop("enabled")
     base = obs.filter(F.col("period") == reference).select("series_id", F.col("value").alias("reference_value"))
-    rebased = obs.join(base, "series_id").select("series_id", "period", (F.lit(100.0) * F.col("value") / F.col("reference_value")).alias("price_relative"))
+    rebased = obs.join(base, "series_id").select("series_id", "period", *kept, (F.lit(100.0) * F.col("value") / F.col("reference_value")).alias("price_relative"))
     return rebased.join(active, "series_id").withColumn("category", F.explode("target_categories")).select(
-        "series_id", "economy", "category", "period", "price_relative", "evidence_class", "source_priority")
+        "series_id", "economy", "category", "period", "price_relative", "evidence_class", "source_priority", *kept)
 
 
 def missing_reference(definitions: DataFrame, obs: DataFrame, reference: str) -> DataFrame:

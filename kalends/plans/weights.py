@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kalends.functions.classes import measure_kind
-from kalends.operators import joins, ranks, windows
+from kalends.operators import checks, joins, ranks, windows
 from kalends.session import cut
 
 KINDS = ("PPP", "NOMINAL_EXPENDITURE", "REAL_EXPENDITURE")
@@ -318,8 +318,12 @@ def impute_grid(cells: DataFrame, profiles: DataFrame, constraints: DataFrame, p
     """Complete economy x category grid: observed cells kept, C from own disjoint aggregates, D or E from donors.
 
     ``profiles`` carries total_real; ``constraints``: economy, aggregate_id, categories, amount. A residual that is
-    not positive gives null values with status NONPOSITIVE_RESIDUAL.
+    not positive gives null values with status NONPOSITIVE_RESIDUAL. Repeated cells or profiles and bounds that do not hold their
+    value stop the step.
     """
+    checks.fail_on_rows(checks.duplicate_keys(cells, ["economy", "category"]), "repeated cells")
+    checks.fail_on_rows(checks.duplicate_keys(profiles, ["economy"]), "repeated profiles")
+    checks.fail_on_rows(cells.filter("not (lower <= central and central <= upper)").select("economy", "category", "lower", "central", "upper"), "bounds that do not hold their value")
     vectors = cut(core_vectors(cells, policy))
     pool = cut(donor_pool(donor_distance(profiles, vectors), policy))
     observed = cells.select("economy", "category", "central", "lower", "upper", "evidence_class", F.lit("").alias("donors"), F.lit("OBSERVED").alias("status"))

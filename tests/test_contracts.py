@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kalends.functions import classes, text
 from kalends.operators import aggregates, checks, ranks, windows
-from kalends.plans import audit, completion, index, weights
+from kalends.plans import audit, backtest, completion, index, weights
 
 
 def values(spark, texts, function):
@@ -127,3 +127,42 @@ def test_leave_out_factors_keep_columns_and_reject_unknown_scenarios(spark):
     assert rows == {("x", "SINGLE_CELL"): (7, 2.0, None), ("y", "SINGLE_CELL"): (8, 1.0, None), ("x", "ECONOMY_OUTAGE"): (7, None, None), ("y", "ECONOMY_OUTAGE"): (8, None, None)}
     with pytest.raises(ValueError, match="unknown scenario"):
         windows.leave_out_factors(df, "NONE")
+
+
+def test_selection_stops_at_repeated_candidates(spark):
+    rows = [("s", "E", "x", "2020-01", 100.0, "P1_OFFICIAL_CATEGORY", 1)]
+    make = lambda r: spark.createDataFrame(r, "series_id string, economy string, category string, period string, price_relative double, evidence_class string, source_priority int")
+    assert windows.select_best_price(make(rows)).count() == 1
+    with pytest.raises(ValueError, match="repeated candidates"):
+        windows.select_best_price(make(rows * 2))
+
+
+def test_rebasing_keeps_provenance(spark):
+    series = spark.createDataFrame([("a", "E", ["x"], "P1", 1, True)], SERIES)
+    obs = spark.createDataFrame([("a", "2020-01", 2.0, "office"), ("a", "2020-02", 3.0, "bureau")], "series_id string, period string, value double, provider string")
+    assert {(r.period, r.provider) for r in index.normalize_prices(series, obs, "2020-01").collect()} == {("2020-01", "office"), ("2020-02", "bureau")}
+
+
+def test_completion_backtest_and_imputation_stop_at_bad_tables(spark):
+    levels = spark.createDataFrame([("A", "x", "2020-01", 1.0, "P1")], "economy string, category string, period string, level double, evidence_class string")
+    headline = spark.createDataFrame([("A", "2020-01", 1.0)], "economy string, period string, level double")
+    profiles = spark.createDataFrame([("A", "r")], "economy string, region string")
+    none = spark.createDataFrame([], "economy string, category string, weight double")
+    bad = levels.withColumn("level", F.lit(-1.0))
+    for lv, hd, pf, cats, reason in (
+        (levels.unionAll(levels), headline, profiles, ["x"], "repeated cells"), (levels, headline.unionAll(headline), profiles, ["x"], "repeated headline"),
+        (levels, headline, profiles.unionAll(profiles), ["x"], "repeated profiles"), (bad, headline, profiles, ["x"], "not positive"), (levels, headline, profiles, ["y"], "unknown category")):
+        with pytest.raises(ValueError, match=reason):
+            completion.predict_rates(lv, hd, pf, none, cats, {"S": completion.Policy()})
+    panel = spark.createDataFrame([("A", "x", "2020-01", 100.0), ("B", "x", "2020-01", 100.0)], "economy string, category string, period string, price_relative double")
+    weight = lambda *rows: spark.createDataFrame(rows, "economy string, category string, weight double")
+    for pn, wt, reason in (
+        (panel.unionAll(panel), weight(("A", "x", 0.5), ("B", "x", 0.5)), "repeated cells"), (panel, weight(("A", "x", 0.5), ("B", "x", 0.4)), "sum up to 1"),
+        (panel, weight(("A", "x", 1.5), ("B", "x", -0.5)), "not positive"), (panel, weight(("A", "x", 1.0)), "cells without a weight")):
+        with pytest.raises(ValueError, match=reason):
+            backtest.completion_backtest(pn, wt, (1,), ("2020-01", "2020-12"))
+    cells = spark.createDataFrame([("A", "x", 1.0, 0.5, 2.0, "A_X")], "economy string, category string, central double, lower double, upper double, evidence_class string")
+    policy = weights.ImputationPolicy(("x",))
+    for cl, pf, reason in ((cells.unionAll(cells), profiles, "repeated cells"), (cells, profiles.unionAll(profiles), "repeated profiles"), (cells.withColumn("lower", F.lit(1.5)), profiles, "bounds")):
+        with pytest.raises(ValueError, match=reason):
+            weights.impute_grid(cl, pf, None, policy)
