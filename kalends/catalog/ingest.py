@@ -75,7 +75,10 @@ def missing_fx_currencies(spark, sf_dir):
     return ingest.parse_fx_rates(fx_raw(spark, sf_dir), CURRENCIES)[1]
 
 
-@query("flatten_cube", sql(f"SELECT economy, category, period, unit_price AS value FROM obs WHERE category <> 'PROMO'", "obs"))
+@query("flatten_cube", sql(f"""
+    SELECT economy, category, period, unit_price AS value, CASE WHEN ((list_position({list(tables.CATEGORIES)!r}, category) - 1) * (date_diff('month', lo, hi) + 1)
+           + date_diff('month', lo, CAST(period || '-01' AS DATE))) % 7 = 0 THEN 'p' ELSE '' END AS status
+    FROM obs, (SELECT CAST(min(period) || '-01' AS DATE) AS lo, CAST(max(period) || '-01' AS DATE) AS hi FROM obs) WHERE category <> 'PROMO'""", "obs"))
 def flatten_cube(spark, sf_dir):
     obs = cut(tables.observations(spark, sf_dir))
     bounds = obs.agg(F.struct(F.min("period").alias("lo"), F.max("period").alias("hi"))).scalar()
@@ -88,9 +91,12 @@ def flatten_cube(spark, sf_dir):
     listed = F.to_json(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.col("points")[i.cast("long")]))
     index = F.to_json(F.map_from_entries(F.transform(codes, lambda c, i: F.struct(c, i))))
     odd = F.length("economy") % 2 == 1
+    places = F.sequence(F.lit(0), size - 1)
+    flagged = F.to_json(F.map_from_entries(F.transform(F.filter(places, lambda i: i % 7 == 0), lambda i: F.struct(i, F.lit("p")))))
     body = F.concat(
         F.lit('{"id":["category","time"],"size":['), F.lit(len(tables.CATEGORIES)), F.lit(","), F.size("months").cast("string"), F.lit(']'), F.lit(',"dimension":{"category":{"category":{"index":'),
-        F.when(odd, index).otherwise(F.to_json(codes)), F.lit('}},"time":{"category":{"index":'), F.to_json("months"), F.lit('}}},"value":'), F.when(odd, F.to_json("points")).otherwise(listed), F.lit("}"))
+        F.when(odd, index).otherwise(F.to_json(codes)), F.lit('}},"time":{"category":{"index":'), F.to_json("months"), F.lit('}}},"value":'), F.when(odd, F.to_json("points")).otherwise(listed),
+        F.lit(',"status":'), F.when(odd, flagged).otherwise(F.to_json(F.transform(places, lambda i: F.when(i % 7 == 0, "p").otherwise("")))), F.lit("}"))
     cubes = packed.select("economy", body.alias("body"))
     rows = ingest.flatten_cube(cubes, ("category", "time"), keep={"category": [c for c in tables.CATEGORIES if c != "PROMO"]})
     return rows.withColumnRenamed("time", "period")

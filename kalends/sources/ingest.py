@@ -104,14 +104,16 @@ def ingest_fx_rates(spark: SparkSession, path: str, currencies: Sequence[str]) -
     return parse_fx_rates(read_csv(spark, path), currencies)
 
 
-CUBE = "struct<id:array<string>,size:array<int>,dimension:map<string,struct<category:struct<index:string>>>,value:string>"
+CUBE = "struct<id:array<string>,size:array<int>,dimension:map<string,struct<category:struct<index:string>>>,value:string,status:string>"
 
 
 def flatten_cube(df: DataFrame, dimensions: Sequence[str], body: str = "body", keep: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """JSON-stat cubes to one row per value with a column per dimension.
+    """JSON-stat cubes to one row per value with a column per dimension, the value and its status flag ("" where none).
 
-    Codes may be a list or a code-to-position map, values a list or a position-to-value map. A value's position
-    gives its coordinates by division with the strides; ``keep`` restricts coordinates right after that.
+    Codes may be a list or a code-to-position map, values and flags a list or a position-keyed map. A value's position
+    gives its coordinates by division with the strides; ``keep`` restricts coordinates right after that. A body that is
+    no cube, lacks a dimension or has another number of codes than it says raises an error in the job, as does a value that
+    is kept but not positive.
     """
     cube = F.from_json(F.col(body), CUBE)
 
@@ -123,19 +125,31 @@ def flatten_cube(df: DataFrame, dimensions: Sequence[str], body: str = "body", k
     mapped = F.transform(F.map_entries(F.from_json(F.col("c.value"), "map<string,double>")), lambda e: F.struct(e["key"].cast("long").alias("at"), e["value"].alias("value")))
     points = F.filter(F.when(F.ltrim(F.col("c.value")).startswith("{"), mapped).otherwise(listed), lambda p: p["value"].isNotNull())
     others = [c for c in df.columns if c != body]
-    parsed = df.select(*others, cube.alias("c")).select(
+    flag_list, flag_map = F.from_json(F.col("c.status"), "array<string>"), F.from_json(F.col("c.status"), "map<string,string>")
+    parsed = df.select(*others, cube.alias("c")).withColumns({
+        "_flag_map": F.when(F.ltrim(F.col("c.status")).startswith("{"), flag_map), "_flag_list": F.when(F.ltrim(F.col("c.status")).startswith("["), flag_list)}).select(
+        "_flag_map", "_flag_list",
         *others, "c", *[codes(F.col("c.dimension")[d]["category"]["index"]).alias(f"_codes_{d}") for d in dimensions],
         *[F.array_position("c.id", d).cast("int").alias(f"_place_{d}") for d in dimensions], points.alias("_points"))
+    broken = F.coalesce(
+        F.when(F.coalesce(F.size("c.id"), F.lit(-1)) < 1, "no dimensions"), F.when(F.size("c.id") != F.coalesce(F.size("c.size"), F.lit(-1)), "other sizes than dimensions"),
+        *[F.when(F.coalesce(F.col(f"_place_{d}"), F.lit(0)) == 0, f"no dimension {d}") for d in dimensions],
+        *[F.when(F.coalesce(F.size(f"_codes_{d}"), F.lit(-1)) != F.get("c.size", F.col(f"_place_{d}") - 1), f"other codes than the size of {d}") for d in dimensions],
+        F.when(F.col("_points").isNull(), "no values"))
+    stop = F.raise_error(F.concat(F.lit("PROVIDER_SCHEMA_UNRESOLVED: "), broken)).cast("array<struct<at:bigint,value:double>>")
+    parsed = parsed.withColumn("_points", F.when(broken.isNull(), F.col("_points")).otherwise(stop))
     after = lambda d: F.slice(F.col("c.size"), F.col(f"_place_{d}") + 1, F.size("c.size"))
-    sized = parsed.select(*others, "_points", *[f"_codes_{d}" for d in dimensions], *[
+    sized = parsed.select(*others, "_points", "_flag_map", "_flag_list", *[f"_codes_{d}" for d in dimensions], *[
         F.aggregate(after(d), F.lit(1).cast("long"), lambda a, n: a * n).alias(f"_stride_{d}") for d in dimensions], *[
         F.element_at("c.size", F.col(f"_place_{d}")).alias(f"_size_{d}") for d in dimensions])
     rows = sized.withColumn("_p", F.explode("_points"))
     at = lambda d: F.get(F.col(f"_codes_{d}"), (F.floor(F.col("_p.at") / F.col(f"_stride_{d}")) % F.col(f"_size_{d}")).cast("int"))
-    flat = rows.select(*others, *[at(d).alias(d) for d in dimensions], F.col("_p.value").alias("value"))
+    flag = F.coalesce(F.element_at("_flag_map", F.col("_p.at").cast("string")), F.get("_flag_list", F.col("_p.at").cast("int")), F.lit(""))
+    flat = rows.select(*others, *[at(d).alias(d) for d in dimensions], F.col("_p.value").alias("value"), flag.alias("status"))
     for name, allowed in (keep or {}).items():
         flat = flat.filter(F.col(name).isin(*allowed))
-    return flat
+    wrong = F.raise_error(F.concat_ws("/", F.lit("INVALID_PRICE_VALUE: "), *dimensions, F.col("value").cast("string"))).cast("double")
+    return flat.withColumn("value", F.when((F.col("value") > 0) & ~F.isnan("value"), F.col("value")).otherwise(wrong))
 
 
 def read_cubes(spark: SparkSession, paths: str, dimensions: Sequence[str]) -> DataFrame:

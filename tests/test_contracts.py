@@ -1,11 +1,14 @@
 """Pipelines stop at bad tables, incomplete months stay visible, texts fold whatever their range."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from kalends.functions import classes, text
 from kalends.operators import aggregates, checks, ranks, windows
 from kalends.plans import audit, backtest, completion, index, weights
+from kalends.sources import ingest
 
 
 def values(spark, texts, function):
@@ -166,3 +169,18 @@ def test_completion_backtest_and_imputation_stop_at_bad_tables(spark):
     for cl, pf, reason in ((cells.unionAll(cells), profiles, "repeated cells"), (cells, profiles.unionAll(profiles), "repeated profiles"), (cells.withColumn("lower", F.lit(1.5)), profiles, "bounds")):
         with pytest.raises(ValueError, match=reason):
             weights.impute_grid(cl, pf, None, policy)
+
+
+def test_cubes_carry_flags_and_broken_ones_raise(spark):
+    cube = {"id": ["geo", "time"], "size": [2, 2], "dimension": {"geo": {"category": {"index": ["A", "B"]}}, "time": {"category": {"index": {"2020-02": 1, "2020-01": 0}}}}, "value": [1.0, None, 3.0, 4.0]}
+    read = lambda c, **more: ingest.flatten_cube(spark.createDataFrame([(json.dumps(c) if isinstance(c, dict) else c,)], "body string"), ("geo", "time"), **more).collect()
+    for status, want in ((["p", "", "", "e"], {"p", "", "e"}), ({"0": "p", "3": "e"}, {"p", "", "e"}), (None, {""})):
+        rows = read(cube | ({"status": status} if status else {}))
+        assert {(r.geo, r.time, r.value) for r in rows} == {("A", "2020-01", 1.0), ("B", "2020-01", 3.0), ("B", "2020-02", 4.0)} and {r.status for r in rows} == want
+    broken = [cube | {"size": [2]}, cube | {"size": [2, 3]}, cube | {"id": ["geo", "unit"]}, "no cube", {k: v for k, v in cube.items() if k != "value"}]
+    for bad in broken:
+        with pytest.raises(Exception, match="PROVIDER_SCHEMA_UNRESOLVED"):
+            read(bad)
+    with pytest.raises(Exception, match="INVALID_PRICE_VALUE"):
+        read(cube | {"value": [1.0, 2.0, 3.0, 0.0]})
+    assert len(read(cube | {"value": [1.0, 2.0, 3.0, 0.0]}, keep={"geo": ["A"]})) == 2
