@@ -52,7 +52,8 @@ def _predictions(suffix, policies):
     s = suffix
     base.add(f"scen{s}", _values(policies))
     base.add(f"cquant{s}", f"""
-        SELECT scenario, pool, target, category, period, count(*) AS n, string_agg(donor, '|' ORDER BY donor) AS donors, min(residual) FILTER (WHERE cum >= total * 0.1 * (1 - 1e-12)) AS lo,
+        SELECT scenario, pool, target, category, period, count(*) AS n, string_agg(donor, '|' ORDER BY donor) AS donors,
+               string_agg('SRC_' || donor || '_' || left(category, 2), '|' ORDER BY 'SRC_' || donor || '_' || left(category, 2)) AS sources, min(residual) FILTER (WHERE cum >= total * 0.1 * (1 - 1e-12)) AS lo,
                min(residual) FILTER (WHERE cum >= total * 0.5 * (1 - 1e-12)) AS mid, min(residual) FILTER (WHERE cum >= total * 0.9 * (1 - 1e-12)) AS hi
         FROM (SELECT *, sum(w) OVER (PARTITION BY scenario, pool, target, category, period ORDER BY residual, w ROWS UNBOUNDED PRECEDING) AS cum, sum(w) OVER (PARTITION BY scenario, pool, target, category, period) AS total
               FROM (SELECT s.scenario, 'R' AS pool, p.* FROM cpool p, scen{s} s WHERE p.same_region AND p.region_place <= s.most
@@ -66,6 +67,7 @@ def _predictions(suffix, policies):
         FROM (SELECT s.scenario, c.economy, c.category, c.period, c.headline_rate, CASE WHEN a.n >= s.least_region THEN 1 WHEN b.n >= s.least_world THEN 2 ELSE 3 END AS k,
                 CASE WHEN a.n >= s.least_region THEN a.lo WHEN b.n >= s.least_world THEN b.lo END AS lo, CASE WHEN a.n >= s.least_region THEN a.mid WHEN b.n >= s.least_world THEN b.mid END AS mid,
                 CASE WHEN a.n >= s.least_region THEN a.hi WHEN b.n >= s.least_world THEN b.hi END AS hi, CASE WHEN a.n >= s.least_region THEN a.donors WHEN b.n >= s.least_world THEN b.donors ELSE '' END AS donors,
+                CASE WHEN a.n >= s.least_region THEN a.sources WHEN b.n >= s.least_world THEN b.sources ELSE '' END AS sources,
                 h.past_lo, h.past_hi
               FROM ccells c CROSS JOIN scen{s} s LEFT JOIN cquant{s} a ON a.scenario = s.scenario AND a.pool = 'R' AND a.target = c.economy AND a.category = c.category AND a.period = c.period
               LEFT JOIN cquant{s} b ON b.scenario = s.scenario AND b.pool = 'W' AND b.target = c.economy AND b.category = c.category AND b.period = c.period
@@ -73,7 +75,7 @@ def _predictions(suffix, policies):
     base.add(f"cgrid{s}", f"""
         SELECT g.scenario, g.economy, g.category, g.period, CASE WHEN g.period = '{REFERENCE}' THEN b.level IS NOT NULL ELSE d.level IS NOT NULL AND b.level IS NOT NULL END AS observed,
                CASE WHEN g.period = '{REFERENCE}' THEN 100.0 WHEN d.level IS NOT NULL AND b.level IS NOT NULL THEN d.level / b.level * 100 END AS anchor,
-               b.evidence_class AS base_class, d.evidence_class AS direct_class, p.central_rate, p.lower_rate, p.upper_rate, p.evidence_class, p.method, p.donors
+               b.evidence_class AS base_class, d.evidence_class AS direct_class, p.central_rate, p.lower_rate, p.upper_rate, p.evidence_class, p.method, p.donors, p.sources
         FROM (SELECT scenario, economy, category, strftime(m, '%Y-%m') AS period FROM scen{s}, (SELECT DISTINCT economy FROM chead), (SELECT DISTINCT category FROM clevel),
                 (SELECT unnest(generate_series(DATE '{REFERENCE}-01', (SELECT max(CAST(period || '-01' AS DATE)) FROM chead), INTERVAL 1 MONTH)) AS m)) g
         LEFT JOIN clevel b ON b.economy = g.economy AND b.category = g.category AND b.period = '{REFERENCE}'
@@ -113,7 +115,8 @@ _predictions("s", SCENARIOS)
 def inputs(spark, sf_dir):
     obs = cut(tables.observations(spark, sf_dir))
     evidence = F.when(F.length("category") == 5, completion.COMPLETION_CLASSES[1]).otherwise(completion.COMPLETION_CLASSES[0])
-    levels = obs.select("economy", "category", "period", (20000 + F.col("unit_price")).alias("level"), evidence.alias("evidence_class"))
+    levels = obs.select("economy", "category", "period", (20000 + F.col("unit_price")).alias("level"), evidence.alias("evidence_class"),
+                        F.concat(F.lit("SRC_"), "economy", F.lit("_"), F.left("category", F.lit(2))).alias("source_id"))
     headline = cut(tables.headline_of(obs).select("economy", "period", (20000 + F.col("unit_price")).alias("level")))
     return levels, headline, cut(tables.profiles(spark, sf_dir)), cut(tables.weights_of(obs))
 
@@ -141,7 +144,8 @@ def predict_rates(spark, sf_dir):
            CASE WHEN period = '{REFERENCE}' THEN coalesce(base_class, 'P3_OFFICIAL_HEADLINE') WHEN observed THEN direct_class ELSE evidence_class END AS evidence_class,
            CASE WHEN period = '{REFERENCE}' AND observed THEN 'OFFICIAL_REFERENCE_REBASE_100' WHEN period = '{REFERENCE}' THEN 'REFERENCE_NORMALISATION_100_WITHOUT_CATEGORY_OBSERVATION'
                 WHEN observed THEN 'DIRECT_OFFICIAL_LEVEL_RELATIVE_TO_REFERENCE' ELSE method END AS method, observed,
-           CASE WHEN observed OR period = '{REFERENCE}' THEN '' ELSE coalesce(donors, '') END AS donors, CASE WHEN central IS NULL THEN 'MISSING_RATE' ELSE 'COMPLETE' END AS status FROM cdonec""", "cdonec"))
+           CASE WHEN observed OR period = '{REFERENCE}' THEN '' ELSE coalesce(donors, '') END AS donors,
+           CASE WHEN observed THEN 'SRC_' || economy || '_' || left(category, 2) WHEN period = '{REFERENCE}' THEN '' ELSE coalesce(sources, '') END AS sources, CASE WHEN central IS NULL THEN 'MISSING_RATE' ELSE 'COMPLETE' END AS status FROM cdonec""", "cdonec"))
 def complete_price_grid(spark, sf_dir):
     levels, headline, _, _, rows = predicted(spark, sf_dir, {"CANDIDATE_SELECTED_PATTERN": POLICY})
     done = completion.complete_price_grid(levels, headline, rows, tables.CATEGORIES, REFERENCE).drop("scenario")
