@@ -372,8 +372,9 @@ def imputation_inputs(spark, sf_dir):
 
 @query("donor_distance", sql(f"SELECT target, donor, same_region, {rnd('distance', 8)} AS distance FROM wdist", "wdist"))
 def donor_distance(spark, sf_dir):
-    cells, profiles, _ = imputation_inputs(spark, sf_dir)
-    return rounded(plan.donor_distance(profiles, plan.core_vectors(cells, POLICY)), distance=8)
+    """Distances of all profiles, those of economies without spending in the year among them."""
+    cells, _, _ = imputation_inputs(spark, sf_dir)
+    return rounded(plan.donor_distance(tables.profiles(spark, sf_dir), plan.core_vectors(cells, POLICY)), distance=8)
 
 
 

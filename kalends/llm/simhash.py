@@ -133,6 +133,31 @@ def _links(shards: DataFrame, radius: int, most: int) -> DataFrame:
     return sorted_rows.mapInArrow(_tree_links(radius), "a long, b long")
 
 
+def _classes(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, sketch: int, most: int, others: tuple[str, ...],
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, _others, fp), and for each fingerprint its smallest id, its class's smallest id and its class's smallest linked fingerprint."""
+    described = _described(shingle, sketch)(F.col("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(f"_{c}") for c in others), F.col(text_col).alias("text"))
+    kept = [f"_{c}" for c in others]
+    base = base.select("doc_id", *kept, described.alias("d"))
+    base = stored(base.select("doc_id", *kept, "d.fp", "d.low") if sketch else base.select("doc_id", *kept, "d.fp"), "prints")
+    smallest = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    if sketch:
+        shards = base.select("fp", F.explode("low").alias("key")).distinct().select(F.lit(0).alias("t"), "key", "fp")
+    else:
+        shards = smallest.select("fp", F.explode(_block_keys(radius, blocks)).alias("k")).select("k.t", "k.key", "fp")
+    labels = component_labels(_links(shards, radius, most))
+    named = labels.join(smallest, labels.node == smallest.fp).select("fp", "label", "first_id")
+    names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    linked = named.join(names, "label").select("fp", "label", "component_id")
+    classes = smallest.join(linked, "fp", "left").select(
+        "fp", "first_id", F.coalesce("label", "fp").alias("label"), F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+    # written, so that a join with the rows shuffles both sides and adaptive execution can split a fingerprint that many rows share
+    return base, stored(classes, "classes")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096,
     others: tuple[str, ...] = (),
@@ -152,20 +177,22 @@ def near_duplicates(
     name; a class without any id has a null ``component_id``. Repeated ids and rows stay as they are. Other columns of
     ``docs`` are not read. An empty table gives an empty result.
     """
-    described = _described(shingle, sketch)(F.col("text"))
-    base = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(f"_{c}") for c in others), F.col(text_col).alias("text"))
-    kept = [f"_{c}" for c in others]
-    base = base.select("doc_id", *kept, described.alias("d"))
-    base = stored(base.select("doc_id", *kept, "d.fp", "d.low") if sketch else base.select("doc_id", *kept, "d.fp"), "prints")
-    smallest = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    if sketch:
-        shards = base.select("fp", F.explode("low").alias("key")).distinct().select(F.lit(0).alias("t"), "key", "fp")
-    else:
-        shards = smallest.select("fp", F.explode(_block_keys(radius, blocks)).alias("k")).select("k.t", "k.key", "fp")
-    labels = component_labels(_links(shards, radius, most))
-    named = labels.join(smallest, labels.node == smallest.fp).select("fp", "label", "first_id")
-    names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    linked = named.join(names, "label").select("fp", "component_id")
-    # written, so that the last join shuffles both sides and adaptive execution can split a fingerprint that many rows share
-    classes = stored(smallest.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "classes")
-    return base.join(classes, "fp").select("doc_id", *(F.col(f"_{c}").alias(c) for c in others), F.col("fp").alias("fingerprint"), "component_id")
+    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others)
+    rows = base.join(classes.select("fp", "component_id"), "fp")
+    return rows.select("doc_id", *(F.col(f"_{c}").alias(c) for c in others), F.col("fp").alias("fingerprint"), "component_id")
+
+
+def representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096,
+    others: tuple[str, ...] = (),
+) -> DataFrame:
+    """One document of each class of ``near_duplicates``: ``doc_id`` and ``others``.
+
+    The row with the class's smallest id stays; of rows that repeat it one, of texts that share it that with the smallest
+    fingerprint, of a class without ids one row of the smallest fingerprint. Rows are joined by fingerprint and id, so copies
+    of a text do not meet in one task.
+    """
+    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others)
+    chosen = classes.where("first_id <=> component_id").groupBy("label", "first_id").agg(F.min("fp").alias("fp"))
+    rows = base.join(chosen.select("fp", "first_id"), (base["fp"] == chosen["fp"]) & base["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
+    return rows.dropDuplicates(["fp", "doc_id"]).select("doc_id", *(F.col(f"_{c}").alias(c) for c in others))
