@@ -27,10 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     The one with the smallest id stays; of rows that repeat it, one; of a group without ids, one.
     """
-    classes = simhash.near_duplicates(docs, shingle=5, radius=12, sketch=4, others=COLUMNS[1:])
-    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")))
-    chosen = classes.where("doc_id <=> component_id").withColumn("group", group)
-    return chosen.dropDuplicates(["group"]).select(*COLUMNS)
+    return simhash.representatives(docs, shingle=5, radius=12, sketch=4, others=COLUMNS[1:]).select(*COLUMNS)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
