@@ -38,20 +38,29 @@ def simhash(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big", signed=True)
 
 
-def _described(shingle: int, sketch: int):
-    """Arrow function: a text's fingerprint and its ``sketch`` smallest distinct shingle hashes."""
+def _remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of independent hashes made from given ones."""
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64))
+    hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return hashes ^ (hashes >> np.uint64(32))
+
+
+def _described(shingle: int, sketch: int, wide: int):
+    """Arrow function: a text's fingerprint, its ``sketch`` smallest distinct shingle hashes and ``wide`` more fingerprint words."""
 
     def run(texts: pa.Array) -> pa.Array:
-        prints, lows = [], []
+        prints, lows, more = [], [], []
         for text in texts:
             hashes = shingle_hashes(text.as_py() or "", shingle)
             prints.append(simhash(hashes))
+            more.append([simhash(_remixed(hashes, k)) for k in range(1, wide + 1)])
             if sketch:
                 lows.append(np.unique(hashes)[:sketch].view(np.int64).tolist())
         lows = lows if sketch else [[]] * len(prints)
-        return pa.StructArray.from_arrays([pa.array(prints, pa.int64()), pa.array(lows, pa.list_(pa.int64()))], ["fp", "low"])
+        longs = pa.list_(pa.int64())
+        return pa.StructArray.from_arrays([pa.array(prints, pa.int64()), pa.array(lows, longs), pa.array(more, longs)], ["fp", "low", "wide"])
 
-    return F.arrow_udf(run, "fp long, low array<long>")
+    return F.arrow_udf(run, "fp long, low array<long>, wide array<long>")
 
 
 def _block_keys(radius: int, blocks: int):
@@ -64,8 +73,11 @@ def _block_keys(radius: int, blocks: int):
     return F.array(*(F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks)))
 
 
-def _tree_links(radius: int):
-    """Spanning links within the radius of every shard; rows come sorted by shard, shards may span Arrow batches."""
+def _tree_links(radius: int, more: tuple[str, ...], limit: int):
+    """Spanning links within the radius of every shard; rows come sorted by shard, shards may span Arrow batches.
+
+    With further fingerprint words ``more``, links differ in at most ``limit`` bits of all words.
+    """
     columns = ("t", "key", "low", "high")
 
     def solve(part: dict[str, np.ndarray]):
@@ -79,6 +91,7 @@ def _tree_links(radius: int):
         if not keep.any():
             return None
         prints, side = part["fp"][keep], part["side"][keep]
+        words = [part[c][keep] for c in more]
         start = np.unique(start[keep], return_index=True)
         start = np.repeat(start[1], np.diff(np.r_[start[1], keep.sum()]))
         label = np.arange(len(prints))
@@ -93,7 +106,11 @@ def _tree_links(radius: int):
         root = spot[head[nodes]]
         tree = bktree.build(root, prints[nodes])
         for q, k in bktree.search(root, prints[nodes], tree, prints[asks], spot[head[asks]], radius):
-            bktree.merge(label, asks[q], nodes[k])
+            a, b = asks[q], nodes[k]
+            if words:
+                gap = sum((np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in words), np.bitwise_count(prints[a] ^ prints[b]).astype(np.int64))
+                a, b = a[gap <= limit], b[gap <= limit]
+            bktree.merge(label, a, b)
         linked = np.flatnonzero(label != np.arange(len(label)))
         return pa.RecordBatch.from_arrays([pa.array(prints[linked].view(np.int64)), pa.array(prints[label[linked]].view(np.int64))], ["a", "b"])
 
@@ -101,7 +118,7 @@ def _tree_links(radius: int):
         rest: dict[str, np.ndarray] | None = None
         for batch in batches:
             part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, "side")}
-            part["fp"] = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            part |= {c: batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("fp", *more)}
             if rest is not None:
                 part = {c: np.concatenate([rest[c], part[c]]) for c in part}
             if not len(part["fp"]):
@@ -119,35 +136,37 @@ def _tree_links(radius: int):
     return run
 
 
-def _links(shards: DataFrame, radius: int, most: int) -> DataFrame:
-    """Links of the shards ``(t, key, fp)``. A shard of over ``most`` is dealt into chunks, and each pair of chunks is one tree and its searches."""
+def _links(shards: DataFrame, radius: int, most: int, limit: int) -> DataFrame:
+    """Links of the shards ``(t, key, fp)`` and further fingerprint words. A shard of over ``most`` is dealt into chunks, and each pair of chunks is one tree and its searches."""
     large = shards.groupBy("t", "key").count().where(F.col("count") > most)
     large = large.select("t", "key", F.ceil(F.col("count") / most).cast("int").alias("chunks"))
     dealt = shards.join(large, ["t", "key"], "left").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1))).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
+    more = tuple(c for c in shards.columns if c not in ("t", "key", "fp"))
     rows = dealt.select(
-        "t", "key", "fp", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+        "t", "key", "fp", *more, F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
         (F.col("chunk") > F.col("other")).cast("int").alias("side"),
     )
     sorted_rows = rows.repartition(shuffle_width(shards.sparkSession), "t", "key", "low", "high").sortWithinPartitions("t", "key", "low", "high", "side", "fp")
-    return sorted_rows.mapInArrow(_tree_links(radius), "a long, b long")
+    return sorted_rows.mapInArrow(_tree_links(radius, more, limit), "a long, b long")
 
 
 def _classes(
-    docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, sketch: int, most: int, others: tuple[str, ...],
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, sketch: int, most: int, others: tuple[str, ...], wide: int, limit: int,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, _others, fp), and for each fingerprint its smallest id, its class's smallest id and its class's smallest linked fingerprint."""
-    described = _described(shingle, sketch)(F.col("text"))
+    described = _described(shingle, sketch, wide)(F.col("text"))
     base = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(f"_{c}") for c in others), F.col(text_col).alias("text"))
     kept = [f"_{c}" for c in others]
     base = base.select("doc_id", *kept, described.alias("d"))
-    base = stored(base.select("doc_id", *kept, "d.fp", "d.low") if sketch else base.select("doc_id", *kept, "d.fp"), "prints")
+    base = stored(base.select("doc_id", *kept, "d.fp", "d.low", "d.wide") if sketch else base.select("doc_id", *kept, "d.fp"), "prints")
     smallest = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     if sketch:
-        shards = base.select("fp", F.explode("low").alias("key")).distinct().select(F.lit(0).alias("t"), "key", "fp")
+        more = [F.get("wide", F.lit(k)).alias(f"w{k}") for k in range(wide)]
+        shards = base.select(F.lit(0).alias("t"), F.explode("low").alias("key"), "fp", *more).distinct()
     else:
         shards = smallest.select("fp", F.explode(_block_keys(radius, blocks)).alias("k")).select("k.t", "k.key", "fp")
-    labels = component_labels(_links(shards, radius, most))
+    labels = component_labels(_links(shards, radius, most, limit))
     named = labels.join(smallest, labels.node == smallest.fp).select("fp", "label", "first_id")
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     linked = named.join(names, "label").select("fp", "label", "component_id")
@@ -160,7 +179,7 @@ def _classes(
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096,
-    others: tuple[str, ...] = (),
+    others: tuple[str, ...] = (), wide: int = 0, limit: int = 0,
 ) -> DataFrame:
     """Class of every document whose SimHash fingerprints link at ``radius`` or fewer differing bits.
 
@@ -171,20 +190,21 @@ def near_duplicates(
     Shards: with ``sketch`` 0, every choice of ``blocks - radius`` of the ``blocks`` bit blocks, which loses no pair
     within the radius. For wide radii bit blocks select nothing; ``sketch`` k deals fingerprints by the k smallest
     shingle hashes of their texts instead, of which near copies share one except with a chance of about
-    ``(1 - similarity) ** k``.
+    ``(1 - similarity) ** k``. There, ``wide`` more fingerprint words of 64 bits each tell similarities apart better: a link
+    then also differs in at most ``limit`` bits of all words.
 
     Null or wordless texts have fingerprint 0 and link like any other. Rows with a null id get a class, but give it no
     name; a class without any id has a null ``component_id``. Repeated ids and rows stay as they are. Other columns of
     ``docs`` are not read. An empty table gives an empty result.
     """
-    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others)
+    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others, wide, limit)
     rows = base.join(classes.select("fp", "component_id"), "fp")
     return rows.select("doc_id", *(F.col(f"_{c}").alias(c) for c in others), F.col("fp").alias("fingerprint"), "component_id")
 
 
 def representatives(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096,
-    others: tuple[str, ...] = (),
+    others: tuple[str, ...] = (), wide: int = 0, limit: int = 0,
 ) -> DataFrame:
     """One document of each class of ``near_duplicates``: ``doc_id`` and ``others``.
 
@@ -192,7 +212,7 @@ def representatives(
     fingerprint, of a class without ids one row of the smallest fingerprint. Rows are joined by fingerprint and id, so copies
     of a text do not meet in one task.
     """
-    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others)
+    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others, wide, limit)
     chosen = classes.where("first_id <=> component_id").groupBy("label", "first_id").agg(F.min("fp").alias("fp"))
     rows = base.join(chosen.select("fp", "first_id"), (base["fp"] == chosen["fp"]) & base["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
     return rows.dropDuplicates(["fp", "doc_id"]).select("doc_id", *(F.col(f"_{c}").alias(c) for c in others))

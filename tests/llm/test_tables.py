@@ -165,7 +165,7 @@ def test_pipeline_stages(spark):
     rows = corpus()
     docs = documents(spark, rows)
     kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
-    classes = Counter((r.component_id, r.fingerprint if r.component_id is None else None) for r in simhash.near_duplicates(docs, shingle=5, radius=12, sketch=4).collect())
+    classes = Counter((r.component_id, r.fingerprint if r.component_id is None else None) for r in simhash.near_duplicates(docs, shingle=5, radius=18, sketch=4, wide=3, limit=44).collect())
     assert len(kept) == len(classes) and len({r.doc_id for r in kept}) == len(kept)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0, name
