@@ -23,13 +23,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies by 256-bit SimHash prints of five-word shingles.
+    """Keep one document of each group of texts linked by a Jaccard similarity of 0.8 or more of their five-word shingles.
 
-    Texts that share a Jaccard similarity of 0.8 differ in 39 bits on average, with a deviation of 6; ``limit`` is one deviation
-    above, so that few of them are missed. The first 64 bits, within 18, are what the trees search.
-    The one with the smallest id stays; of rows that repeat it, one; of a group without ids, one.
+    256-bit SimHash prints find the pairs to check. At 0.8 they differ in 39 bits on average with a deviation of 6, in 48 where a
+    text has only four or five shingles; ``limit`` is over four deviations above either, and so is 26 for the first 64 bits, which the
+    trees search. The one with the smallest id stays; of rows that repeat it, one; of a group without ids, one.
     """
-    return simhash.representatives(docs, shingle=5, radius=18, sketch=4, wide=3, limit=44, others=COLUMNS[1:]).select(*COLUMNS)
+    return simhash.representatives(docs, shingle=5, radius=26, sketch=4, wide=3, limit=76, least=0.8, others=COLUMNS[1:]).select(*COLUMNS)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

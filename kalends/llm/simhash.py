@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -15,6 +16,7 @@ from kalends.llm.common import shuffle_width, stored
 from kalends.llm.components import component_labels
 
 SEED, STEP = 42, 1 << 16
+MOST_HASHES = 1 << 21  # of the shingle sets of one chunk of a shard
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -46,21 +48,39 @@ def _remixed(hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 def _described(shingle: int, sketch: int, wide: int):
-    """Arrow function: a text's fingerprint, its ``sketch`` smallest distinct shingle hashes and ``wide`` more fingerprint words."""
+    """Arrow function: a text's fingerprint, its ``sketch`` smallest distinct shingle hashes and ``wide`` more fingerprint words.
+
+    With a sketch, the digest and the size of the shingle set come too.
+    """
 
     def run(texts: pa.Array) -> pa.Array:
-        prints, lows, more = [], [], []
+        prints, lows, more, nodes, sizes = [], [], [], [], []
         for text in texts:
             hashes = shingle_hashes(text.as_py() or "", shingle)
+            if sketch:
+                own = np.unique(hashes)
+                nodes.append(xxhash.xxh3_128_digest(own.tobytes()))
+                sizes.append(len(own))
+                lows.append(own[:sketch].view(np.int64).tolist())
             prints.append(simhash(hashes))
             more.append([simhash(_remixed(hashes, k)) for k in range(1, wide + 1)])
-            if sketch:
-                lows.append(np.unique(hashes)[:sketch].view(np.int64).tolist())
         lows = lows if sketch else [[]] * len(prints)
         longs = pa.list_(pa.int64())
-        return pa.StructArray.from_arrays([pa.array(prints, pa.int64()), pa.array(lows, longs), pa.array(more, longs)], ["fp", "low", "wide"])
+        arrays, names = [pa.array(prints, pa.int64()), pa.array(lows, longs), pa.array(more, longs)], ["fp", "low", "wide"]
+        if sketch:
+            arrays, names = [*arrays, pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64())], [*names, "node", "n"]
+        return pa.StructArray.from_arrays(arrays, names)
+
+    return F.arrow_udf(run, "fp long, low array<long>, wide array<long>" + (", node binary, n long" if sketch else ""))
+
+
+def _shingle_set(shingle: int):
+    """Arrow function: a text's distinct shingle hashes."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([np.unique(shingle_hashes(text.as_py() or "", shingle)).view(np.int64) for text in texts], pa.list_(pa.int64()))
 
-    return F.arrow_udf(run, "fp long, low array<long>, wide array<long>")
+    return F.arrow_udf(run, "array<long>")
 
 
 def _block_keys(radius: int, blocks: int):
@@ -73,12 +93,41 @@ def _block_keys(radius: int, blocks: int):
     return F.array(*(F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks)))
 
 
-def _tree_links(radius: int, more: tuple[str, ...], limit: int):
+def _similar(label: np.ndarray, a: np.ndarray, b: np.ndarray, sets: tuple[np.ndarray, np.ndarray, np.ndarray], seen: np.ndarray, least: Fraction) -> None:
+    """Join the classes of those pairs (a, b) whose sets have a Jaccard similarity of ``least`` or more; pairs of one class need no check.
+
+    ``sets`` are the codes of all members, and where each one's begin and end; ``seen`` is all false, with a place for every code.
+    """
+    codes, begin, end = sets
+    if not len(a):
+        return
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    edges = np.r_[0, np.flatnonzero(np.diff(a)) + 1, len(a)]
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        x, y = a[i], b[i:j]
+        y = y[label[y] != label[x]]
+        own, size = end[x] - begin[x], end[y] - begin[y]
+        fits = least.denominator * np.minimum(size, own) >= least.numerator * np.maximum(size, own)
+        y, size = y[fits & (size > 0)], size[fits & (size > 0)]
+        if not y.size:
+            continue
+        seen[codes[begin[x] : end[x]]] = True
+        first = np.cumsum(size) - size
+        both = np.add.reduceat(seen[codes[np.repeat(begin[y] - first, size) + np.arange(size.sum())]], first, dtype=np.int64)
+        seen[codes[begin[x] : end[x]]] = False
+        y = y[least.denominator * both >= least.numerator * (own + size - both)]
+        bktree.merge(label, np.full(len(y), x), y)
+
+
+def _tree_links(radius: int, more: tuple[str, ...] = (), limit: int = 0, least: Fraction | None = None):
     """Spanning links within the radius of every shard; rows come sorted by shard, shards may span Arrow batches.
 
-    With further fingerprint words ``more``, links differ in at most ``limit`` bits of all words.
+    With ``least``, rows also have the fingerprint words ``more``, ``node`` and ``set``: every pair within the radius and ``limit`` bits
+    of all words is checked by its sets before it links, and links are pairs of nodes.
     """
     columns = ("t", "key", "low", "high")
+    exact = ("node", "set") if least is not None else ()
 
     def solve(part: dict[str, np.ndarray]):
         n = len(part["fp"])
@@ -105,19 +154,29 @@ def _tree_links(radius: int, more: tuple[str, ...], limit: int):
         asks = np.flatnonzero((head < len(prints)) & (whole | (side == 1)))
         root = spot[head[nodes]]
         tree = bktree.build(root, prints[nodes])
+        if exact:
+            own = part["set"][keep]
+            size = np.array([len(x) for x in own])
+            values, codes = np.unique(np.concatenate(list(own)), return_inverse=True)
+            sets, seen = (codes, np.cumsum(size) - size, np.cumsum(size)), np.zeros(len(values), bool)
         for q, k in bktree.search(root, prints[nodes], tree, prints[asks], spot[head[asks]], radius):
             a, b = asks[q], nodes[k]
-            if words:
+            if exact:
                 gap = sum((np.bitwise_count(w[a] ^ w[b]).astype(np.int64) for w in words), np.bitwise_count(prints[a] ^ prints[b]).astype(np.int64))
-                a, b = a[gap <= limit], b[gap <= limit]
-            bktree.merge(label, a, b)
+                near = (gap <= limit) & (~whole[a] | (a < b))  # members of a whole shard find each other twice
+                _similar(label, a[near], b[near], sets, seen, least)
+            else:
+                bktree.merge(label, a, b)
         linked = np.flatnonzero(label != np.arange(len(label)))
+        if exact:
+            names = part["node"][keep]
+            return pa.RecordBatch.from_arrays([pa.array(names[linked], pa.binary()), pa.array(names[label[linked]], pa.binary())], ["a", "b"])
         return pa.RecordBatch.from_arrays([pa.array(prints[linked].view(np.int64)), pa.array(prints[label[linked]].view(np.int64))], ["a", "b"])
 
     def run(batches):
         rest: dict[str, np.ndarray] | None = None
         for batch in batches:
-            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, "side")}
+            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*columns, "side", *exact)}
             part |= {c: batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("fp", *more)}
             if rest is not None:
                 part = {c: np.concatenate([rest[c], part[c]]) for c in part}
@@ -136,50 +195,81 @@ def _tree_links(radius: int, more: tuple[str, ...], limit: int):
     return run
 
 
-def _links(shards: DataFrame, radius: int, most: int, limit: int) -> DataFrame:
-    """Links of the shards ``(t, key, fp)`` and further fingerprint words. A shard of over ``most`` is dealt into chunks, and each pair of chunks is one tree and its searches."""
+def _links(shards: DataFrame, radius: int, most: int) -> DataFrame:
+    """Links of the shards ``(t, key, fp)``. A shard of over ``most`` is dealt into chunks, and each pair of chunks is one tree and its searches."""
     large = shards.groupBy("t", "key").count().where(F.col("count") > most)
     large = large.select("t", "key", F.ceil(F.col("count") / most).cast("int").alias("chunks"))
-    dealt = shards.join(large, ["t", "key"], "left").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1))).cast("int"))
+    return _tree_rows(shards.join(large, ["t", "key"], "left"), "fp").mapInArrow(_tree_links(radius), "a long, b long")
+
+
+def _exact_links(shards: DataFrame, texts: DataFrame, shingle: int, radius: int, most: int, limit: int, least: float) -> DataFrame:
+    """Links of nodes whose shingle sets have a Jaccard similarity of ``least`` or more, among the pairs that a shard's tree finds.
+
+    ``shards`` has ``(t, key, fp, node, n)`` and further fingerprint words, ``texts`` rows ``(node, text)``. Sets are made only for
+    members of shards of two or more; a shard of over ``most`` members or ``MOST_HASHES`` hashes is dealt into chunks.
+    """
+    more = tuple(c for c in shards.columns if c not in ("t", "key", "fp", "node", "n"))
+    shards = stored(shards, "shards")
+    several = shards.groupBy("t", "key").agg(F.count("*").alias("count"), F.sum("n").alias("n")).where("count > 1")
+    several = stored(several.select("t", "key", F.ceil(F.greatest(F.col("count") / most, F.col("n") / MOST_HASHES)).cast("int").alias("chunks")), "several")
+    dealt = stored(shards.drop("n").join(several, ["t", "key"]), "shards")
+    nodes = stored(dealt.select("node").distinct(), "nodes")
+    # copies of a text are put together before the shuffle
+    sets = texts.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    sets = stored(sets.select("node", _shingle_set(shingle)(F.col("text")).alias("set")), "sets")
+    rows = _tree_rows(dealt.join(sets, "node"), "node")
+    return rows.mapInArrow(_tree_links(radius, more, limit, Fraction(str(least))), "a binary, b binary")
+
+
+def _tree_rows(dealt: DataFrame, node: str) -> DataFrame:
+    """Shards with their numbers of ``chunks`` (null is one) dealt to tasks: for each pair of chunks, a side to build from and one to search."""
+    names = [c for c in dealt.columns if c not in ("t", "key", "fp", "chunks")]
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64(node), F.coalesce("chunks", F.lit(1))).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
-    more = tuple(c for c in shards.columns if c not in ("t", "key", "fp"))
     rows = dealt.select(
-        "t", "key", "fp", *more, F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+        "t", "key", "fp", *names, F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
         (F.col("chunk") > F.col("other")).cast("int").alias("side"),
     )
-    sorted_rows = rows.repartition(shuffle_width(shards.sparkSession), "t", "key", "low", "high").sortWithinPartitions("t", "key", "low", "high", "side", "fp")
-    return sorted_rows.mapInArrow(_tree_links(radius, more, limit), "a long, b long")
+    return rows.repartition(shuffle_width(dealt.sparkSession), "t", "key", "low", "high").sortWithinPartitions("t", "key", "low", "high", "side", node)
 
 
 def _classes(
-    docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, sketch: int, most: int, others: tuple[str, ...], wide: int, limit: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, _others, fp), and for each fingerprint its smallest id, its class's smallest id and its class's smallest linked fingerprint."""
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, sketch: int, most: int, others: tuple[str, ...], wide: int, limit: int, least: float,
+) -> tuple[DataFrame, DataFrame, str]:
+    """Rows (doc_id, _others, fp), for each fingerprint its smallest id, its class's smallest id and its class's smallest linked fingerprint, and the
+    column that tells texts apart: ``fp``, or with a sketch the digest of the shingle set, ``node``, in place of the fingerprint."""
     described = _described(shingle, sketch, wide)(F.col("text"))
     base = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(f"_{c}") for c in others), F.col(text_col).alias("text"))
-    kept = [f"_{c}" for c in others]
-    base = base.select("doc_id", *kept, described.alias("d"))
-    base = stored(base.select("doc_id", *kept, "d.fp", "d.low", "d.wide") if sketch else base.select("doc_id", *kept, "d.fp"), "prints")
-    smallest = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    kept, node = [f"_{c}" for c in others], "fp"
+    if sketch:
+        own = [] if text_col in others else ["text"]
+        base = stored(base.select("doc_id", *kept, *own, described.alias("d")).select("doc_id", *kept, *own, "d.fp", "d.low", "d.wide", "d.node", "d.n"), "prints")
+        texts, node = base.select("node", F.col(own[0] if own else f"_{text_col}").alias("text")), "node"
+    else:
+        base = base.select("doc_id", *kept, described.alias("d"))
+        base = stored(base.select("doc_id", *kept, "d.fp"), "prints")
+    smallest = base.groupBy(node).agg(F.min("doc_id").alias("first_id"))
     if sketch:
         more = [F.get("wide", F.lit(k)).alias(f"w{k}") for k in range(wide)]
-        shards = base.select(F.lit(0).alias("t"), F.explode("low").alias("key"), "fp", *more).distinct()
+        shards = base.select(F.lit(0).alias("t"), F.explode("low").alias("key"), "fp", *more, "node", "n").distinct()
+        links = _exact_links(shards, texts, shingle, radius, most, limit, least)
     else:
         shards = smallest.select("fp", F.explode(_block_keys(radius, blocks)).alias("k")).select("k.t", "k.key", "fp")
-    labels = component_labels(_links(shards, radius, most, limit))
-    named = labels.join(smallest, labels.node == smallest.fp).select("fp", "label", "first_id")
+        links = _links(shards, radius, most)
+    labels = component_labels(links).withColumnRenamed("node", "member")
+    named = labels.join(smallest, labels["member"] == smallest[node]).select(node, "label", "first_id")
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    linked = named.join(names, "label").select("fp", "label", "component_id")
-    classes = smallest.join(linked, "fp", "left").select(
-        "fp", "first_id", F.coalesce("label", "fp").alias("label"), F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
+    linked = named.join(names, "label").select(node, "label", "component_id")
+    classes = smallest.join(linked, node, "left").select(
+        node, "first_id", F.coalesce("label", node).alias("label"), F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    # written, so that a join with the rows shuffles both sides and adaptive execution can split a fingerprint that many rows share
-    return base, stored(classes, "classes")
+    # written, so that a join with the rows shuffles both sides and adaptive execution can split a text that many rows share
+    return base, stored(classes, "classes"), node
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096,
-    others: tuple[str, ...] = (), wide: int = 0, limit: int = 0,
+    others: tuple[str, ...] = (), wide: int = 0, limit: int = 0, least: float = 0.8,
 ) -> DataFrame:
     """Class of every document whose SimHash fingerprints link at ``radius`` or fewer differing bits.
 
@@ -190,29 +280,32 @@ def near_duplicates(
     Shards: with ``sketch`` 0, every choice of ``blocks - radius`` of the ``blocks`` bit blocks, which loses no pair
     within the radius. For wide radii bit blocks select nothing; ``sketch`` k deals fingerprints by the k smallest
     shingle hashes of their texts instead, of which near copies share one except with a chance of about
-    ``(1 - similarity) ** k``. There, ``wide`` more fingerprint words of 64 bits each tell similarities apart better: a link
-    then also differs in at most ``limit`` bits of all words.
+    ``(1 - similarity) ** k``. There, ``wide`` more fingerprint words of 64 bits each tell similarities apart better, and
+    fingerprints only find candidates, within the radius and in at most ``limit`` bits of all words:
+    texts are told apart by their shingle sets, and a candidate pair links if the Jaccard similarity of its sets is ``least``
+    or more, counted in the shard's task.
 
-    Null or wordless texts have fingerprint 0 and link like any other. Rows with a null id get a class, but give it no
+    Null or wordless texts have fingerprint 0 and link like any other; with a sketch they are copies of one another.
+    Rows with a null id get a class, but give it no
     name; a class without any id has a null ``component_id``. Repeated ids and rows stay as they are. Other columns of
     ``docs`` are not read. An empty table gives an empty result.
     """
-    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others, wide, limit)
-    rows = base.join(classes.select("fp", "component_id"), "fp")
+    base, classes, node = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others, wide, limit, least)
+    rows = base.join(classes.select(node, "component_id"), node)
     return rows.select("doc_id", *(F.col(f"_{c}").alias(c) for c in others), F.col("fp").alias("fingerprint"), "component_id")
 
 
 def representatives(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3, radius: int = 3, blocks: int = 5, sketch: int = 0, most: int = 4096,
-    others: tuple[str, ...] = (), wide: int = 0, limit: int = 0,
+    others: tuple[str, ...] = (), wide: int = 0, limit: int = 0, least: float = 0.8,
 ) -> DataFrame:
     """One document of each class of ``near_duplicates``: ``doc_id`` and ``others``.
 
     The row with the class's smallest id stays; of rows that repeat it one, of texts that share it that with the smallest
-    fingerprint, of a class without ids one row of the smallest fingerprint. Rows are joined by fingerprint and id, so copies
+    fingerprint (with a sketch, digest of its shingles), of a class without ids one row of the smallest. Rows are joined by it and id, so copies
     of a text do not meet in one task.
     """
-    base, classes = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others, wide, limit)
-    chosen = classes.where("first_id <=> component_id").groupBy("label", "first_id").agg(F.min("fp").alias("fp"))
-    rows = base.join(chosen.select("fp", "first_id"), (base["fp"] == chosen["fp"]) & base["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
-    return rows.dropDuplicates(["fp", "doc_id"]).select("doc_id", *(F.col(f"_{c}").alias(c) for c in others))
+    base, classes, node = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others, wide, limit, least)
+    chosen = classes.where("first_id <=> component_id").groupBy("label", "first_id").agg(F.min(node).alias(node))
+    rows = base.join(chosen.select(node, "first_id"), (base[node] == chosen[node]) & base["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
+    return rows.dropDuplicates([node, "doc_id"]).select("doc_id", *(F.col(f"_{c}").alias(c) for c in others))
