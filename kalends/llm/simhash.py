@@ -50,7 +50,7 @@ def _remixed(hashes: np.ndarray, k: int) -> np.ndarray:
 def _described(shingle: int, sketch: int, wide: int):
     """Arrow function: a text's fingerprint, its ``sketch`` smallest distinct shingle hashes and ``wide`` more fingerprint words.
 
-    With a sketch, the digest and the size of the shingle set come too.
+    With a sketch, each shingle votes once, and the digest and the size of the shingle set come too.
     """
 
     def run(texts: pa.Array) -> pa.Array:
@@ -58,10 +58,10 @@ def _described(shingle: int, sketch: int, wide: int):
         for text in texts:
             hashes = shingle_hashes(text.as_py() or "", shingle)
             if sketch:
-                own = np.unique(hashes)
-                nodes.append(xxhash.xxh3_128_digest(own.tobytes()))
-                sizes.append(len(own))
-                lows.append(own[:sketch].view(np.int64).tolist())
+                hashes = np.unique(hashes)
+                nodes.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                sizes.append(len(hashes))
+                lows.append(hashes[:sketch].view(np.int64).tolist())
             prints.append(simhash(hashes))
             more.append([simhash(_remixed(hashes, k)) for k in range(1, wide + 1)])
         lows = lows if sketch else [[]] * len(prints)
@@ -281,7 +281,7 @@ def near_duplicates(
     within the radius. For wide radii bit blocks select nothing; ``sketch`` k deals fingerprints by the k smallest
     shingle hashes of their texts instead, of which near copies share one except with a chance of about
     ``(1 - similarity) ** k``. There, ``wide`` more fingerprint words of 64 bits each tell similarities apart better, and
-    fingerprints only find candidates, within the radius and in at most ``limit`` bits of all words:
+    fingerprints only find candidates, within the radius and in at most ``limit`` bits of all words: each shingle votes once,
     texts are told apart by their shingle sets, and a candidate pair links if the Jaccard similarity of its sets is ``least``
     or more, counted in the shard's task.
 

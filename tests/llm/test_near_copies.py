@@ -66,3 +66,11 @@ def test_stage_equals_brute_force(spark, most):
     if most == 4096:
         kept = corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()
         assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+
+
+def test_texts_of_one_filler_stay_apart(spark):
+    rng = random.Random(5)
+    rows = [(k, " ".join(["x"] * 200 + [f"w{rng.randrange(10**9)}" for _ in range(60)])) for k in range(6)]
+    rows.append((9, rows[2][1].replace(" ", "\n")))
+    kept = corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, 2, 3, 4, 5]
