@@ -14,22 +14,29 @@ from kalends.llm.common import map_texts
 ROUNDS = 10
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
-PATTERN = re.compile(
-    r"""
-      (?P<secret>(?<!\w)(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s?[=:]\s?["']?(?P<value>[A-Za-z0-9+/_.-]{8,}))
-    | (?P<email>(?<![\w.+%-])(?P<local>[A-Za-z0-9][A-Za-z0-9._+%-]*)@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?!\w))
-    | (?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))
-    | (?P<key>(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w))
-    | (?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|\.[0-9]))
-    | (?P<date>(?<![\w./-])(?:[0-9]{4}(?P<ymd>[-/.])[0-9]{1,2}(?P=ymd)[0-9]{1,2}|[0-9]{1,2}(?P<dmy>[-/.])[0-9]{1,2}(?P=dmy)[0-9]{4})(?![\w/-]|\.[0-9]))
-    | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
-    | (?P<phone>(?<![\w+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w))
-    | (?P<world>(?<![\w+])\+[2-9][0-9](?:[ .-]?\(?[0-9]\)?){7,12}(?!\w))
-    | (?P<card>(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?!\w|-[0-9]))
-    """,
-    re.VERBOSE,
-)
-KINDS = ("secret", "email", "iban", "key", "ip", "date", "ssn", "phone", "world", "card")
+PARTS = {
+    "secret": r"""(?<!\w)(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)\s?[=:]\s?["']?(?P<value>[A-Za-z0-9+/_.-]{8,})""",
+    "email": r"(?<![\w.+%-])(?P<local>[A-Za-z0-9][A-Za-z0-9._+%-]*)@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?!\w)",
+    "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w)",
+    "key": r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)",
+    "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|\.[0-9])",
+    # a time may follow a date after T
+    "date": r"(?<![\w./-])(?:[0-9]{4}(?P<ymd>[-/.])[0-9]{1,2}(?P=ymd)[0-9]{1,2}|[0-9]{1,2}(?P<dmy>[-/.])[0-9]{1,2}(?P=dmy)[0-9]{4})(?![/-]|(?![Tt][0-9]{2})\w|\.[0-9])",
+    "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "phone": r"(?<![\w+])(?:(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?!\w)",
+    "world": r"(?<![\w+])\+[2-9][0-9](?:[ .-]?\(?[0-9]\)?){7,12}(?!\w)",
+    "card": r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?!\w)",
+}
+KINDS = tuple(PARTS)
+EACH = {kind: re.compile(part) for kind, part in PARTS.items()}
+PATTERN = re.compile("|".join(f"(?P<{kind}>{part})" for kind, part in PARTS.items()))
+TOKEN = re.compile(r"\W*\w+")
+#: Characters of an account number by country.
+IBAN_SIZES = {k: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 33: "RU", 32: "LC",
+}.items() for k in codes.split()}
 HINT = re.compile("[0-9@=:]")
 
 
@@ -65,6 +72,24 @@ def luhn(digits: str) -> int:
     return (sum(own[::2]) + sum(sum(divmod(2 * d, 10)) for d in own[1::2])) % 10
 
 
+def _candidates(kind: str, found: str):
+    """What a match may hold at its start: cards end at any token from 19 to 13 digits, account numbers first at their country's length."""
+    if kind == "iban":
+        size = IBAN_SIZES.get(found[:2], 0)
+        places = [k for k, c in enumerate(found, 1) if c != " "]
+        if 0 < size < len(places) and found[places[size - 1]] == " ":
+            yield found[: places[size - 1]]
+    yield found
+    if kind == "card":
+        digits = sum(c.isdigit() for c in found)
+        for k in range(len(found) - 1, 0, -1):
+            digits -= found[k].isdigit()
+            if digits < 13:
+                return
+            if not found[k].isdigit():
+                yield found[:k]
+
+
 def _refill(shape: str, letters: str) -> str:
     """``shape`` with its letters and digits replaced in order."""
     new = iter(letters)
@@ -156,7 +181,11 @@ class Pseudonyms:
         return self._digits("ssn", text, 0, lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000")
 
     def phone(self, text: str) -> str | None:
-        return self._digits("phone", text, sum(c.isdigit() for c in text) - 10, lambda d: d[0] > "1" and d[3] > "1")
+        usual = lambda d: d[0] > "1" and d[3] > "1"
+        new = self._digits("phone", text, sum(c.isdigit() for c in text) - 10, usual)
+        if new is None and text[0] == "+":  # marked as a number, so unusual ones are permuted among themselves
+            return self._digits("unusual", text, 1, lambda d: not usual(d))
+        return new
 
     def world(self, text: str) -> str | None:
         return self._digits("world", text, 2, lambda d: True)
@@ -174,24 +203,38 @@ class Pseudonyms:
         if not HINT.search(text):
             return text, counts
 
-        def one(m: re.Match) -> str:
-            kind = next(k for k in KINDS if m[k] is not None)
-            new = getattr(self, kind)(m[0])
+        out, done, at = [], 0, 0
+        while (m := PATTERN.search(text, at)) is not None:
+            kind, found, new = self._first(text, m)
             if new is None:
-                return m[0]
+                at = TOKEN.match(text, m.start()).end()  # a valid value may begin inside what has failed
+                continue
             counts[kind] = counts.get(kind, 0) + 1
-            return new
+            out += [text[done : m.start()], new]
+            done = at = m.start() + len(found)
+        return "".join([*out, text[done:]]), counts
 
-        return PATTERN.sub(one, text), counts
+    def _first(self, text: str, m: re.Match) -> tuple[str, str, str | None]:
+        """Kind, value and pseudonym of the first candidate at the start of a match that passes its check; later kinds are tried too."""
+        first = next(k for k, kind in enumerate(KINDS) if m[kind] is not None)
+        for kind in KINDS[first:]:
+            match = m if kind == KINDS[first] else EACH[kind].match(text, m.start())
+            for found in _candidates(kind, match[0]) if match is not None else ():
+                if (new := getattr(self, kind)(found)) is not None:
+                    return kind, found, new
+        return "", "", None
 
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", *, others: tuple[str, ...] = ()) -> DataFrame:
     """Replace personal data and secrets in whole texts by pseudonyms of the same format, without a shuffle.
 
     Cards pass the Luhn check before and after, account numbers the modulo-97 check, dates are days of 1900 to 2099, address
-    and phone numbers keep valid parts; what fails its check stays. Each kind is a permutation keyed by ``key``, so equal
+    and phone numbers keep valid parts; what fails its check stays, after cards have been tried at every token's end from 19 to 13
+    digits and account numbers at their country's length, and the scan goes on behind the first token. A number after +1 that is no usual one is
+    permuted among such. Each kind is a permutation keyed by ``key``, so equal
     values get equal pseudonyms in all documents, different ones different pseudonyms, and the key's holder can go back
-    (``Pseudonyms(key, inverse=True)``; only dates written without leading zeros may come back with them). A mail address keeps its domain, a card its first digit, a phone number its
+    (``Pseudonyms(key, inverse=True)``; only dates written without leading zeros may come back with them, and a card
+    right before more digits may be read with them if both pass the check). A mail address keeps its domain, a card its first digit, a phone number its
     country code. Day-first dates with slashes or hyphens are linked among themselves.
 
     Returns ``doc_id``, ``others`` as they are, ``text`` and ``kinds`` (a count for each kind found), one row per row of
