@@ -72,8 +72,25 @@ def features(text: str | None, setup: Settings):
         yield _buckets(np.concatenate(found), setup.buckets)
 
 
-def train(rows: list[tuple[str | None, int]], setup: Settings) -> tuple[np.ndarray, float]:
-    """Fit vectors of buckets and a softmax over their mean by stochastic gradient descent.
+def counted(setup: Settings):
+    """Function of texts for ``map_texts``: the buckets of each whole text and how often each occurs, as bytes of 32-bit integers."""
+
+    def make(texts: list[str | None]):
+        places, times = [], []
+        for text in texts:
+            total = np.zeros(setup.buckets, np.int64)
+            for found in features(text, setup):
+                total += np.bincount(found, minlength=setup.buckets)
+            place = np.flatnonzero(total)
+            places.append(place.astype("<i4").tobytes())
+            times.append(total[place].astype("<i4").tobytes())
+        return places, times
+
+    return make
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], setup: Settings) -> tuple[np.ndarray, float]:
+    """Fit vectors of buckets and a softmax over their mean by stochastic gradient descent; rows are buckets, their counts and labels.
 
     The softmax is linear in the mean vector, so a bucket's share of the score is one number: returned are these numbers,
     class 1 against class 0, and the intercept. Reruns on the same rows agree. Without rows all scores are 0.5.
@@ -81,8 +98,7 @@ def train(rows: list[tuple[str | None, int]], setup: Settings) -> tuple[np.ndarr
     if not rows:
         return np.zeros(setup.buckets), 0.0
     rng = np.random.default_rng(setup.seed)
-    sets = [np.concatenate([np.zeros(0, np.int64), *features(text, setup)]) for text, _ in rows]
-    labels = np.array([y for _, y in rows], np.int64)
+    labels, sizes = np.array([y for *_, y in rows], np.int64), np.array([times.sum() for _, times, _ in rows])
     vectors = rng.uniform(-1 / setup.dims, 1 / setup.dims, (setup.dims, setup.buckets))
     weights, bias = rng.normal(0, 0.5, (setup.dims, 2)), np.zeros(2)
     parts = max(1, len(rows) // setup.batch)
@@ -91,11 +107,11 @@ def train(rows: list[tuple[str | None, int]], setup: Settings) -> tuple[np.ndarr
         if step % parts == 0:
             order = np.array_split(rng.permutation(len(rows)), parts)
         part, rate = order[step % parts], setup.rate * (1 - step / steps)
-        flat = np.concatenate([sets[i] for i in part])
-        size = np.array([len(sets[i]) for i in part])
-        owner = np.repeat(np.arange(len(part)), size)
-        per = 1 / np.maximum(size, 1)
-        mean = np.stack([np.bincount(owner, v[flat], len(part)) for v in vectors], axis=1) * per[:, None]
+        flat = np.concatenate([rows[i][0] for i in part])
+        times = np.concatenate([rows[i][1] for i in part])
+        owner = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])
+        per = 1 / np.maximum(sizes[part], 1)
+        mean = np.stack([np.bincount(owner, v[flat] * times, len(part)) for v in vectors], axis=1) * per[:, None]
         logits = mean @ weights + bias
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         error = odds / odds.sum(axis=1, keepdims=True)
@@ -104,31 +120,25 @@ def train(rows: list[tuple[str | None, int]], setup: Settings) -> tuple[np.ndarr
         weights -= rate * (mean.T @ error) / len(part)
         bias -= rate * error.mean(axis=0)
         for d in range(setup.dims):
-            vectors[d] -= rate * setup.dims * np.bincount(flat, back[owner, d], setup.buckets)
+            vectors[d] -= rate * setup.dims * np.bincount(flat, back[owner, d] * times, setup.buckets)
     return (weights[:, 1] - weights[:, 0]) @ vectors, float(bias[1] - bias[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, setup: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"):
     """Train on at most ``most_rows`` labelled rows outside the held-out fifth, the smallest by a hash of their id.
 
-    Rows without id, label or document are left out. The sample comes to the driver: its size has that bound.
+    Rows without id, label or document are left out. Whole texts are counted in Spark tasks; to the driver come the counts
+    of at most ``most_rows`` texts, of at most ``buckets`` entries each, whatever the texts' length.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(setup.most_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # one text for an id: the smallest; of a long text, windows over its whole length are enough for training
-    rows = texts.join(known, "id").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y")).toLocalIterator()
-    found = sorted((r.id, _spread(r.text), r.y) for r in rows)
-    return train([(text, y) for _, text, y in found], setup)
-
-
-def _spread(text: str | None, most: int = 4000) -> str | None:
-    """A text, or ten whole-word windows over its whole length."""
-    if text is None or len(text) <= most:
-        return text
-    step, width = len(text) // 10, most // 10
-    return " ".join(text[k * step : k * step + width].partition(" ")[2].rpartition(" ")[0] for k in range(10))
+    # one text for an id: the smallest
+    chosen = texts.join(known, "id").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
+    rows = map_texts(chosen.select("id", "y", "text"), "text", counted(setup), "places binary, times binary").toLocalIterator()
+    found = sorted((r.id, bytes(r.places), bytes(r.times), r.y) for r in rows)
+    return train([(np.frombuffer(places, "<i4"), np.frombuffer(times, "<i4"), y) for _, places, times, y in found], setup)
 
 
 def held_out(id_col):

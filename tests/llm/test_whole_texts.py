@@ -1,10 +1,12 @@
-"""Values beside others in pseudonymised texts."""
+"""Values beside others in pseudonymised texts, and labelled texts longer than any window."""
 
+import random
 import re
 
 import pytest
 
-from kalends.llm import pseudonyms
+from kalends.llm import pseudonyms, quality
+from tests.llm.cases import documents
 
 CARD, IBAN = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
 
@@ -31,3 +33,17 @@ def test_plus_one_numbers_are_linked_and_go_back():
         assert back.replace(new)[0] == text
     a, b = there.replace("+1 (988) 555-2485")[0], there.replace("+19885552485")[0]
     assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b)
+
+
+def test_whole_labelled_texts_are_learnt(spark):
+    rng = random.Random(2)
+    filler, rows = ["house", "river", "green", "walked", "stone", "cloud"], []
+    for k in range(120):
+        # longer than 4,000 characters and parted by line feeds only, or with the marks of quality in one place in the middle of a tenth
+        mark = ["fine"] * 300 if k % 2 else ["spam"] * 300
+        words = [rng.choice(filler) for _ in range(1500)]
+        rows.append((k, "\n".join(mark + words) if k < 60 else " ".join(words[:230] + mark + words[230:])))
+    docs = documents(spark, [(d, t, "en", "s") for d, t in rows])
+    labels = spark.createDataFrame([(d, d % 2) for d, _ in rows], "doc_id long, quality int")
+    got = quality.score(docs, quality.fit(docs, labels), threshold=0.5).where("held_out").collect()
+    assert len(got) > 10 and all(r.predicted == r.doc_id % 2 for r in got)
