@@ -39,9 +39,9 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take every source to its target weight: documents repeat or stay away as the mix has it."""
+    """Take every source to its target weight: whole documents repeat or stay away as the mix has it."""
     planned = mixture.plan(docs, others=("text", "lang", "source"))
-    out = mixture.copies(planned)
+    out = mixture.copies(planned, whole=True)
     return out.select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
 
 

@@ -124,12 +124,16 @@ def taken(planned: DataFrame) -> DataFrame:
     return planned.withColumn("taken", F.aggregate("takes", F.lit(0).cast("long"), lambda a, t: a + t["words"]))
 
 
-def copies(planned: DataFrame, text_col: str = "text", seed: int = SEED) -> DataFrame:
+def copies(planned: DataFrame, text_col: str = "text", seed: int = SEED, whole: bool = False) -> DataFrame:
     """One row for each copy of a document in the mix, with its ``shard``, shuffled within each shard.
 
     ``text_col`` must be among the plan's ``others``. The one copy of a source that is taken in part holds its first words,
-    joined by single spaces.
+    joined by single spaces; with ``whole`` it is taken in whole if that is at least half of it, else not at all, so a source
+    is off its target by at most half a document.
     """
+    if whole:
+        most = F.filter("takes", lambda t: 2 * t["words"] >= F.col("size"))
+        planned = planned.withColumn("takes", F.transform(most, lambda t: t.withField("words", F.col("size"))))
     rows = planned.withColumn("take", F.explode("takes"))
     first = F.concat_ws(" ", F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), 1, F.col("take.words").cast("int")))
     rows = rows.withColumn(text_col, F.when(F.col("take.words") < F.col("size"), first).otherwise(F.col(text_col)))
