@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.llm import chat, fingerprints, mixture, neighbours, pieces, pseudonyms, quality, simhash, substrings, warc
+from kalends.llm import chat, divergence, fingerprints, infill, languages, mixture, neighbours, pieces, pseudonyms, quality, simhash, substrings, warc
 from kalends.llm.common import stored
 
 MODEL = "piece_bpe_32k.model"
@@ -163,3 +163,62 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 35-word windows that occur anywhere else."""
     left = substrings.without_repeats(table(spark, sf_dir, "documents"), window=35)
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op11_language_mixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, as the largest one of its mixture, learnt outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    found = languages.identify(docs, languages.fit(docs))
+    return found.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "langs", "shares")
+
+
+ORACLES["op12_source_divergence"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+      t AS (SELECT r, lang, source, unnest(ws) AS w FROM d),
+      k AS (SELECT lang, w, count(*) AS n FROM t GROUP BY lang, w HAVING count(DISTINCT r) >= 30),
+      v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+      g AS (SELECT DISTINCT lang, source FROM d),
+      c AS (SELECT t.lang, t.source, w, count(*) AS n FROM t JOIN k USING (lang, w) GROUP BY t.lang, t.source, w),
+      s AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY g.lang, g.source),
+      p AS (SELECT s.lang, s.source, k.w, coalesce(c.n, 0) AS n,
+                   CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (s.n + 5 * v.v) AS BIGINT) AS p,
+                   CAST(1 + (CAST(1000000000 AS HUGEINT) * (k.n + 5)) // (v.n + 5 * v.v) AS BIGINT) AS q
+            FROM s JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.w = k.w),
+      x AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.w = b.w GROUP BY a.lang, a.source, b.source),
+      pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+      terms AS (SELECT lang, source, 'term' AS part, w AS item, p - q AS value FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+    ) WHERE part = 'pair' OR rank <= 50"""
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language and the terms that tell each of them from its language."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_infill"] = r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+      r AS (SELECT *, len(u) AS n, [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN [0, 1, 2, 3]] AS hs FROM d),
+      f AS (SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 100 THEN 'plain'
+                        WHEN hs[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM r),
+      c AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM f)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256 FROM c"""
+
+
+@query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two line ends and rearranged, and read back from the output."""
+    made = infill.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50)
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
