@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kalends.catalog import base, query
 from kalends.catalog.base import rnd, sql
 from kalends.functions.numbers import rnd as r
-from kalends.operators import aggregates
+from kalends.operators import aggregates, checks
 from kalends.plans import backtest
 from kalends.plans.backtest import B1, B2, B3, Rule, Safeguard
 from kalends.session import cut
@@ -22,6 +22,9 @@ POLICY = Safeguard(
 base.add("fvcells", """
     SELECT o.economy, o.category, o.period, 100 * o.unit_price / b.base_value AS price_relative, w.weight FROM fobs o JOIN rweights w USING (economy, category)
     JOIN (SELECT economy, category, avg(unit_price) AS base_value FROM fobs WHERE period LIKE '1996-%' GROUP BY ALL HAVING count(*) = 12) b USING (economy, category)""", "fobs", "rweights")
+# the panel of the backtests: months that hold every weighted cell
+for _name, _source in (("vwhole", "vcells"), ("fvwhole", "fvcells")):
+    base.add(_name, f"SELECT * FROM {_source} WHERE period IN (SELECT period FROM {_source} GROUP BY period HAVING count(*) = (SELECT count(*) FROM rweights))", _source, "rweights")
 for _name, _source in (("hlevel", "rheadline"), ("fhlevel", "fheadline")):
     base.add(_name, f"""
         SELECT period, avg(unit_price / base_value) AS equal, sum(unit_price / base_value * w) AS weighted FROM {_source}
@@ -58,19 +61,19 @@ def _case_parts(prefix, cells, level):
                  f"{prefix}pool", f"{prefix}truth", level)
 
 
-_case_parts("b", "vcells", "hlevel")
-_case_parts("f", "fvcells", "fhlevel")
+_case_parts("b", "vwhole", "hlevel")
+_case_parts("f", "fvwhole", "fhlevel")
 
 
 def inputs(spark, sf_dir, first_vintage=False):
-    """Base-year relatives, headline relatives and the weights (always those of the final vintage)."""
+    """Base-year relatives in months without a hole, headline relatives and the weights (always those of the final vintage)."""
     final = cut(tables.observations(spark, sf_dir, by="region"))
     weights = cut(tables.weights_of(final))
     obs = cut(tables.observations(spark, sf_dir, by="region", first_vintage=True)) if first_vintage else final
     panel = aggregates.annual_base_relatives(obs, BASE_YEAR, ["economy", "category"]).select(
         "economy", "category", "period", (100 * F.col("relative")).alias("price_relative"))
     headline = aggregates.annual_base_relatives(tables.headline_of(obs), BASE_YEAR, ["economy"]).select("economy", "period", "relative")
-    return cut(panel), cut(headline), weights
+    return cut(checks.only_whole_months(panel, weights)), cut(headline), weights
 
 
 def cases(spark, sf_dir, with_headline=True, first_vintage=False):
@@ -123,7 +126,7 @@ def backtest_metrics(spark, sf_dir):
 @query("construction_sensitivity", sql(f"""
     SELECT period, {rnd('f')} AS full_index, {rnd('e')} AS equal_cell_index, {rnd('c')} AS category_equal_index, {rnd('(e / f - 1) * 10000', 4)} AS equal_cell_bps, {rnd('(c / f - 1) * 10000', 4)} AS category_equal_bps
     FROM (SELECT period, sum(p) AS f, sum(t) / sum(n) AS e, sum(w * a) AS c FROM (SELECT period, economy, sum(weight * price_relative) AS p, sum(price_relative) AS t, count(*) AS n, sum(weight) AS w, avg(price_relative) AS a
-      FROM vcells WHERE period BETWEEN '{WINDOW[0]}' AND '{WINDOW[1]}' GROUP BY 1, 2) GROUP BY 1)""", "vcells"))
+      FROM vwhole WHERE period BETWEEN '{WINDOW[0]}' AND '{WINDOW[1]}' GROUP BY 1, 2) GROUP BY 1)""", "vwhole"))
 def construction_sensitivity(spark, sf_dir):
     panel, _, weights = inputs(spark, sf_dir)
     rows = backtest.construction_sensitivity(panel, weights, WINDOW)

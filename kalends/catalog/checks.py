@@ -121,10 +121,8 @@ def case_metadata_mismatch(spark, sf_dir):
     WITH a AS (SELECT o_custkey AS economy, o_orderpriority AS currency, strftime(min(o_orderdate), '%Y-%m') AS effective_from,
                       CASE WHEN o_orderpriority = '1-URGENT' THEN '9999-12' ELSE strftime(max(o_orderdate), '%Y-%m') END AS until
                FROM orders GROUP BY 1, 2)
-    SELECT economy, currency, effective_from, until, earlier.c AS earlier_currency, earlier.f AS earlier_from, earlier.u AS occupied_until
-    FROM (SELECT *, max(struct_pack(u := until, c := currency, f := effective_from)) OVER (PARTITION BY economy ORDER BY effective_from, until, currency
-                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM a)
-    WHERE earlier.u >= effective_from""")
+    SELECT b.economy, b.currency, b.effective_from, b.until, a.currency AS earlier_currency, a.effective_from AS earlier_from, a.until AS occupied_until
+    FROM a JOIN a b ON a.economy = b.economy AND (a.effective_from, a.until, a.currency) < (b.effective_from, b.until, b.currency) AND a.until >= b.effective_from""")
 def interval_overlaps(spark, sf_dir):
     month = tables.month_of(F.col("o_orderdate"))
     spans = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("economy"), F.col("o_orderpriority").alias("currency")).agg(

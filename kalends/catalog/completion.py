@@ -53,7 +53,7 @@ def _predictions(suffix, policies):
     base.add(f"scen{s}", _values(policies))
     base.add(f"cquant{s}", f"""
         SELECT scenario, pool, target, category, period, count(*) AS n, string_agg(donor, '|' ORDER BY donor) AS donors,
-               string_agg('SRC_' || donor || '_' || left(category, 2), '|' ORDER BY 'SRC_' || donor || '_' || left(category, 2)) AS sources, min(residual) FILTER (WHERE cum >= total * 0.1 * (1 - 1e-12)) AS lo,
+               array_to_string(list_sort(list_concat(list('SRC_' || donor || '_' || left(category, 2)), list('HEAD_' || donor))), '|') AS sources, min(residual) FILTER (WHERE cum >= total * 0.1 * (1 - 1e-12)) AS lo,
                min(residual) FILTER (WHERE cum >= total * 0.5 * (1 - 1e-12)) AS mid, min(residual) FILTER (WHERE cum >= total * 0.9 * (1 - 1e-12)) AS hi
         FROM (SELECT *, sum(w) OVER (PARTITION BY scenario, pool, target, category, period ORDER BY residual, w ROWS UNBOUNDED PRECEDING) AS cum, sum(w) OVER (PARTITION BY scenario, pool, target, category, period) AS total
               FROM (SELECT s.scenario, 'R' AS pool, p.* FROM cpool p, scen{s} s WHERE p.same_region AND p.region_place <= s.most
@@ -117,7 +117,7 @@ def inputs(spark, sf_dir):
     evidence = F.when(F.length("category") == 5, completion.COMPLETION_CLASSES[1]).otherwise(completion.COMPLETION_CLASSES[0])
     levels = obs.select("economy", "category", "period", (20000 + F.col("unit_price")).alias("level"), evidence.alias("evidence_class"),
                         F.concat(F.lit("SRC_"), "economy", F.lit("_"), F.left("category", F.lit(2))).alias("source_id"))
-    headline = cut(tables.headline_of(obs).select("economy", "period", (20000 + F.col("unit_price")).alias("level")))
+    headline = cut(tables.headline_of(obs).select("economy", "period", (20000 + F.col("unit_price")).alias("level"), F.concat(F.lit("HEAD_"), "economy").alias("source_id")))
     return levels, headline, cut(tables.profiles(spark, sf_dir)), cut(tables.weights_of(obs))
 
 

@@ -54,7 +54,7 @@ def read_profiles(spark, sf_dir):
 # Requested currencies; some have no rates at all.
 CURRENCIES = tuple(f"C{i:02d}" for i in range(30))
 base.add("fxkept", """
-    SELECT currency, period, rate FROM fx WHERE CAST(substr(currency, 2) AS INTEGER) % 5 <> 4 AND period NOT LIKE '%-02' AND NOT (currency = 'C03' AND period LIKE '1997%')""", "fx")
+    SELECT currency, period, rate FROM fx WHERE rate > 0 AND CAST(substr(currency, 2) AS INTEGER) % 5 <> 4 AND period NOT LIKE '%-02' AND NOT (currency = 'C03' AND period LIKE '1997%')""", "fx")
 
 
 def fx_raw(spark, sf_dir):
@@ -123,7 +123,7 @@ def discover_roles(spark, sf_dir):
     return ingest.discover_roles(inventory, headings, 1998)
 
 
-@query("flatten_observation_pages", sql(f"SELECT economy, heading, {rnd('nominal', 2)} AS value, 3 AS concepts, 64 AS hash_size FROM icp WHERE heading <> 'Brand#7'", "icp"))
+@query("flatten_observation_pages", sql(f"SELECT economy, heading, {rnd('nominal', 2)} AS value, 3 AS concepts, 64 AS hash_size FROM icp WHERE heading <> 'Brand#7' AND nominal IS NOT NULL", "icp"))
 def flatten_observation_pages(spark, sf_dir):
     variable = lambda concept, value: F.struct(F.lit(concept).alias("concept"), value.alias("id"), F.lower(value).alias("value"))
     value = F.when(F.col("heading") != "Brand#7", F.col("nominal"))
@@ -190,8 +190,9 @@ def check_structure_conformance(spark, sf_dir):
     allowed = lambda name, col, rows: rows.groupBy(F.lit(name).alias("dimension")).agg(F.collect_set(col).alias("allowed"))
     structure = allowed("geo", "p_brand", part.filter("p_size = 3")).unionByName(allowed("coicop", "p_type", part.filter("p_size = 1 and p_partkey % 7 = 0")))
     raw = part.select(series.alias("series_id"), "p_partkey", F.explode(F.create_map(F.lit("freq"), F.lit("M"), F.lit("geo"), F.col("p_brand"), F.lit("coicop"), F.col("p_type"))).alias("dimension", "actual"))
-    raw = raw.filter(~((F.col("dimension") == "freq") & (F.col("p_partkey") % 50 == 0))).withColumn(
-        "actual", F.when((F.col("dimension") == "geo") & (F.col("p_partkey") % 60 == 0), "elsewhere").otherwise(F.col("actual"))).drop("p_partkey")
+    unnamed = (F.col("dimension") == "freq") & (F.col("p_partkey") % 50 == 0)
+    elsewhere = (F.col("dimension") == "geo") & (F.col("p_partkey") % 60 == 0)
+    raw = raw.withColumn("actual", F.when(elsewhere, "elsewhere").when(~unnamed, F.col("actual"))).drop("p_partkey")
     return ingest.check_structure_conformance(definitions, structure, raw)
 
 
@@ -255,7 +256,7 @@ _HEADINGS_SQL = "(VALUES " + ", ".join(f"('{h}', '{c}')" for h, c in _HEADING_RO
              CASE i.measure WHEN 'M1' THEN 'LCU_PER_INTERNATIONAL_DOLLAR' WHEN 'M2' THEN 'LOCAL_CURRENCY_UNITS_REPORTED_SCALE' WHEN 'M3' THEN 'PPP_BASED_INTERNATIONAL_DOLLARS_REPORTED_SCALE' ELSE 'PUBLISHED_MEASURE' END AS basis
       FROM ilong i LEFT JOIN {_HEADINGS_SQL} ON h.heading = i.heading
       UNION ALL SELECT economy, source_id || ':' || category, category, 'NOMINAL_HFCE_STRICT', value, 'CURRENT_PRICE_DOMESTIC_HOUSEHOLD_EXPENDITURE_LCU' FROM nominal) x
-    LEFT JOIN (SELECT n_name AS economy, 'PARTICIPATING' AS status FROM nation WHERE n_nationkey % 7 <> 6) s ON s.economy = x.economy""", "ilong", "nominal"))
+    LEFT JOIN (SELECT n_name AS economy, 'PARTICIPATING' AS status FROM nation WHERE n_nationkey % 7 <> 6) s ON s.economy = x.economy WHERE x.value IS NOT NULL""", "ilong", "nominal"))
 def unify_normalized_rows(spark, sf_dir):
     measure = F.col("measure")
     rows = icp_long(spark, sf_dir).withColumn("measure", F.when(measure == "M1", "PPP").when(measure == "M2", "NOMINAL").when(measure == "M3", "REAL").otherwise(measure))

@@ -32,16 +32,16 @@ _NOMINAL_KNOWN = f"({_KEY} % 3 <> 1 OR ({_KEY} + CAST(substr(brand, 7) AS INTEGE
 _CELL_KNOWN = f"({_KEY} % 3 <> 0 OR ({_KEY} + length(category)) % 2 = 0)"
 
 base.add("icp", f"""
-    SELECT economy, brand AS heading, nominal, CASE WHEN {_KEY} = 5 AND brand = 'Brand#23' THEN 0.0 ELSE mean_price / 1003.0 * (0.5 + {_KEY} / 10.0) END AS ppp,
-           CASE WHEN {_KEY} = 5 AND brand = 'Brand#23' THEN 1.0 ELSE round(nominal / (mean_price / 1003.0 * (0.5 + {_KEY} / 10.0)), 1) END AS real
-    FROM (SELECT economy, brand, CAST(sum(amount) AS DOUBLE) AS nominal FROM lines WHERE {_YEAR} AND {_ICP_KNOWN} GROUP BY 1, 2)
+    SELECT economy, brand AS heading, nominal, CASE WHEN nominal IS NULL THEN NULL WHEN {_KEY} = 5 AND brand = 'Brand#23' THEN 0.0 ELSE mean_price / 1003.0 * (0.5 + {_KEY} / 10.0) END AS ppp,
+           CASE WHEN nominal IS NULL THEN NULL WHEN {_KEY} = 5 AND brand = 'Brand#23' THEN 1.0 ELSE round(nominal / (mean_price / 1003.0 * (0.5 + {_KEY} / 10.0)), 1) END AS real
+    FROM (SELECT economy, brand, CASE WHEN {_ICP_KNOWN} THEN CAST(sum(amount) AS DOUBLE) END AS nominal FROM lines WHERE {_YEAR} GROUP BY 1, 2)
     JOIN (SELECT p_brand AS brand, CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price FROM part GROUP BY 1) USING (brand)""", "lines")
 base.add("ilong", """
     SELECT economy, heading, m.measure AS measure, m.value AS value FROM (SELECT *, unnest([struct_pack(measure := 'M1', value := ppp), struct_pack(measure := 'M2', value := nominal), struct_pack(measure := 'M3', value := real),
       struct_pack(measure := 'M4', value := ppp * 1.05), struct_pack(measure := 'M5', value := real * 0.9), struct_pack(measure := 'M6', value := ppp * 100)]) AS m FROM icp)""", "icp")
 base.add("nominal", f"""
-    SELECT economy, CASE brand {' '.join(f"WHEN '{b}' THEN '{c}'" for b, c in SUPPLEMENTAL.items())} END AS category, CASE suppkey % 3 WHEN 0 THEN 'SRC_A' WHEN 1 THEN 'SRC_B' ELSE 'SRC_C' END AS source_id, CAST(sum(amount) AS DOUBLE) AS value
-    FROM lines WHERE {_YEAR} AND {_NOMINAL_KNOWN} AND brand IN ({', '.join(repr(b) for b in SUPPLEMENTAL)}) GROUP BY 1, 2, 3""", "lines")
+    SELECT economy, CASE brand {' '.join(f"WHEN '{b}' THEN '{c}'" for b, c in SUPPLEMENTAL.items())} END AS category, CASE suppkey % 3 WHEN 0 THEN 'SRC_A' WHEN 1 THEN 'SRC_B' ELSE 'SRC_C' END AS source_id, CAST(sum(amount) FILTER (WHERE {_NOMINAL_KNOWN}) AS DOUBLE) AS value
+    FROM lines WHERE {_YEAR} AND brand IN ({', '.join(repr(b) for b in SUPPLEMENTAL)}) GROUP BY 1, 2, 3""", "lines")
 
 
 def year(spark, sf_dir):
@@ -57,14 +57,15 @@ def brand_number(name):
 
 
 def icp(spark, sf_dir):
-    """economy, heading, ppp, nominal, real; one heading of one economy has no valid PPP."""
+    """economy, heading, ppp, nominal, real, all null where nothing was published; one heading of one economy has no valid PPP."""
     prices = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("heading")).agg((F.sum(F.col("p_retailprice").cast(MONEY)).cast("double") / F.count("*")).alias("mean_price"))
     spent = year(spark, sf_dir).groupBy("economy", F.col("brand").alias("heading")).agg((F.sum("amount").cast("double") / 100.0).alias("nominal"))
-    spent = spent.withColumn("nominal", F.when((economy_number() % 4 != 1) | ((economy_number() + brand_number("heading")) % 6 != 5), F.col("nominal"))).filter("nominal is not null")  # unpublished cells
+    published = (economy_number() % 4 != 1) | ((economy_number() + brand_number("heading")) % 6 != 5)
     bad = (economy_number() == 5) & (F.col("heading") == "Brand#23")
     ppp = F.col("mean_price") / 1003.0 * (0.5 + economy_number() / 10.0)
     return spent.join(prices, "heading").select(
-        "economy", "heading", F.when(bad, 0.0).otherwise(ppp).alias("ppp"), "nominal", F.when(bad, 1.0).otherwise(F.round(F.col("nominal") / ppp, 1)).alias("real"))
+        "economy", "heading", F.when(published, F.when(bad, 0.0).otherwise(ppp)).alias("ppp"), F.when(published, F.col("nominal")).alias("nominal"),
+        F.when(published, F.when(bad, 1.0).otherwise(F.round(F.col("nominal") / ppp, 1))).alias("real"))
 
 
 def icp_long(spark, sf_dir):
@@ -79,13 +80,13 @@ def labels(spark):
 
 
 def nominal(spark, sf_dir):
-    """economy, category, source_id, value from suppliers split over three providers."""
+    """economy, category, source_id, value from suppliers split over three providers; null where a provider published nothing."""
     category = F.element_at(F.create_map(*[F.lit(x) for pair in SUPPLEMENTAL.items() for x in pair]), F.col("brand"))
     source = F.element_at(F.array(*[F.lit(s) for s in SOURCES]), (F.col("l_suppkey") % 3 + 1).cast("int"))
     rows = year(spark, sf_dir).filter(F.col("brand").isin(*SUPPLEMENTAL))
     known = (economy_number() % 3 != 1) | ((economy_number() + brand_number("brand") + F.col("l_suppkey") % 3) % 4 != 3)
     sums = rows.groupBy("economy", category.alias("category"), source.alias("source_id"), known.alias("known")).agg((F.sum("amount").cast("double") / 100.0).alias("value"))
-    return sums.withColumn("value", F.when(F.col("known"), F.col("value"))).filter("value is not null").drop("known")  # unpublished cells
+    return sums.withColumn("value", F.when(F.col("known"), F.col("value"))).drop("known")
 
 
 def registry(spark, sf_dir):
@@ -98,7 +99,7 @@ def participants(spark, sf_dir):
 
 @query("select_measure_triple", sql(f"""
     SELECT ppp_id, nominal_id, real_id, {rnd('median_error', 9)} AS median_error, comparisons FROM (SELECT p.measure AS ppp_id, n.measure AS nominal_id, r.measure AS real_id, median(abs(n.value / p.value - r.value) / abs(r.value)) AS median_error, count(*) AS comparisons
-      FROM ilong p JOIN ilong n USING (economy, heading) JOIN ilong r USING (economy, heading) WHERE p.measure IN ('M1', 'M4') AND n.measure = 'M2' AND r.measure IN ('M3', 'M5') AND p.value > 0 AND r.value <> 0 GROUP BY 1, 2, 3)
+      FROM ilong p JOIN ilong n USING (economy, heading) JOIN ilong r USING (economy, heading) WHERE p.measure IN ('M1', 'M4') AND n.measure = 'M2' AND r.measure IN ('M3', 'M5') AND p.value > 0 AND r.value <> 0 AND n.value IS NOT NULL GROUP BY 1, 2, 3)
     ORDER BY 4, 5 DESC, 1, 2, 3 LIMIT 1""", "ilong"))
 def select_measure_triple(spark, sf_dir):
     return rounded(plan.select_measure_triple(cut(icp_long(spark, sf_dir)), labels(spark)), median_error=9)
@@ -113,7 +114,7 @@ def identity(spark, sf_dir):
 
 
 @query("measure_identity_audit", sql(f"""
-    SELECT economy, heading, {rnd('calculated', 4)} AS calculated, {rnd('relative_error', 9)} AS relative_error, CASE WHEN ppp <= 0 THEN 'INVALID_NONPOSITIVE_PPP' WHEN relative_error <= {TOLERANCE} THEN 'PASS' ELSE 'WARN_PUBLISHED_ROUNDING_OR_INCONSISTENCY' END AS status FROM ident""", "ident"))
+    SELECT economy, heading, {rnd('calculated', 4)} AS calculated, {rnd('relative_error', 9)} AS relative_error, CASE WHEN ppp <= 0 THEN 'INVALID_NONPOSITIVE_PPP' WHEN relative_error <= {TOLERANCE} THEN 'PASS' ELSE 'WARN_PUBLISHED_ROUNDING_OR_INCONSISTENCY' END AS status FROM ident WHERE nominal IS NOT NULL""", "ident"))
 def measure_identity_audit(spark, sf_dir):
     return rounded(identity(spark, sf_dir), calculated=4, relative_error=9).select("economy", "heading", "calculated", "relative_error", "status")
 
@@ -134,7 +135,7 @@ base.add("dcells", f"""
           FROM people p CROSS JOIN (VALUES {_HEADS}) h(category, heading) LEFT JOIN icp i ON i.economy = p.economy AND i.heading = h.heading GROUP BY 1, 2)""", "people", "icp")
 base.add("schosen", f"""
     SELECT economy, source_id AS chosen_source FROM (SELECT economy, source_id, row_number() OVER (PARTITION BY economy ORDER BY CASE source_id WHEN 'SRC_B' THEN 0 WHEN 'SRC_A' THEN 1 ELSE 999 END, source_id) AS k
-      FROM nominal WHERE category IN ('X1', 'X2', 'X3') GROUP BY 1, 2 HAVING count(DISTINCT category) = 3) WHERE k = 1""", "nominal")
+      FROM nominal WHERE category IN ('X1', 'X2', 'X3') GROUP BY 1, 2 HAVING count(DISTINCT category) FILTER (WHERE value IS NOT NULL) = 3) WHERE k = 1""", "nominal")
 base.add("pcells", f"""
     SELECT p.economy, h.category, CASE WHEN n.value IS NOT NULL AND i.ppp > 0 THEN n.value END AS nominal, CASE WHEN n.value IS NOT NULL AND i.ppp > 0 THEN i.ppp END AS ppp, CASE WHEN n.value IS NOT NULL AND i.ppp > 0 THEN n.value / i.ppp END AS real, 'PROXY' AS derivation,
            coalesce(n.source_id, '') AS source_id, CASE WHEN n.value IS NULL THEN 'MISSING_STRICT_HOUSEHOLD_NOMINAL_EXPENDITURE' WHEN i.ppp IS NULL THEN 'MISSING_PPP_PROXY:' || h.heading WHEN i.ppp <= 0 THEN 'NONPOSITIVE_PPP_PROXY:' || h.heading ELSE '' END AS reason
@@ -165,7 +166,7 @@ def proxy_cells(spark, sf_dir):
 
 @query("entity_status", sql("""
     SELECT n_name AS economy, CASE WHEN n_nationkey % 7 <> 6 THEN 'PARTICIPATING' WHEN n_name LIKE '%_13%' OR n_name = 'NATION_20' THEN 'AGGREGATE' WHEN coalesce(c, 0) > 0 AND coalesce(d, 0) = 0 THEN 'OFFICIALLY_IMPUTED_AGGREGATE_ONLY' ELSE 'UNAVAILABLE_OR_NONPUBLISHED' END AS status
-    FROM nation LEFT JOIN (SELECT economy, count(*) FILTER (WHERE heading IN ('Brand#5', 'Brand#6')) AS c, count(*) FILTER (WHERE heading IN ('Brand#7')) AS d FROM icp GROUP BY 1) ON economy = n_name""", "icp"))
+    FROM nation LEFT JOIN (SELECT economy, count(ppp) FILTER (WHERE heading IN ('Brand#5', 'Brand#6')) AS c, count(ppp) FILTER (WHERE heading IN ('Brand#7')) AS d FROM icp GROUP BY 1) ON economy = n_name""", "icp"))
 def entity_status(spark, sf_dir):
     return plan.entity_status(icp(spark, sf_dir), registry(spark, sf_dir), ("_13",), ("Brand#5", "Brand#6"), ("Brand#7",), ("NATION_20",))
 
@@ -173,7 +174,7 @@ def entity_status(spark, sf_dir):
 @query("select_single_source", sql(f"""
     SELECT *, CASE WHEN candidate_value IS NULL THEN 'CANDIDATE_MISSING_CATEGORY' WHEN chosen_value IS NULL THEN 'NO_COMPLETE_SOURCE_FOR_ECONOMY' WHEN source_id = chosen_source THEN 'SELECTED_SINGLE_SOURCE_ECONOMY' WHEN relative_difference <= 0.2 THEN 'ALTERNATIVE_CONSISTENT' ELSE 'ALTERNATIVE_DIVERGENT' END AS status
     FROM (SELECT s.economy, c.category, coalesce(x.chosen_source, '') AS chosen_source, s.source_id, v.value AS chosen_value, n.value AS candidate_value, s.missing = '' AS complete, s.missing, {rnd('abs(v.value - n.value) / greatest(abs(v.value), abs(n.value), 1.0)')} AS relative_difference
-          FROM (SELECT economy, source_id, array_to_string(list_filter(['X1', 'X2', 'X3'], lambda k: NOT list_contains(list(category), k)), '|') AS missing FROM nominal GROUP BY 1, 2) s CROSS JOIN (SELECT unnest(['X1', 'X2', 'X3']) AS category) c
+          FROM (SELECT economy, source_id, array_to_string(list_filter(['X1', 'X2', 'X3'], lambda k: NOT list_contains(coalesce(list(category) FILTER (WHERE value IS NOT NULL), []), k)), '|') AS missing FROM nominal GROUP BY 1, 2) s CROSS JOIN (SELECT unnest(['X1', 'X2', 'X3']) AS category) c
           LEFT JOIN schosen x ON x.economy = s.economy LEFT JOIN nominal n ON n.economy = s.economy AND n.source_id = s.source_id AND n.category = c.category
           LEFT JOIN nominal v ON v.economy = s.economy AND v.source_id = x.chosen_source AND v.category = c.category)""", "nominal", "schosen"))
 def select_single_source(spark, sf_dir):
@@ -184,7 +185,7 @@ def select_single_source(spark, sf_dir):
 @query("unit_reconciliation", sql(f"""
     SELECT s.economy, s.source_id, coalesce(r.categories, '') AS categories, coalesce(r.n, 0) AS comparisons, {rnd('coalesce(r.m, 0)')} AS median_ratio, CASE WHEN r.m IS NULL THEN 'NOT_TESTABLE_NO_DIRECT_OVERLAP' WHEN r.m BETWEEN 0.5 AND 2 THEN 'PASS_COMPATIBLE_SCALE' ELSE 'FAIL_INCOMPATIBLE_SCALE' END AS status
     FROM (SELECT DISTINCT economy, source_id FROM nominal) s LEFT JOIN (SELECT n.economy, n.source_id, string_agg(DISTINCT n.category, '|' ORDER BY n.category) AS categories, count(*) AS n, list_sort(list(n.value / i.nominal))[count(*) // 2 + 1] AS m
-      FROM nominal n JOIN icp i ON i.economy = n.economy AND i.heading = CASE n.category WHEN 'D1' THEN 'Brand#1' WHEN 'D2' THEN 'Brand#2' WHEN 'D3' THEN 'Brand#3' WHEN 'D4' THEN 'Brand#4' END GROUP BY 1, 2) r USING (economy, source_id)""", "nominal", "icp"))
+      FROM nominal n JOIN icp i ON i.economy = n.economy AND i.heading = CASE n.category WHEN 'D1' THEN 'Brand#1' WHEN 'D2' THEN 'Brand#2' WHEN 'D3' THEN 'Brand#3' WHEN 'D4' THEN 'Brand#4' END WHERE n.value <> 0 AND i.nominal <> 0 GROUP BY 1, 2) r USING (economy, source_id)""", "nominal", "icp"))
 def unit_reconciliation(spark, sf_dir):
     headings = {c: hs[0] for c, hs in DIRECT.items() if len(hs) == 1}
     return rounded(plan.unit_reconciliation(cut(nominal(spark, sf_dir)), icp(spark, sf_dir), headings), median_ratio=6)
@@ -249,7 +250,7 @@ def core_basket(spark, sf_dir):
            CASE WHEN NOT known THEN 'UNAVAILABLE' WHEN NOT (residual >= 0 AND total > 0) THEN 'WARN_CONCEPT_OR_UNIT_MISMATCH' WHEN (aic - total) / total >= -0.02 THEN 'PASS_DIAGNOSTIC_ONLY' ELSE 'WARN_CONCEPT_OR_UNIT_MISMATCH' END AS status
     FROM (SELECT *, parent - parts AS residual, own + parent - parts + net AS total, aic IS NOT NULL AND parent IS NOT NULL AND part_count = 2 AND net IS NOT NULL AND own > 0 AS known
       FROM (SELECT economy, sum(nominal) AS own FROM hwhole GROUP BY 1) LEFT JOIN (SELECT economy, max(nominal) FILTER (WHERE heading = 'Brand#10') AS aic, max(nominal) FILTER (WHERE heading = 'Brand#11') AS parent,
-        sum(nominal) FILTER (WHERE heading IN ('Brand#8', 'Brand#9')) AS parts, count(*) FILTER (WHERE heading IN ('Brand#8', 'Brand#9')) AS part_count, max(nominal) FILTER (WHERE heading = 'Brand#12') AS net FROM icp GROUP BY 1) USING (economy))""", "hwhole", "icp"))
+        sum(nominal) FILTER (WHERE heading IN ('Brand#8', 'Brand#9')) AS parts, count(nominal) FILTER (WHERE heading IN ('Brand#8', 'Brand#9')) AS part_count, max(nominal) FILTER (WHERE heading = 'Brand#12') AS net FROM icp GROUP BY 1) USING (economy))""", "hwhole", "icp"))
 def financing_exposure(spark, sf_dir):
     wide, parts = matrix(spark, sf_dir)
     rows = plan.financing_exposure(parts["complete"], wide, "Brand#10", "Brand#11", ("Brand#8", "Brand#9"), "Brand#12")
@@ -257,8 +258,8 @@ def financing_exposure(spark, sf_dir):
 
 
 base.add("bench", f"""
-    SELECT economy, CASE heading WHEN 'Brand#21' THEN 'X1' WHEN 'Brand#22' THEN 'X2' ELSE 'X3' END AS category, CASE WHEN {_KEY} % 2 = 0 THEN ppp * 1.01 END AS aic_ppp, ppp * (0.9 + 0.013 * {_KEY}) AS strict_ppp
-    FROM icp WHERE heading IN ('Brand#21', 'Brand#22', 'Brand#23') AND {_KEY} % 3 <> 0""", "icp")
+    SELECT economy, CASE heading WHEN 'Brand#21' THEN 'X1' WHEN 'Brand#22' THEN 'X2' ELSE 'X3' END AS category, CASE WHEN {_KEY} % 2 = 0 AND {_KEY} % 3 <> 0 THEN ppp * 1.01 END AS aic_ppp, CASE WHEN {_KEY} % 3 <> 0 THEN ppp * (0.9 + 0.013 * {_KEY}) END AS strict_ppp
+    FROM icp WHERE heading IN ('Brand#21', 'Brand#22', 'Brand#23')""", "icp")
 base.add("proxycmp", """
     SELECT h.economy, h.category, coalesce(b.aic_ppp, h.ppp) AS aic_ppp, b.strict_ppp, CASE WHEN coalesce(b.aic_ppp, h.ppp) > 0 AND b.strict_ppp > 0 THEN b.strict_ppp / coalesce(b.aic_ppp, h.ppp) END AS ppp_ratio
     FROM hwhole h LEFT JOIN bench b USING (economy, category) WHERE h.category IN ('X1', 'X2', 'X3')""", "hwhole", "bench")
@@ -268,8 +269,9 @@ def comparison(spark, sf_dir):
     wide, parts = matrix(spark, sf_dir)
     key = economy_number()
     category = F.element_at(F.create_map(*[F.lit(x) for c, h in PROXY.items() for x in (h, c)]), F.col("heading"))
-    benchmarks = wide.filter(F.col("heading").isin(*PROXY.values()) & (key % 3 != 0)).select(
-        "economy", category.alias("category"), F.when(key % 2 == 0, F.col("ppp") * 1.01).alias("aic_ppp"), (F.col("ppp") * (0.9 + 0.013 * key)).alias("strict_ppp"))
+    published = key % 3 != 0
+    benchmarks = wide.filter(F.col("heading").isin(*PROXY.values())).select(
+        "economy", category.alias("category"), F.when(published & (key % 2 == 0), F.col("ppp") * 1.01).alias("aic_ppp"), F.when(published, F.col("ppp") * (0.9 + 0.013 * key)).alias("strict_ppp"))
     return cut(plan.proxy_ppp_comparison(parts["complete"], benchmarks, tuple(PROXY)))
 
 
@@ -312,8 +314,9 @@ def stage_evidence(spark, sf_dir):
 POLICY = plan.ImputationPolicy(tables.CATEGORIES, allocation_groups=(("G1", ("ECONOMY", "LARGE")), ("G2", ("PROMO", "SMALL", "STANDARD"))))
 FALLBACK = replace(POLICY, minimum_donors=6)
 
-base.add("wcell", f"""
-    SELECT economy, category, CAST(sum(amount) AS DOUBLE) AS central, CASE WHEN {_KEY} % 2 = 0 THEN 'A_OFFICIAL_EXACT' ELSE 'B_OFFICIAL_DETERMINISTIC' END AS evidence_class FROM lines WHERE {_YEAR} AND {_CELL_KNOWN} GROUP BY economy, category""", "lines")
+base.add("wgiven", f"""
+    SELECT economy, category, CASE WHEN {_CELL_KNOWN} THEN CAST(sum(amount) AS DOUBLE) END AS central, CASE WHEN {_KEY} % 2 = 0 THEN 'A_OFFICIAL_EXACT' ELSE 'B_OFFICIAL_DETERMINISTIC' END AS evidence_class FROM lines WHERE {_YEAR} GROUP BY economy, category""", "lines")
+base.add("wcell", "SELECT * FROM wgiven WHERE central IS NOT NULL", "wgiven")
 base.add("wtotal", f"SELECT economy, CAST(sum(amount) AS DOUBLE) AS total_real FROM lines WHERE {_YEAR} GROUP BY economy", "lines")
 base.add("wcons", f"SELECT economy, 'AGG1' AS aggregate_id, CAST(sum(amount) AS DOUBLE) AS amount FROM lines WHERE {_YEAR} AND category IN ('SMALL', 'STANDARD') AND {_KEY} % 3 = 0 GROUP BY economy", "lines")
 base.add("wcore", "SELECT economy AS donor, category, central AS value FROM wcell WHERE economy IN (SELECT economy FROM wcell GROUP BY 1 HAVING count(*) = 6)", "wcell")
@@ -357,12 +360,12 @@ _GRID_SQL = f"SELECT economy, category, {rnd('central', 4)} AS central, {rnd('lo
 
 
 def imputation_inputs(spark, sf_dir):
-    """Observed cells, profiles with totals, and one own-economy aggregate for every third economy."""
+    """All cells, null where nothing was observed, profiles with totals, and one own-economy aggregate for every third economy."""
     sums = cut(year(spark, sf_dir).groupBy("economy", "category").agg(F.sum("amount").alias("all")).withColumn(
         "seen", F.when((economy_number() % 3 != 0) | ((economy_number() + F.length("category")) % 2 == 0), F.col("all"))))
     evidence = F.when(economy_number() % 2 == 0, "A_OFFICIAL_EXACT").otherwise("B_OFFICIAL_DETERMINISTIC")
     central = F.col("seen").cast("double") / 100.0
-    cells = sums.filter("seen is not null").select("economy", "category", central.alias("central"), central.alias("lower"), central.alias("upper"), evidence.alias("evidence_class"))
+    cells = sums.select("economy", "category", central.alias("central"), central.alias("lower"), central.alias("upper"), evidence.alias("evidence_class"))
     totals = sums.groupBy("economy").agg((F.sum("all").cast("double") / 100.0).alias("total_real"))
     profiles = cut(tables.profiles(spark, sf_dir).join(totals, "economy"))
     constraints = sums.filter(F.col("category").isin("SMALL", "STANDARD") & (economy_number() % 3 == 0)).groupBy("economy").agg((F.sum("all").cast("double") / 100.0).alias("amount")).select(

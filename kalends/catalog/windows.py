@@ -73,12 +73,11 @@ COST = {"LOW": 1.0, "MEDIUM": 2.0, "HIGH": 4.0, "VERY_HIGH": 8.0}
 
 
 @query("gap_priority", f"""
-    WITH c AS (SELECT n_name AS economy, p_type AS category, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS real FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-               JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey WHERE strftime(l_shipdate, '%Y') = '1996'
-               GROUP BY 1, 2 HAVING 3 * count(*) FILTER (l_returnflag = 'R') <= count(*)),
-      p AS (SELECT n_name AS economy, CASE n_nationkey % 3 WHEN 0 THEN 'A_EXACT' WHEN 1 THEN 'B_BRIDGEABLE' ELSE 'D_UNAVAILABLE' END AS candidate_class,
-              CASE n_nationkey % 4 WHEN 0 THEN 'low' WHEN 1 THEN 'MEDIUM' WHEN 2 THEN 'HIGH' ELSE 'UNKNOWN' END AS integration_cost FROM nation WHERE n_nationkey % 5 <> 4),
-      s AS (SELECT economy, list(DISTINCT category) AS held, coalesce(sum(real) FILTER (WHERE category IN ('ECONOMY','LARGE','PROMO')), 0) AS direct_real FROM c GROUP BY 1),
+    WITH c AS (SELECT n_name AS economy, p_type AS category, CASE WHEN 3 * count(*) FILTER (l_returnflag = 'R') <= count(*) THEN CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) END AS real FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+               JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey WHERE strftime(l_shipdate, '%Y') = '1996' GROUP BY 1, 2),
+      p AS (SELECT n_name AS economy, CASE WHEN n_nationkey % 5 = 4 THEN NULL WHEN n_nationkey % 3 = 0 THEN 'A_EXACT' WHEN n_nationkey % 3 = 1 THEN 'B_BRIDGEABLE' ELSE 'D_UNAVAILABLE' END AS candidate_class,
+              CASE WHEN n_nationkey % 5 = 4 THEN NULL WHEN n_nationkey % 4 = 0 THEN 'low' WHEN n_nationkey % 4 = 1 THEN 'MEDIUM' WHEN n_nationkey % 4 = 2 THEN 'HIGH' ELSE 'UNKNOWN' END AS integration_cost FROM nation),
+      s AS (SELECT economy, coalesce(list(DISTINCT category) FILTER (WHERE real IS NOT NULL), []) AS held, coalesce(sum(real) FILTER (WHERE category IN ('ECONOMY','LARGE','PROMO')), 0) AS direct_real FROM c GROUP BY 1),
       g AS (SELECT s.*, direct_real / (SELECT sum(direct_real) FROM s) AS share, coalesce(candidate_class, 'NOT_PROBED') AS candidate_class,
               direct_real / (SELECT sum(direct_real) FROM s) * CASE candidate_class WHEN 'A_EXACT' THEN 0.9 WHEN 'B_BRIDGEABLE' THEN 0.6 WHEN 'C_PARTIAL' THEN 0.25 ELSE 0.0 END
                 / CASE upper(coalesce(integration_cost, 'NOT_ESTIMATED')) WHEN 'LOW' THEN 1.0 WHEN 'MEDIUM' THEN 2.0 WHEN 'HIGH' THEN 4.0 WHEN 'VERY_HIGH' THEN 8.0 ELSE 10.0 END AS score
@@ -96,11 +95,11 @@ def gap_priority(spark, sf_dir):
     held = table(spark, sf_dir, "lineitem").filter(F.year("l_shipdate") == 1996)
     cells = held.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(part, F.col("l_partkey") == F.col("p_partkey")).join(
         named, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("economy", "category").agg(
-        F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double").alias("real"), (3 * F.count_if(F.col("l_returnflag") == "R") <= F.count("*")).alias("available"))
-    cells = cells.filter("available").drop("available")  # a cell is missing if over a third of its lines came back
-    probe = nation.filter(key % 5 != 4).select(
-        F.col("n_name").alias("economy"), F.when(key % 3 == 0, "A_EXACT").when(key % 3 == 1, "B_BRIDGEABLE").otherwise("D_UNAVAILABLE").alias("candidate_class"),
-        F.when(key % 4 == 0, "low").when(key % 4 == 1, "MEDIUM").when(key % 4 == 2, "HIGH").otherwise("UNKNOWN").alias("integration_cost"))
+        F.when(3 * F.count_if(F.col("l_returnflag") == "R") <= F.count("*"), F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double")).alias("real"))  # null if over a third of its lines came back
+    probed = key % 5 != 4
+    probe = nation.select(
+        F.col("n_name").alias("economy"), F.when(probed, F.when(key % 3 == 0, "A_EXACT").when(key % 3 == 1, "B_BRIDGEABLE").otherwise("D_UNAVAILABLE")).alias("candidate_class"),
+        F.when(probed, F.when(key % 4 == 0, "low").when(key % 4 == 1, "MEDIUM").when(key % 4 == 2, "HIGH").otherwise("UNKNOWN")).alias("integration_cost"))
     found = windows.gap_priority(cut(cells), probe, tables.CATEGORIES, ("ECONOMY", "LARGE", "PROMO"), PROBABILITY, COST)
     return found.withColumn("direct_real", r(F.col("direct_real"), 2)).withColumn("share", r(F.col("share"), 9)).withColumn("score", r(F.col("score"), 9)).withColumn(
         "cumulative_share", r(F.col("cumulative_share"), 9))

@@ -1,7 +1,8 @@
 """Contract checks. Each returns violation rows; no rows means the table passes.
 
 Checks group with map-side partial aggregation and compare counts or extremes, so no key
-group is ever gathered whole.
+group is ever gathered whole. ``stop_where`` and the checks built on it are part of the plan of what
+they guard: a bad row stops the job that meets it, and no job of its own is run.
 """
 
 from __future__ import annotations
@@ -25,6 +26,69 @@ def fail_on_rows(violations: DataFrame, message: str) -> None:
         raise ValueError(f"{message}: {[row.asDict() for row in first]}")
 
 
+def stop_where(df: DataFrame, bad: Column, message: str, *show: str) -> DataFrame:
+    """``df`` as it is; a row that is ``bad`` stops the job that computes it, with the values of ``show``.
+
+    The check is a filter inside the plan. It is not deterministic, so the optimizer neither merges it with other filters nor
+    pushes them below it, and an outer join under it stays one.
+    """
+    said = F.concat(F.lit(f"{message}: "), F.to_json(F.struct(*show))) if show else F.lit(message)
+    return df.filter(F.when(F.coalesce(bad, F.lit(False)), F.raise_error(said).cast("boolean")).otherwise(F.monotonically_increasing_id() >= 0))
+
+
+def unrepeated(df: DataFrame, by: Sequence[str], order: Sequence[str], message: str) -> DataFrame:
+    """``df``, stopping at two rows of equal ``by`` and ``order``. Rows are dealt by ``by`` and sorted, as windows and joins on it need them."""
+    key = F.struct(*by, *order)
+    marked = df.withColumn("_before", F.lag(key).over(Window.partitionBy(*by).orderBy(*(order or by))))
+    return stop_where(marked, F.col("_before").isNotNull() & F.col("_before").eqNullSafe(key), message, *by, *order).drop("_before")
+
+
+def numbered(df: DataFrame, keys: Sequence[str], buckets: int = 64) -> DataFrame:
+    """``df`` with ``number``, 1 to its number of rows, in no particular order but the same in every run.
+
+    Rows are counted in hashed buckets; a row's number is its rank in its bucket after the rows of the buckets before.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    sizes = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).agg(F.collect_list(F.struct("b", "n"))).scalar()
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
+    before = F.aggregate(F.filter("_sizes", lambda x: x["b"] < F.col("_bucket")), F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    return df.withColumn("_bucket", bucket).withColumn("_sizes", sizes).withColumn("number", before + rank).drop("_bucket", "_sizes")
+
+
+def month_cells(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("economy", "category"), **sums: Column) -> DataFrame:
+    """For each month of ``panel``: its rows, the distinct ``cells`` that they ``held``, how many are ``wanted``, and ``sums``.
+
+    Cells get dense numbers, and a month folds its numbers into bitmaps of a fixed size before the shuffle: neither the grid of
+    cells and months nor the panel's keys are shuffled. A row of no cell stops the job. ``sums`` may use the columns of both sides.
+    """
+    wanted = cells.agg(F.count("*")).scalar()
+    rows = panel.join(numbered(cells, keys), list(keys), "left")
+    rows = stop_where(rows, F.col("number").isNull(), "cells without a weight", *keys)
+    parts = rows.groupBy("period", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"), F.count("*").alias("rows"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    return parts.groupBy("period").agg(
+        F.sum("rows").alias("rows"), F.sum(F.bitmap_count("bits")).alias("held"), *[F.sum(n).alias(n) for n in sums]).withColumn("wanted", wanted)
+
+
+def whole_months(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("economy", "category"), **sums: Column) -> DataFrame:
+    """``month_cells`` of a panel without holes: a month with repeated cells, or without one of the cells, stops the job."""
+    found = stop_where(month_cells(panel, cells, keys, **sums), F.col("rows") > F.col("held"), "repeated cells", "period", "rows", "held")
+    return stop_where(found, F.col("held") < F.col("wanted"), "months with holes", "period", "held", "wanted")
+
+
+def only_whole_months(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("economy", "category")) -> DataFrame:
+    """The rows of ``panel`` in months that hold every one of ``cells``: the panel of a fixed universe."""
+    whole = month_cells(panel, cells, keys).filter("held = wanted").select("period")
+    return panel.join(whole, "period", "left_semi")
+
+
+def valid_weights(weights: DataFrame, weight: str = "weight", tol: float = 1e-6) -> DataFrame:
+    """``weights``, stopping at one that is not positive and at a sum other than 1."""
+    rows = stop_where(weights, ~finite_positive(F.col(weight)), "weights that are not positive", *weights.columns)
+    total = weights.agg(F.sum(weight)).scalar()
+    return stop_where(rows.withColumn("_total", total), ~(F.abs(F.col("_total") - 1) <= tol), "weights that do not sum up to 1", "_total").drop("_total")
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
 
@@ -128,20 +192,21 @@ def case_metadata_mismatch(cases: DataFrame, fields: Sequence[str]) -> DataFrame
 
 
 def interval_overlaps(assignments: DataFrame) -> DataFrame:
-    """Intervals of one economy that start before an earlier one has ended, each with the earlier one that lasts longest.
+    """Every pair of intervals of one economy that share a month: the later start with the earlier one that lasts until then.
 
-    An open end is ``9999-12``. Comparing with the furthest end so far finds a clash whenever any pair overlaps.
+    An open end is ``9999-12``. An interval meets those that start after it and not after its end; the sweep goes by the months in
+    which intervals start: an interval is unrolled to those of its economy's that it covers, and joined with the intervals that start there.
     """
     end = F.when(F.coalesce("effective_to", F.lit("")) == "", "9999-12").otherwise(F.col("effective_to"))
-    order = Window.partitionBy("economy").orderBy("effective_from", "until", "currency")
-    earlier = F.max(F.struct("until", "currency", "effective_from")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        assignments.withColumn("until", end).withColumn("earlier", earlier)
-        .filter("earlier.until >= effective_from")
-        .select(
-            "economy", "currency", "effective_from", "until", F.col("earlier.currency").alias("earlier_currency"),
-            F.col("earlier.effective_from").alias("earlier_from"), F.col("earlier.until").alias("occupied_until"))
-    )
+    place = F.row_number().over(Window.partitionBy("economy").orderBy("effective_from", "until", "currency"))
+    spans = assignments.withColumn("until", end).withColumn("place", place)
+    last = F.max("effective_from").over(Window.partitionBy("economy"))  # nothing starts later
+    covered = months_between(F.col("effective_from"), F.least("until", "last"))
+    earlier = spans.withColumn("last", last).filter("effective_from <= until and effective_from <= last").select(
+        "economy", F.col("currency").alias("earlier_currency"), F.col("effective_from").alias("earlier_from"), F.col("until").alias("occupied_until"),
+        F.col("place").alias("earlier_place"), F.explode(covered).alias("effective_from"))
+    return spans.join(earlier, ["economy", "effective_from"]).filter("earlier_place < place").select(
+        "economy", "currency", "effective_from", "until", "earlier_currency", "earlier_from", "occupied_until")
 
 
 def registry_violations(definitions: DataFrame, category_count: int) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kalends.functions.classes import evidence_rank
 from kalends.functions.months import month_number, months_between
 from kalends.operators import checks
+from kalends.session import cut
 
 CELL = ("economy", "category")
 
@@ -25,9 +26,10 @@ def preference() -> tuple[Column, ...]:
 def select_best_price(normalized: DataFrame) -> DataFrame:
     """Per cell and month the series with the best (evidence rank, priority, id), and how many competed.
 
-    A series that appears twice in a cell and month stops the step.
+    A series that appears twice in a cell and month stops the job. That is looked for by series, as normalised prices are dealt already,
+    so the many candidates of a cell and month do not meet before they are reduced to the best of each task.
     """
-    checks.fail_on_rows(checks.duplicate_keys(normalized, [*CELL, "period", "series_id"]), "repeated candidates")
+    normalized = checks.unrepeated(normalized, ["series_id"], [*CELL, "period"], "repeated candidates")
     rank, priority, series = preference()
     ordered = F.struct(rank.alias("rank"), priority.alias("source_priority"), series.alias("series_id"), "evidence_class", "price_relative")
     best = normalized.groupBy(*CELL, "period").agg(F.min(ordered).alias("best"), F.count("*").alias("candidate_count"))
@@ -156,12 +158,13 @@ def gap_priority(cells: DataFrame, probe: DataFrame, categories: Sequence[str],
                  probability: dict[str, float], cost: dict[str, float]) -> DataFrame:
     """Incomplete economies by direct expenditure, running share, and a second rank by share x probability / cost.
 
-    ``cells``: economy, category, real. ``probe``: economy, candidate_class, integration_cost.
+    ``cells``: economy, category, real; a cell whose ``real`` is null is missing. ``probe``: economy, candidate_class (null: not probed),
+    integration_cost. Ranks and running shares come from ``ranked``, in range partitions.
     """
     lookup = lambda table, key, default: F.coalesce(
         F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key), F.lit(default))
     sums = cells.groupBy("economy").agg(
-        F.array_sort(F.collect_set("category")).alias("held"),
+        F.array_sort(F.collect_set(F.when(F.col("real").isNotNull(), F.col("category")))).alias("held"),
         F.coalesce(F.sum(F.when(F.col("category").isin(*direct), F.col("real"))), F.lit(0.0)).alias("direct_real"))
     total = sums.agg(F.sum("direct_real")).scalar()
     candidate = F.coalesce("candidate_class", F.lit("NOT_PROBED"))
@@ -172,12 +175,29 @@ def gap_priority(cells: DataFrame, probe: DataFrame, categories: Sequence[str],
         "economy", F.size("held").alias("categories_available"), F.array_join(F.array_except(want, "held"), "|").alias("missing_categories"),
         "direct_real", share.alias("share"), candidate.alias("candidate_class"),
         (share * lookup(probability, candidate, 0.0) / lookup(cost, costing, 10.0)).alias("score"))
-    order = Window.orderBy(F.desc("direct_real"), F.desc("economy"))
-    probed = F.col("candidate_class") != "NOT_PROBED"
-    second = F.row_number().over(Window.partitionBy(probed).orderBy(F.desc("score"), F.desc("direct_real"), F.desc("economy")))
-    return gaps.withColumn("gap_rank", F.row_number().over(order)).withColumn(
-        "cumulative_share", F.sum("share").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "score_rank", F.when(probed, second))
+    placed = ranked(gaps, (F.desc("direct_real"), F.desc("economy")), "gap_rank", cumulative_share=F.col("share"))
+    second = ranked(placed.filter("candidate_class <> 'NOT_PROBED'"), (F.desc("score"), F.desc("direct_real"), F.desc("economy")), "score_rank")
+    return placed.join(second.select("economy", "score_rank"), "economy", "left")
+
+
+def ranked(df: DataFrame, order: Sequence[Column], name: str = "rank", parts: int | None = None, **sums: Column) -> DataFrame:
+    """``df`` with each row's place in ``order`` and the running ``sums`` up to it, without a window over all rows.
+
+    Rows are dealt into ``parts`` ranges of the order and written once; each range's size and sums are added up, and a row's place
+    is its place within its range after the ranges before. ``order`` should leave no ties.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut(df.withColumns({f"_{n}": c for n, c in sums.items()}).repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    facts = dealt.groupBy("_part").agg(F.count("*").alias("n"), *[F.sum(f"_{n}").alias(n) for n in sums])
+    facts = facts.agg(F.collect_list(F.struct(*facts.columns))).scalar()
+    own = Window.partitionBy("_part").orderBy(*order)
+    earlier = F.filter("_facts", lambda x: x["_part"] < F.col("_part"))
+    before = lambda field, zero: F.aggregate(earlier, zero, lambda s, x: s + F.coalesce(x[field], zero))
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    placed = dealt.withColumn("_facts", facts).withColumns({
+        name: (before("n", F.lit(0).cast("long")) + F.row_number().over(own)).cast("int"),
+        **{n: before(n, F.lit(0.0)) + F.sum(F.col(f"_{n}").cast("double")).over(upto) for n in sums}})
+    return placed.drop("_facts", "_part", *[f"_{n}" for n in sums])
 
 
 def round_with_residual(df: DataFrame, share: str, places: int, order: Sequence[str]) -> DataFrame:

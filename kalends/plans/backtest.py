@@ -53,13 +53,12 @@ def completion_backtest(panel: DataFrame, weights: DataFrame, horizons: Sequence
                         headline: DataFrame | None = None) -> DataFrame:
     """One case per mask, origin, target, horizon and model: estimate, error, bps and mean cell error.
 
-    With ``headline`` the two headline models follow that panel instead of the unmasked cells. Repeated cells, weights that do
-    not sum up to 1 or are not positive, and cells without a weight stop the step.
+    With ``headline`` the two headline models follow that panel instead of the unmasked cells. The step stops at repeated cells,
+    a month that lacks a cell of ``weights``, prices or weights that are not positive, weights that do not sum up to 1, and cells without a
+    weight. One job folds the months of the whole panel to the truth and to these checks.
     """
-    checks.fail_on_rows(checks.duplicate_keys(panel, ["economy", "category", "period"]), "repeated cells")
-    checks.fail_on_rows(checks.weight_sum_violations(weights, [], tol=1e-6), "weights that do not sum up to 1")
-    checks.fail_on_rows(weights.filter("weight is null or weight <= 0"), "weights that are not positive")
-    checks.fail_on_rows(panel.join(weights, ["economy", "category"], "left_anti").select("economy", "category").distinct(), "cells without a weight")
+    prices = checks.stop_where(panel, ~checks.finite_positive(F.col("price_relative")), "prices that are not positive", "economy", "category", "period", "price_relative")
+    truth = cut(checks.whole_months(prices, checks.valid_weights(weights), truth=F.col("weight") * F.col("price_relative"))).select(F.col("period").alias("target"), "truth")
     pairs = joins.rolling_origin_pairs(panel, horizons, window)
     factors = cut(pair_factors(panel, weights, pairs))
     keys = ("origin", "target", "horizon")
@@ -88,8 +87,6 @@ def completion_backtest(panel: DataFrame, weights: DataFrame, horizons: Sequence
         F.sum(F.col("weight") * wrong).alias("error"), F.avg(F.abs(wrong / F.col("after")) * 100).alias("mape"),
         F.array_join(F.array_sort(F.collect_set("m.evidence")), "+").alias("evidence_class"),
         F.min("economy").alias("economy"), F.min("category").alias("category"))
-    truth = panel.join(weights, ["economy", "category"]).groupBy(F.col("period").alias("target")).agg(
-        F.sum(F.col("weight") * F.col("price_relative")).alias("truth"))
     case_id = F.concat_ws("|", "scenario", "masked_group", "origin", "target", F.format_string("H%02d", F.col("horizon")))
     return masked.join(truth, "target").select(
         case_id.alias("case_id"), "scenario", "masked_group", *keys,

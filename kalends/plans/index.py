@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kalends.operators import aggregates, checks, joins, sets, windows
 from kalends.session import cut
@@ -13,18 +13,17 @@ from kalends.session import cut
 def normalize_prices(definitions: DataFrame, obs: DataFrame, reference: str) -> DataFrame:
     """Enabled series rebased to 100 at the reference month, one row per target category.
 
-    The reference value is one row per series, so the rebase is an equi-join on the series. Repeated series-months and
-    observations of series that no definition knows stop the step. Other columns of ``obs``, such as its provider, dataset, dates
-    and flags, stay on their rows.
+    One pass: observations are dealt by series once; the check for repeated months, the reference value and the join with the
+    definitions all use that. Repeated series-months or definitions, and observations of series that no definition knows, stop the
+    job. Other columns of ``obs``, such as its provider, dataset, dates and flags, stay on their rows.
     """
     kept = [c for c in obs.columns if c not in ("series_id", "period", "value")]
-    checks.fail_on_rows(checks.duplicate_keys(obs, ["series_id", "period"]), "repeated series-months")
-    checks.fail_on_rows(checks.duplicate_keys(definitions, ["series_id"]), "repeated series definitions")
-    checks.fail_on_rows(obs.join(definitions, "series_id", "left_anti").select("series_id").distinct(), "unknown series")
-    active = definitions.filter("enabled").drop("enabled")
-    base = obs.filter(F.col("period") == reference).select("series_id", F.col("value").alias("reference_value"))
-    rebased = obs.join(base, "series_id").select("series_id", "period", *kept, (F.lit(100.0) * F.col("value") / F.col("reference_value")).alias("price_relative"))
-    return rebased.join(active, "series_id").withColumn("category", F.explode("target_categories")).select(
+    rows = checks.unrepeated(obs, ["series_id"], ["period"], "repeated series-months")
+    base = F.max(F.when(F.col("period") == reference, F.struct("value"))).over(Window.partitionBy("series_id"))
+    known = checks.unrepeated(definitions, ["series_id"], [], "repeated series definitions").withColumn("known", F.lit(True))
+    rows = checks.stop_where(rows.withColumn("base", base).join(known, "series_id", "left"), F.col("known").isNull(), "unknown series", "series_id")
+    rebased = rows.filter("enabled and base is not null").withColumn("price_relative", F.lit(100.0) * F.col("value") / F.col("base.value"))
+    return rebased.withColumn("category", F.explode("target_categories")).select(
         "series_id", "economy", "category", "period", "price_relative", "evidence_class", "source_priority", *kept)
 
 
@@ -82,17 +81,45 @@ def headline_series(headline: DataFrame, weights: DataFrame, base_year: int) ->
         (100 * F.avg("relative")).alias("equal_index"), (100 * F.sum(F.col("relative") * F.col("economy_weight"))).alias("weighted_index"))
 
 
+# What rates and price relatives must be.
+RATE_CONVENTION, PRICE_BASIS = "CURRENCY_UNITS_PER_EUR", "LOCAL_CURRENCY_RELATIVE"
+
+
+def _local_cells(cells: DataFrame, reference: str) -> DataFrame:
+    """``cells`` of one universe with fixed weights, the reference month's; its months are folded once, in a job of its own."""
+    if "price_basis" in cells.columns:
+        cells = checks.stop_where(cells, ~F.col("price_basis").eqNullSafe(PRICE_BASIS), "prices of another basis, converted twice", "economy", "category", "period", "price_basis").drop("price_basis")
+    base = cells.filter(F.col("period") == reference).select("economy", "category", F.col("weight").alias("base_weight"))
+    base = checks.valid_weights(checks.unrepeated(base, ["economy", "category"], [], "repeated cells"), "base_weight", 1e-9)
+    moved = (~(F.abs(F.col("weight") - F.col("base_weight")) <= 1e-12)).cast("int")
+    months = checks.whole_months(cells, base, moved=F.coalesce(moved, F.lit(1)))
+    cut(checks.stop_where(months, F.col("moved") > 0, "weights that change", "period", "moved"))
+    return cells
+
+
+def _single_assignments(assignments: DataFrame) -> DataFrame:
+    """``assignments``, stopping at one that begins before an earlier one of its economy has ended."""
+    until = F.when(F.coalesce("effective_to", F.lit("")) == "", "9999-12").otherwise(F.col("effective_to"))
+    order = Window.partitionBy("economy").orderBy("effective_from", until, "currency").rowsBetween(Window.unboundedPreceding, -1)
+    marked = assignments.withColumn("_occupied", F.max(until).over(order))
+    return checks.stop_where(marked, F.col("_occupied") >= F.col("effective_from"), "overlapping currency assignments", "economy", "currency", "effective_from").drop("_occupied")
+
+
 def fx_separation(cells: DataFrame, assignments: DataFrame, fx: DataFrame, reference: str) -> dict[str, DataFrame]:
     """Local-price index beside a common-currency cost index; uncovered weight is reported, never renormalised.
 
     ``cells``: period, economy, category, weight, price_relative on a fixed universe. Rates are attached per
-    economy-month, not per cell, before the cells are joined. Repeated cells or rates, rates that are not positive and
-    assignments that overlap stop the step.
+    economy-month, not per cell, before the cells are joined; a null rate is one that was not published. These stop the job:
+    repeated cells, a month that lacks a cell of the reference month or has another, weights that change or do not sum up to 1, prices of
+    another basis than ``PRICE_BASIS`` (where ``cells`` has a ``price_basis``), repeated rates, rates that are not positive or of
+    another convention than ``RATE_CONVENTION`` (where ``fx`` has a ``convention``), and assignments that overlap.
     """
-    checks.fail_on_rows(checks.duplicate_keys(cells, ["economy", "category", "period"]), "repeated cells")
-    checks.fail_on_rows(checks.duplicate_keys(fx, ["currency", "period"]), "repeated exchange rates")
-    checks.fail_on_rows(fx.filter("rate is not null and (rate <= 0 or isnan(rate))").select("currency", "period", "rate"), "exchange rates that are not positive")
-    checks.fail_on_rows(checks.interval_overlaps(assignments), "overlapping currency assignments")
+    cells = _local_cells(cells, reference)
+    fx = checks.unrepeated(fx, ["currency"], ["period"], "repeated exchange rates")
+    fx = checks.stop_where(fx, F.col("rate").isNotNull() & ~checks.finite_positive(F.col("rate") * F.col("redenomination")), "exchange rates that are not positive", "currency", "period", "rate")
+    if "convention" in fx.columns:
+        fx = checks.stop_where(fx, ~F.col("convention").eqNullSafe(RATE_CONVENTION), "rates of another convention", "currency", "period", "convention").drop("convention")
+    assignments = _single_assignments(assignments)
     valid = joins.assign_currency(cells, assignments).drop("matches")
     rated = joins.attach_fx(valid, fx, reference)
     base = valid.filter(F.col("period") == reference).select("economy", F.col("currency").alias("reference_currency"))

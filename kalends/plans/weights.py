@@ -19,13 +19,13 @@ KINDS = ("PPP", "NOMINAL_EXPENDITURE", "REAL_EXPENDITURE")
 
 def select_measure_triple(obs: DataFrame, measures: DataFrame) -> DataFrame:
     """The (PPP, nominal, real) measure ids whose identity nominal / PPP = real holds best: least median error,
-    then most comparisons, then ids. ``obs``: economy, heading, measure, value; ``measures``: measure, label."""
+    then most comparisons, then ids. ``obs``: economy, heading, measure, value (null: not published); ``measures``: measure, label."""
     kinds = measures.select("measure", measure_kind(F.col("label")).alias("kind"))
     rows = obs.join(kinds, "measure")
     part = lambda kind, name: rows.filter(F.col("kind") == kind).select("economy", "heading", F.col("measure").alias(f"{name}_id"), F.col("value").alias(name))
     joined = part(KINDS[0], "ppp").join(part(KINDS[1], "nominal"), ["economy", "heading"]).join(part(KINDS[2], "real"), ["economy", "heading"])
     error = F.abs(F.col("nominal") / F.col("ppp") - F.col("real")) / F.abs("real")
-    scored = joined.filter("ppp > 0 and real <> 0").groupBy("ppp_id", "nominal_id", "real_id").agg(
+    scored = joined.filter("ppp > 0 and real <> 0 and nominal is not null").groupBy("ppp_id", "nominal_id", "real_id").agg(
         F.percentile(error, 0.5).alias("median_error"), F.count("*").alias("comparisons"))
     order = F.struct("median_error", -F.col("comparisons"), "ppp_id", "nominal_id", "real_id")
     return scored.groupBy().agg(F.min_by(F.struct(*scored.columns), order).alias("best")).select("best.*")
@@ -106,11 +106,11 @@ def entity_status(wide: DataFrame, registry: DataFrame, aggregate_tokens: Sequen
 def select_single_source(nominal: DataFrame, required: Sequence[str], priority: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The first source in priority order that holds all required categories, per economy; and the audit of all candidates.
 
-    ``nominal``: economy, category, source_id, value.
+    ``nominal``: economy, category, source_id, value; a source does not hold a category whose value is null.
     """
     place = F.coalesce(F.element_at(F.create_map(*[x for i, s in enumerate(priority) for x in (F.lit(s), F.lit(i))]), F.col("source_id")), F.lit(999))
     want = F.array(*[F.lit(c) for c in sorted(required)])
-    sources = cut(nominal.groupBy("economy", "source_id").agg(F.collect_set("category").alias("held")).withColumn("missing", F.array_except(want, "held")).withColumn("place", place))
+    sources = cut(nominal.groupBy("economy", "source_id").agg(F.collect_set(F.when(F.col("value").isNotNull(), F.col("category"))).alias("held")).withColumn("missing", F.array_except(want, "held")).withColumn("place", place))
     chosen = sources.filter(F.size("missing") == 0).groupBy("economy").agg(F.min(F.struct("place", "source_id")).alias("best")).select("economy", F.col("best.source_id").alias("chosen_source"))
     selected = nominal.join(chosen, "economy").filter("source_id = chosen_source").drop("chosen_source")
     grid = sources.join(chosen, "economy", "left").withColumn("category", F.explode(want))
@@ -250,8 +250,8 @@ class ImputationPolicy:
 
 
 def core_vectors(cells: DataFrame, policy: ImputationPolicy) -> DataFrame:
-    """Cells of economies that hold every category as class A or B."""
-    core = cells.filter(F.col("evidence_class").startswith("A_") | F.col("evidence_class").startswith("B_"))
+    """Cells of economies that hold a value of class A or B in every category."""
+    core = cells.filter(F.col("central").isNotNull() & (F.col("evidence_class").startswith("A_") | F.col("evidence_class").startswith("B_")))
     whole = core.groupBy("economy").agg(F.count_distinct("category").alias("n")).filter(F.col("n") == len(policy.categories))
     return core.join(whole, "economy", "left_semi").select(F.col("economy").alias("donor"), "category", F.col("central").alias("value"))
 
@@ -315,23 +315,24 @@ def _values(rows: DataFrame, amount: Column, policy: ImputationPolicy) -> DataFr
 
 
 def impute_grid(cells: DataFrame, profiles: DataFrame, constraints: DataFrame, policy: ImputationPolicy) -> DataFrame:
-    """Complete economy x category grid: observed cells kept, C from own disjoint aggregates, D or E from donors.
+    """Complete economy x category grid: observed cells kept, C from own disjoint aggregates, D or E from donors. A null cell is not observed.
 
     ``profiles`` carries total_real; ``constraints``: economy, aggregate_id, categories, amount. A residual that is
     not positive gives null values with status NONPOSITIVE_RESIDUAL. Repeated cells or profiles and bounds that do not hold their
     value stop the step.
     """
-    checks.fail_on_rows(checks.duplicate_keys(cells, ["economy", "category"]), "repeated cells")
-    checks.fail_on_rows(checks.duplicate_keys(profiles, ["economy"]), "repeated profiles")
-    checks.fail_on_rows(cells.filter("not (lower <= central and central <= upper)").select("economy", "category", "lower", "central", "upper"), "bounds that do not hold their value")
+    cells = checks.stop_where(cells, F.expr("not (lower <= central and central <= upper)"), "bounds that do not hold their value", "economy", "category", "lower", "central", "upper")
+    cells = checks.unrepeated(cells, ["economy"], ["category"], "repeated cells")
+    profiles = checks.unrepeated(profiles, ["economy"], [], "repeated profiles")
     vectors = cut(core_vectors(cells, policy))
-    pool = cut(donor_pool(donor_distance(profiles, vectors), policy))
-    observed = cells.select("economy", "category", "central", "lower", "upper", "evidence_class", F.lit("").alias("donors"), F.lit("OBSERVED").alias("status"))
+    distances = cut(donor_distance(profiles, vectors))
+    pool = cut(donor_pool(distances, policy))
+    observed = cells.filter("central is not null").select("economy", "category", "central", "lower", "upper", "evidence_class", F.lit("").alias("donors"), F.lit("OBSERVED").alias("status"))
     known = observed.select("economy", "category", F.col("central").alias("known"))
     parts = constraints.withColumn("category", F.explode("categories")).join(known, ["economy", "category"], "left")
     left = parts.groupBy("economy", "aggregate_id").agg((F.max("amount") - F.coalesce(F.sum("known"), F.lit(0.0))).alias("residual"))
     want = parts.filter("known is null").select(F.col("economy").alias("target"), "aggregate_id", "category")
-    nearest = cut(donor_pool(donor_distance(profiles, vectors), ImputationPolicy(policy.categories, policy.donor_count, 1)))
+    nearest = cut(donor_pool(distances, ImputationPolicy(policy.categories, policy.donor_count, 1)))
     shares = donor_template(want, nearest, vectors, policy, ("target", "aggregate_id")).withColumnRenamed("target", "economy").join(left, ["economy", "aggregate_id"])
 
     def filled(rows: DataFrame, evidence: Column) -> DataFrame:

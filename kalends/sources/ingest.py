@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kalends.functions.text import join_list, normalize_name, split_list
+from kalends.operators import checks
 
 
 def alias_column(df: DataFrame, *names: str) -> Column:
@@ -88,20 +89,32 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     return parse_profiles(read_csv(spark, path))
 
 
+# Names under which providers give the columns of exchange rates.
+FX_COLUMNS = {
+    "currency": ("CURRENCY",), "period": ("TIME_PERIOD", "TIME PERIOD", "TIME_PERIOD_START"), "value": ("OBS_VALUE", "OBS VALUE"), "frequency": ("FREQ", "FREQUENCY"),
+    "denominator": ("CURRENCY_DENOM", "CURRENCY DENOM"), "type": ("EXR_TYPE", "EXR TYPE"), "suffix": ("EXR_SUFFIX", "EXR SUFFIX"),
+}
+
+
 def parse_fx_rates(df: DataFrame, currencies: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Monthly average spot rates against the euro of the requested currencies, and requested currencies without any."""
-    text = lambda *names: F.trim(alias_column(df, *names))
+    """Monthly average spot rates against the euro of the requested currencies, and requested currencies without any.
+
+    A table that lacks one of the columns, under each of its names, raises. A rate that is null, not positive or no number is not published.
+    """
+    text = lambda field: F.trim(alias_column(df, *FX_COLUMNS[field]))
     rows = df.select(
-        F.upper(text("CURRENCY")).alias("currency"), F.substring(text("TIME_PERIOD", "TIME PERIOD", "TIME_PERIOD_START"), 1, 7).alias("period"),
-        text("OBS_VALUE", "OBS VALUE").cast("double").alias("rate"), text("FREQ", "FREQUENCY").alias("f"), F.upper(text("CURRENCY_DENOM", "CURRENCY DENOM")).alias("d"),
-        text("EXR_TYPE", "EXR TYPE").alias("t"), text("EXR_SUFFIX", "EXR SUFFIX").alias("s"))
+        F.upper(text("currency")).alias("currency"), F.substring(text("period"), 1, 7).alias("period"), text("value").try_cast("double").alias("rate"),
+        text("frequency").alias("f"), F.upper(text("denominator")).alias("d"), text("type").alias("t"), text("suffix").alias("s"))
     kept = rows.filter(F.col("currency").isin(*currencies) & (F.col("f") == "M") & (F.col("d") == "EUR") & (F.col("t") == "SP00") & (F.col("s") == "A") & (F.col("rate") > 0)).select("currency", "period", "rate")
     wanted = df.sparkSession.createDataFrame([(c,) for c in currencies], "currency string")
     return kept, wanted.join(kept, "currency", "left_anti")
 
 
 def ingest_fx_rates(spark: SparkSession, path: str, currencies: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    return parse_fx_rates(read_csv(spark, path), currencies)
+    """``parse_fx_rates`` of a file; bytes that are not UTF-8 stop the job."""
+    raw = read_csv(spark, path)
+    broken = F.concat_ws("", *[F.col(f"`{c}`") for c in raw.columns]).contains("\ufffd")
+    return parse_fx_rates(checks.stop_where(raw, broken, "exchange rates that are not UTF-8"), currencies)
 
 
 CUBE = "struct<id:array<string>,size:array<int>,dimension:map<string,struct<category:struct<index:string>>>,value:string,status:string>"
@@ -303,7 +316,7 @@ BASIS = {"PPP": "LCU_PER_INTERNATIONAL_DOLLAR", "NOMINAL": "LOCAL_CURRENCY_UNITS
 
 
 def unify_normalized_rows(icp: DataFrame, supplemental: DataFrame, registry: DataFrame, headings: DataFrame) -> DataFrame:
-    """Published and supplemental rows under one schema with participation status and the basis of each value.
+    """Published and supplemental rows under one schema with participation status and the basis of each value; rows without a value are left out.
 
     ``icp``: economy, heading, measure, value; ``supplemental``: economy, category, source_id, value;
     ``registry``: economy, status; ``headings``: heading, category.
@@ -314,4 +327,4 @@ def unify_normalized_rows(icp: DataFrame, supplemental: DataFrame, registry: Dat
     second = supplemental.select(
         "economy", F.concat_ws(":", "source_id", "category").alias("heading"), "category", F.lit("NOMINAL_HFCE_STRICT").alias("measure"), "value",
         F.lit("CURRENT_PRICE_DOMESTIC_HOUSEHOLD_EXPENDITURE_LCU").alias("basis"))
-    return first.unionByName(second).join(registry, "economy", "left").withColumn("status", F.coalesce("status", F.lit("UNAVAILABLE_OR_NONPUBLISHED")))
+    return first.unionByName(second).filter("value is not null").join(registry, "economy", "left").withColumn("status", F.coalesce("status", F.lit("UNAVAILABLE_OR_NONPUBLISHED")))

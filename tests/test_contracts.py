@@ -54,10 +54,14 @@ def test_rebasing_stops_at_bad_tables(spark):
     make = lambda rows: spark.createDataFrame(rows, "series_id string, period string, value double")
     assert {r.price_relative for r in index.normalize_prices(series, make(obs), "2020-01").collect()} == {100.0, 150.0}
     for rows, reason in ((obs + obs[:1], "repeated series-months"), ([*obs, ("b", "2020-01", 1.0)], "unknown series")):
-        with pytest.raises(ValueError, match=reason):
-            index.normalize_prices(series, make(rows), "2020-01")
-    with pytest.raises(ValueError, match="repeated series definitions"):
-        index.normalize_prices(series.unionAll(series), make(obs), "2020-01")
+        with pytest.raises(Exception, match=reason):
+            index.normalize_prices(series, make(rows), "2020-01").collect()
+    with pytest.raises(Exception, match="repeated series definitions"):
+        index.normalize_prices(series.unionAll(series), make(obs), "2020-01").collect()
+    off = series.withColumn("enabled", F.lit(False))
+    assert index.normalize_prices(off, make(obs), "2020-01").collect() == []
+    with pytest.raises(Exception, match="unknown series"):
+        index.normalize_prices(off, make([("b", "2020-01", 1.0)]), "2020-01").count()
 
 
 def test_separation_stops_at_bad_tables(spark):
@@ -70,8 +74,29 @@ def test_separation_stops_at_bad_tables(spark):
     for c, h, f, reason in (
         (cells.unionAll(cells), held, make(rates), "repeated cells"), (cells, held, make([*rates, rates[0]]), "repeated exchange rates"),
         (cells, held, make([rates[0], ("USD", "2020-02", -1.0, 1.0)]), "not positive"), (cells, held.unionAll(second), make(rates), "overlapping")):
-        with pytest.raises(ValueError, match=reason):
-            index.fx_separation(c, h, f, "2020-01")
+        with pytest.raises(Exception, match=reason):
+            index.fx_separation(c, h, f, "2020-01")["index"].collect()
+
+
+def test_separation_needs_one_universe_basis_and_convention(spark):
+    schema = "economy string, category string, period string, weight double, price_relative double"
+    whole = [(e, "x", p, 0.5, 100.0) for e in ("A", "B") for p in ("2020-01", "2020-02")]
+    held = spark.createDataFrame([("A", "USD", "2020-01", ""), ("B", "EUR", "2020-01", "")], "economy string, currency string, effective_from string, effective_to string")
+    fx = spark.createDataFrame([("USD", p, 1.1, 1.0) for p in ("2020-01", "2020-02")], "currency string, period string, rate double, redenomination double")
+    run = lambda rows, rates=fx, reference="2020-01", **more: index.fx_separation(
+        spark.createDataFrame(rows, schema).withColumns(more), held, rates, reference)["index"].collect()
+    assert {r.status for r in run(whole)} == {"COMPLETE"}
+    assert {r.status for r in run(whole, fx.withColumn("convention", F.lit(index.RATE_CONVENTION)), price_basis=F.lit(index.PRICE_BASIS))} == {"COMPLETE"}
+    unpublished = fx.withColumn("rate", F.when(F.col("period") == "2020-01", F.col("rate")))
+    assert {(r.period, r.status, r.common_index) for r in run(whole, unpublished)} == {("2020-01", "COMPLETE", 100.0), ("2020-02", "INCOMPLETE_FX", None)}
+    for rows, reason in ((whole[:-1], "months with holes"), ([*whole, ("C", "x", "2020-02", 0.1, 1.0)], "cells without a weight"), ([*whole[:3], (*whole[3][:3], 0.4, 100.0)], "weights that change"),
+                         ([(*r[:3], 0.4, 100.0) for r in whole], "sum up to 1"), (whole[1:2] + whole[3:], "cells without a weight")):
+        with pytest.raises(Exception, match=reason):
+            run(rows)
+    with pytest.raises(Exception, match="another convention"):
+        run(whole, fx.withColumn("convention", F.lit("EUR_PER_CURRENCY")))
+    with pytest.raises(Exception, match="converted twice"):
+        run(whole, price_basis=F.lit("COMMON_CURRENCY_RELATIVE"))
 
 
 def test_a_partial_last_month_has_no_value(spark):
@@ -136,8 +161,8 @@ def test_selection_stops_at_repeated_candidates(spark):
     rows = [("s", "E", "x", "2020-01", 100.0, "P1_OFFICIAL_CATEGORY", 1)]
     make = lambda r: spark.createDataFrame(r, "series_id string, economy string, category string, period string, price_relative double, evidence_class string, source_priority int")
     assert windows.select_best_price(make(rows)).count() == 1
-    with pytest.raises(ValueError, match="repeated candidates"):
-        windows.select_best_price(make(rows * 2))
+    with pytest.raises(Exception, match="repeated candidates"):
+        windows.select_best_price(make(rows * 2)).collect()
 
 
 def test_rebasing_keeps_provenance(spark):
@@ -155,20 +180,20 @@ def test_completion_backtest_and_imputation_stop_at_bad_tables(spark):
     for lv, hd, pf, cats, reason in (
         (levels.unionAll(levels), headline, profiles, ["x"], "repeated cells"), (levels, headline.unionAll(headline), profiles, ["x"], "repeated headline"),
         (levels, headline, profiles.unionAll(profiles), ["x"], "repeated profiles"), (bad, headline, profiles, ["x"], "not positive"), (levels, headline, profiles, ["y"], "unknown category")):
-        with pytest.raises(ValueError, match=reason):
-            completion.predict_rates(lv, hd, pf, none, cats, {"S": completion.Policy()})
+        with pytest.raises(Exception, match=reason):
+            completion.predict_rates(lv, hd, pf, none, cats, {"S": completion.Policy()}).collect()
     panel = spark.createDataFrame([("A", "x", "2020-01", 100.0), ("B", "x", "2020-01", 100.0)], "economy string, category string, period string, price_relative double")
     weight = lambda *rows: spark.createDataFrame(rows, "economy string, category string, weight double")
     for pn, wt, reason in (
         (panel.unionAll(panel), weight(("A", "x", 0.5), ("B", "x", 0.5)), "repeated cells"), (panel, weight(("A", "x", 0.5), ("B", "x", 0.4)), "sum up to 1"),
         (panel, weight(("A", "x", 1.5), ("B", "x", -0.5)), "not positive"), (panel, weight(("A", "x", 1.0)), "cells without a weight")):
-        with pytest.raises(ValueError, match=reason):
-            backtest.completion_backtest(pn, wt, (1,), ("2020-01", "2020-12"))
+        with pytest.raises(Exception, match=reason):
+            backtest.completion_backtest(pn, wt, (1,), ("2020-01", "2020-12")).collect()
     cells = spark.createDataFrame([("A", "x", 1.0, 0.5, 2.0, "A_X")], "economy string, category string, central double, lower double, upper double, evidence_class string")
     policy = weights.ImputationPolicy(("x",))
     for cl, pf, reason in ((cells.unionAll(cells), profiles, "repeated cells"), (cells, profiles.unionAll(profiles), "repeated profiles"), (cells.withColumn("lower", F.lit(1.5)), profiles, "bounds")):
-        with pytest.raises(ValueError, match=reason):
-            weights.impute_grid(cl, pf, None, policy)
+        with pytest.raises(Exception, match=reason):
+            weights.impute_grid(cl, pf, None, policy).collect()
 
 
 def test_cubes_carry_flags_and_broken_ones_raise(spark):
