@@ -43,16 +43,17 @@ def unrepeated(df: DataFrame, by: Sequence[str], order: Sequence[str], message:
     return stop_where(marked, F.col("_before").isNotNull() & F.col("_before").eqNullSafe(key), message, *by, *order).drop("_before")
 
 
-def numbered(df: DataFrame, keys: Sequence[str], buckets: int = 64) -> DataFrame:
-    """``df`` with ``number``, 1 to its number of rows, in no particular order but the same in every run.
+def numbered(df: DataFrame, keys: Sequence[str], buckets: int = 32) -> DataFrame:
+    """``df`` with ``number``, 1 to its number of rows, in no particular order but the same in every run, and that number of rows as ``wanted``.
 
     Rows are counted in hashed buckets; a row's number is its rank in its bucket after the rows of the buckets before.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
-    sizes = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).agg(F.collect_list(F.struct("b", "n"))).scalar()
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    sizes = df.agg(F.array(*[F.count_if(bucket == k) for k in range(buckets)])).scalar()
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
-    before = F.aggregate(F.filter("_sizes", lambda x: x["b"] < F.col("_bucket")), F.lit(0).cast("long"), lambda s, x: s + x["n"])
-    return df.withColumn("_bucket", bucket).withColumn("_sizes", sizes).withColumn("number", before + rank).drop("_bucket", "_sizes")
+    total = lambda array: F.aggregate(array, F.lit(0).cast("long"), lambda s, n: s + n)
+    counted = df.withColumn("_bucket", bucket).withColumn("_sizes", sizes)
+    return counted.withColumn("number", total(F.slice("_sizes", 1, F.col("_bucket"))) + rank).withColumn("wanted", total(F.col("_sizes"))).drop("_bucket", "_sizes")
 
 
 def month_cells(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("economy", "category"), **sums: Column) -> DataFrame:
@@ -61,13 +62,12 @@ def month_cells(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("econ
     Cells get dense numbers, and a month folds its numbers into bitmaps of a fixed size before the shuffle: neither the grid of
     cells and months nor the panel's keys are shuffled. A row of no cell stops the job. ``sums`` may use the columns of both sides.
     """
-    wanted = cells.agg(F.count("*")).scalar()
     rows = panel.join(numbered(cells, keys), list(keys), "left")
     rows = stop_where(rows, F.col("number").isNull(), "cells without a weight", *keys)
     parts = rows.groupBy("period", F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"), F.count("*").alias("rows"), *[F.sum(c).alias(n) for n, c in sums.items()])
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"), F.count("*").alias("rows"), F.max("wanted").alias("wanted"), *[F.sum(c).alias(n) for n, c in sums.items()])
     return parts.groupBy("period").agg(
-        F.sum("rows").alias("rows"), F.sum(F.bitmap_count("bits")).alias("held"), *[F.sum(n).alias(n) for n in sums]).withColumn("wanted", wanted)
+        F.sum("rows").alias("rows"), F.sum(F.bitmap_count("bits")).alias("held"), *[F.sum(n).alias(n) for n in sums], F.max("wanted").alias("wanted"))
 
 
 def whole_months(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("economy", "category"), **sums: Column) -> DataFrame:
@@ -77,9 +77,14 @@ def whole_months(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("eco
 
 
 def only_whole_months(panel: DataFrame, cells: DataFrame, keys: Sequence[str] = ("economy", "category")) -> DataFrame:
-    """The rows of ``panel`` in months that hold every one of ``cells``: the panel of a fixed universe."""
-    whole = month_cells(panel, cells, keys).filter("held = wanted").select("period")
-    return panel.join(whole, "period", "left_semi")
+    """The rows of ``panel`` in months that hold every one of ``cells``: the panel of a fixed universe.
+
+    A month is judged by its number of rows; that none of them repeats a cell is for ``whole_months`` to say.
+    """
+    wanted = cells.agg(F.count("*")).scalar()
+    known = panel.join(cells, list(keys), "left_semi")
+    whole = known.groupBy("period").agg(F.count("*").alias("rows")).withColumn("wanted", wanted).filter("rows >= wanted").select("period")
+    return known.join(whole, "period", "left_semi")
 
 
 def valid_weights(weights: DataFrame, weight: str = "weight", tol: float = 1e-6) -> DataFrame:

@@ -117,3 +117,34 @@ def test_building_a_guarded_query_runs_few_jobs(spark):
     spark.sparkContext.setJobGroup("action", "action")
     assert best.count() == 3
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == 0
+
+
+def test_history_quantiles_equal_brute_force(spark):
+    rng = random.Random(11)
+    months = [f"20{18 + k // 12}-{k % 12 + 1:02d}" for k in range(30)]
+    donors = [f"D{k}" for k in range(9)]
+    residual = [(d, c, m, rng.choice([0.0, 0.1, -0.1, rng.gauss(0, 1)]), True) for d in donors for c in "xy" for m in months if rng.random() < 0.7]
+    pairs = [(t, d, rng.choice([0.0, 0.5, 0.25, rng.random()])) for t in donors for d in donors if t != d]
+    wanted = [(t, c, m, lo, 0.9) for t in donors[:4] for c in "xyz" for m in months for lo in (0.1, 0.25)]
+    found = completion.history_spread(
+        spark.createDataFrame(residual, "donor string, category string, period string, residual double, direct boolean"), spark.createDataFrame(pairs, "target string, donor string, similarity double"),
+        spark.createDataFrame(wanted, "economy string, category string, period string, q_lo double, q_hi double"))
+    got = {tuple(r)[:5]: (r.past_lo, r.past_hi) for r in found.select("economy", "category", "period", "q_lo", "q_hi", "past_lo", "past_hi").collect()}
+    weight = {(t, d): w for t, d, w in pairs}
+    checked = 0
+    for t, c, m, lo, hi in wanted:
+        rows = sorted((x, weight[t, d]) for d, k, p, x, _ in residual if k == c and p <= m and d != t)
+        total = sum(w for _, w in rows)
+        if not total:
+            assert (t, c, m, lo, hi) not in got
+            continue
+        for q, value in zip((lo, hi), got[t, c, m, lo, hi]):
+            cum = 0.0
+            for x, w in rows:
+                cum += w
+                if cum >= total * q * (1 - 1e-12):
+                    break
+            # where a level is met exactly, the order of summing decides between neighbours of one value
+            assert value == x or abs(cum - total * q) < 1e-9
+            checked += 1
+    assert checked > 400 and "collect_list" not in found._jdf.queryExecution().toString()

@@ -17,7 +17,7 @@ from tools.compare import TABLES, rows_of
 SF_DIR, DENSE_DIR = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 DENSE = {
     "fx_separation", "fx_coverage", "completion_backtest", "headline_backtest", "backtest_metrics", "construction_sensitivity", "paired_deltas", "activate_rules",
-    "safeguarded_model", "holdout_evaluation", "release_time_backtest", "vintage_sensitivity", "priority_regressions", "top_error_sources",
+    "safeguarded_model", "holdout_evaluation", "release_time_backtest", "release_time_cases", "vintage_sensitivity", "vintage_ranking", "priority_regressions", "top_error_sources",
 }
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 SOME = (
