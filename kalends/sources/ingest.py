@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from kalends.functions.text import join_list, normalize_name, split_list
 from kalends.operators import checks
+from kalends.session import cut
 
 
 def alias_column(df: DataFrame, *names: str) -> Column:
@@ -129,45 +130,129 @@ def flatten_cube(df: DataFrame, dimensions: Sequence[str], body: str = "body", k
     is kept but not positive.
     """
     cube = F.from_json(F.col(body), CUBE)
-
-    def codes(index: Column) -> Column:
-        placed = F.transform(F.map_entries(F.from_json(index, "map<string,int>")), lambda e: F.struct(e["value"].alias("pos"), e["key"].alias("code")))
-        return F.when(F.ltrim(index).startswith("{"), F.transform(F.array_sort(placed), lambda p: p["code"])).otherwise(F.from_json(index, "array<string>"))
-
     listed = F.transform(F.from_json(F.col("c.value"), "array<double>"), lambda v, i: F.struct(i.cast("long").alias("at"), v.alias("value")))
     mapped = F.transform(F.map_entries(F.from_json(F.col("c.value"), "map<string,double>")), lambda e: F.struct(e["key"].cast("long").alias("at"), e["value"].alias("value")))
     points = F.filter(F.when(F.ltrim(F.col("c.value")).startswith("{"), mapped).otherwise(listed), lambda p: p["value"].isNotNull())
     others = [c for c in df.columns if c != body]
     flag_list, flag_map = F.from_json(F.col("c.status"), "array<string>"), F.from_json(F.col("c.status"), "map<string,string>")
-    parsed = df.select(*others, cube.alias("c")).withColumns({
-        "_flag_map": F.when(F.ltrim(F.col("c.status")).startswith("{"), flag_map), "_flag_list": F.when(F.ltrim(F.col("c.status")).startswith("["), flag_list)}).select(
-        "_flag_map", "_flag_list",
-        *others, "c", *[codes(F.col("c.dimension")[d]["category"]["index"]).alias(f"_codes_{d}") for d in dimensions],
-        *[F.array_position("c.id", d).cast("int").alias(f"_place_{d}") for d in dimensions], points.alias("_points"))
-    broken = F.coalesce(
+    parsed = _with_axes(df.select(*others, cube.alias("c")), dimensions).withColumns({
+        "_flag_map": F.when(F.ltrim(F.col("c.status")).startswith("{"), flag_map), "_flag_list": F.when(F.ltrim(F.col("c.status")).startswith("["), flag_list), "_points": points})
+    broken = F.coalesce(_broken_axes(dimensions), F.when(F.col("_points").isNull(), "no values"))
+    stop = F.raise_error(F.concat(F.lit("PROVIDER_SCHEMA_UNRESOLVED: "), broken)).cast("array<struct<at:bigint,value:double>>")
+    sized = _with_strides(parsed.withColumn("_points", F.when(broken.isNull(), F.col("_points")).otherwise(stop)), dimensions)
+    rows = sized.withColumn("_p", F.explode("_points")).withColumn("at", F.col("_p.at")).withColumn("value", F.col("_p.value"))
+    flag = F.coalesce(F.element_at("_flag_map", F.col("at").cast("string")), F.get("_flag_list", F.col("at").cast("int")), F.lit(""))
+    return _cube_rows(rows.withColumn("status", flag), others, dimensions, keep)
+
+
+def _with_axes(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """``df`` with the codes of each dimension of the cube ``c`` and its place among them."""
+    def codes(index: Column) -> Column:
+        placed = F.transform(F.map_entries(F.from_json(index, "map<string,int>")), lambda e: F.struct(e["value"].alias("pos"), e["key"].alias("code")))
+        return F.when(F.ltrim(index).startswith("{"), F.transform(F.array_sort(placed), lambda p: p["code"])).otherwise(F.from_json(index, "array<string>"))
+
+    return df.withColumns({
+        **{f"_codes_{d}": codes(F.col("c.dimension")[d]["category"]["index"]) for d in dimensions}, **{f"_place_{d}": F.array_position("c.id", d).cast("int") for d in dimensions}})
+
+
+def _broken_axes(dimensions: Sequence[str]) -> Column:
+    """What is wrong with a cube's dimensions, null where nothing is."""
+    return F.coalesce(
         F.when(F.coalesce(F.size("c.id"), F.lit(-1)) < 1, "no dimensions"), F.when(F.size("c.id") != F.coalesce(F.size("c.size"), F.lit(-1)), "other sizes than dimensions"),
         *[F.when(F.coalesce(F.col(f"_place_{d}"), F.lit(0)) == 0, f"no dimension {d}") for d in dimensions],
-        *[F.when(F.coalesce(F.size(f"_codes_{d}"), F.lit(-1)) != F.get("c.size", F.col(f"_place_{d}") - 1), f"other codes than the size of {d}") for d in dimensions],
-        F.when(F.col("_points").isNull(), "no values"))
-    stop = F.raise_error(F.concat(F.lit("PROVIDER_SCHEMA_UNRESOLVED: "), broken)).cast("array<struct<at:bigint,value:double>>")
-    parsed = parsed.withColumn("_points", F.when(broken.isNull(), F.col("_points")).otherwise(stop))
-    after = lambda d: F.slice(F.col("c.size"), F.col(f"_place_{d}") + 1, F.size("c.size"))
-    sized = parsed.select(*others, "_points", "_flag_map", "_flag_list", *[f"_codes_{d}" for d in dimensions], *[
-        F.aggregate(after(d), F.lit(1).cast("long"), lambda a, n: a * n).alias(f"_stride_{d}") for d in dimensions], *[
-        F.element_at("c.size", F.col(f"_place_{d}")).alias(f"_size_{d}") for d in dimensions])
-    rows = sized.withColumn("_p", F.explode("_points"))
-    at = lambda d: F.get(F.col(f"_codes_{d}"), (F.floor(F.col("_p.at") / F.col(f"_stride_{d}")) % F.col(f"_size_{d}")).cast("int"))
-    flag = F.coalesce(F.element_at("_flag_map", F.col("_p.at").cast("string")), F.get("_flag_list", F.col("_p.at").cast("int")), F.lit(""))
-    flat = rows.select(*others, *[at(d).alias(d) for d in dimensions], F.col("_p.value").alias("value"), flag.alias("status"))
+        *[F.when(F.coalesce(F.size(f"_codes_{d}"), F.lit(-1)) != F.get("c.size", F.col(f"_place_{d}") - 1), f"other codes than the size of {d}") for d in dimensions])
+
+
+def _with_strides(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    after = lambda d: F.slice(F.col("c.size"), F.col(f"_place_{d}") + 1, F.size("c.size"))
+    return df.withColumns({
+        **{f"_stride_{d}": F.aggregate(after(d), F.lit(1).cast("long"), lambda a, n: a * n) for d in dimensions},
+        **{f"_size_{d}": F.element_at("c.size", F.col(f"_place_{d}")) for d in dimensions}})
+
+
+def _cube_rows(rows: DataFrame, others: Sequence[str], dimensions: Sequence[str], keep: Mapping[str, Sequence[str]] | None) -> DataFrame:
+    """Coordinates of each value from its position ``at``; kept values must be positive."""
+    at = lambda d: F.get(F.col(f"_codes_{d}"), (F.floor(F.col("at") / F.col(f"_stride_{d}")) % F.col(f"_size_{d}")).cast("int"))
+    flat = rows.select(*others, *[at(d).alias(d) for d in dimensions], "value", "status")
     for name, allowed in (keep or {}).items():
         flat = flat.filter(F.col(name).isin(*allowed))
     wrong = F.raise_error(F.concat_ws("/", F.lit("INVALID_PRICE_VALUE: "), *dimensions, F.col("value").cast("string"))).cast("double")
     return flat.withColumn("value", F.when((F.col("value") > 0) & ~F.isnan("value"), F.col("value")).otherwise(wrong))
 
 
-def read_cubes(spark: SparkSession, paths: str, dimensions: Sequence[str]) -> DataFrame:
-    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"))
-    return flatten_cube(files, dimensions)
+# The members of a cube that hold one entry per cell.
+LONG_MEMBERS = ("value", "status")
+
+
+def _opening(member: str) -> str:
+    return rf'^(?s)(.*)(?<!\\)"{member}"\s*:\s*([\[{{])(.*)$'
+
+
+def cube_parts(spark: SparkSession, paths: str) -> DataFrame:
+    """The pieces of each file between commas with their place: source_file, place, text.
+
+    Spark splits a file into byte ranges at the commas, so a large file is read by several tasks. A piece's place is its number within its
+    range after the pieces of the ranges before, which are counted; the pieces are written once, so that both look at the same ones.
+    """
+    raw = spark.read.option("lineSep", ",").text(paths).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value").alias("text"))
+    raw = cut(raw)
+    ranges = raw.groupBy("source_file", "block").agg(F.min("seq").alias("first"), F.max("seq").alias("last"), F.count("*").alias("n"))
+    ranges = checks.stop_where(ranges, F.col("last") - F.col("first") + 1 != F.col("n"), "a byte range was read in pieces", "source_file", "block")
+    before = F.sum("n").over(Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    offset = ranges.select("source_file", "block", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("offset"))
+    return raw.join(offset, ["source_file", "block"]).select("source_file", (F.col("seq") + F.col("offset")).alias("place"), "text")
+
+
+def read_cubes(spark: SparkSession, paths: str, dimensions: Sequence[str], keep: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """``flatten_cube`` of files of any size, one cube a file, with the path as ``source_file``.
+
+    Values and flags stay in the pieces that they were read in; only the rest of a file, whose size is that of its dimensions, is put
+    together in one row and joined to them. Flags must not hold commas or brackets. A file without values, or with two lists of them, stops the job.
+    """
+    parts = cut(cube_parts(spark, paths))
+    opened = {m: F.regexp_extract("text", _opening(m), 2) != "" for m in LONG_MEMBERS}
+    # pieces with brackets: few outside the dimensions; they say where each member begins and ends
+    marks = parts.filter(F.col("text").rlike(r"[\[\]{}]"))
+    spans = None
+    for m in LONG_MEMBERS:
+        starts = marks.filter(opened[m]).groupBy("source_file").agg(F.min("place").alias(f"{m}_from"), F.count("*").alias(f"{m}_lists"))
+        within = F.when(F.col("place") == F.col(f"{m}_from"), F.regexp_extract("text", _opening(m), 3)).otherwise(F.col("text"))
+        ends = marks.join(starts, "source_file").filter((F.col("place") >= F.col(f"{m}_from")) & within.rlike(r"[\]}]"))
+        found = ends.groupBy("source_file", f"{m}_from", f"{m}_lists").agg(F.min("place").alias(f"{m}_to"))
+        spans = found if spans is None else spans.join(found, "source_file", "full_outer")
+    placed = parts.join(spans, "source_file", "left")
+    inside = {m: F.coalesce(F.col("place").between(F.col(f"{m}_from"), F.col(f"{m}_to")), F.lit(False)) for m in LONG_MEMBERS}
+
+    def entries(m: str) -> DataFrame:
+        text = F.when(F.col("place") == F.col(f"{m}_from"), F.regexp_extract("text", _opening(m), 3)).otherwise(F.col("text"))
+        text = F.trim(F.regexp_replace(F.when(F.col("place") == F.col(f"{m}_to"), F.regexp_extract(text, r"^(?s)([^\]}]*)", 1)).otherwise(text), r"\s+", " "))
+        key = F.regexp_extract("entry", r'^"(\d+)"\s*:', 1)
+        rows = placed.filter(inside[m]).select("source_file", text.alias("entry"), (F.col("place") - F.col(f"{m}_from")).alias("nth")).filter("entry <> ''")
+        return rows.select("source_file", F.when(key != "", key.cast("long")).otherwise(F.col("nth")).alias("at"), F.regexp_replace("entry", r'^"\d+"\s*:\s*', "").alias("entry"))
+
+    body = F.col("text")
+    for m in LONG_MEMBERS:
+        whole = F.concat(F.regexp_extract(body, _opening(m), 1), F.lit(f'"{m}":null'))
+        rest = lambda text: F.regexp_extract(text, r"^(?s)[^\]}]*[\]}](.*)$", 1)
+        first, final = F.col("place") == F.col(f"{m}_from"), F.col("place") == F.col(f"{m}_to")
+        body = F.when(first & final, F.concat(whole, rest(F.regexp_extract(body, _opening(m), 3)))).when(first, whole).when(final, rest(body)).otherwise(body)
+    middle = F.lit(False)
+    glued = F.col("place") == 0
+    for m in LONG_MEMBERS:
+        middle = middle | F.coalesce((F.col("place") > F.col(f"{m}_from")) & (F.col("place") < F.col(f"{m}_to")), F.lit(False))
+        glued = glued | F.coalesce((F.col("place") == F.col(f"{m}_to")) & (F.col(f"{m}_to") > F.col(f"{m}_from")), F.lit(False))
+    pieces = placed.filter(~middle).select("source_file", "value_lists", "place", F.concat(F.when(glued, "").otherwise(","), body).alias("piece"))
+    heads = pieces.groupBy("source_file").agg(F.max("value_lists").alias("lists"), F.array_sort(F.collect_list(F.struct("place", "piece"))).alias("pieces"))
+    heads = _with_axes(heads.select("source_file", "lists", F.from_json(F.array_join("pieces.piece", ""), CUBE).alias("c")), dimensions)
+    broken = F.coalesce(_broken_axes(dimensions), F.when(F.coalesce("lists", F.lit(0)) != 1, "not one list of values"))
+    heads = checks.stop_where(heads.withColumn("broken", broken), F.col("broken").isNotNull(), "PROVIDER_SCHEMA_UNRESOLVED", "broken", "source_file")
+    heads = cut(_with_strides(heads, dimensions))  # one row a file; it stops here even where no value asks for it
+    values = entries("value").filter("entry <> 'null'").withColumn("value", F.col("entry").try_cast("double"))
+    values = checks.stop_where(values, F.col("value").isNull(), "INVALID_PRICE_VALUE", "source_file", "at", "entry")
+    flags = entries("status").filter("entry <> 'null'").select("source_file", "at", F.regexp_extract("entry", r'^"(.*)"$', 1).alias("status"))
+    rows = values.join(flags, ["source_file", "at"], "left").withColumn("status", F.coalesce("status", F.lit(""))).join(heads, "source_file")
+    return _cube_rows(rows, ["source_file"], dimensions, keep)
 
 
 def discover_dimension_code(labels: DataFrame, tokens: Sequence[str]) -> DataFrame:
