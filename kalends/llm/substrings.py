@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -131,6 +133,33 @@ class Automaton:
         return found
 
 
+    def windows(self, sequence: list[int], size: int) -> Iterator[tuple[int, int]]:
+        """End and state of every ``size`` numbers of ``sequence`` that occur in the automaton; equal ones have one state of their own.
+
+        The matching statistics are cut off at ``size``: a longer match goes back along the links to the state of its last ``size`` numbers.
+        """
+        state = held = 0
+        for end, c in enumerate(sequence, 1):
+            while state and c not in self.next[state]:
+                state = self.link[state]
+                held = self.length[state]
+            if c in self.next[state]:
+                state, held = self.next[state][c], held + 1
+            if held >= size:
+                held = size
+                while self.length[self.link[state]] >= size:
+                    state = self.link[state]
+                yield end, state
+
+
+def _joined(starts: list[int], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the spans that windows of ``size`` at rising ``starts`` cover."""
+    starts = np.asarray(starts, np.int64)
+    gap = np.flatnonzero(np.diff(starts) > size) + 1
+    first = starts[np.r_[0, gap]]
+    return first, starts[np.r_[gap - 1, len(starts) - 1]] + size - first
+
+
 def _rows(df: DataFrame, make, names: str) -> DataFrame:
     """Rows that ``make(key, text)`` returns as arrays for each row (key, text), with the key in front."""
     kinds = [pa.int64() if f.split()[1] == "long" else pa.int32() for f in names.split(", ")]
@@ -176,14 +205,8 @@ def _anchor_filter(texts: DataFrame, window: int, gram: int, bits: int) -> np.nd
 
 
 def _passages(window: int):
-    """For each row (key, text, windows): its reference passages and its probes of others' passages, as hashed words."""
-    names = ["owner", "key", "whole", "starts", "sizes", "words"]
-
-    def merged(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts = np.unique(starts)
-        gap = np.flatnonzero(np.diff(starts) > window) + 1
-        first = starts[np.r_[0, gap]]
-        return first, starts[np.r_[gap - 1, len(starts) - 1]] + window - first
+    """For each row (key, text, copies, windows): its reference passages and its probes of others' passages, as hashed words."""
+    names = ["owner", "key", "copies", "starts", "sizes", "words"]
 
     def run(batches):
         for batch in batches:
@@ -192,56 +215,98 @@ def _passages(window: int):
                 word = word_hashes(batch.column("text")[r].as_py())
                 rows = []
                 for found in batch.column("found")[r]:
-                    first, size = merged(found["starts"].values.to_numpy())
+                    first, size = _joined(np.unique(found["starts"].values.to_numpy()), window)
                     parts = [x for i, n in zip(first, size) for x in (word[i : i + n], np.zeros(1, np.uint64))]
                     owner = found["ref"].as_py()
-                    rows.append((owner, key, owner == key, first.tolist(), size.tolist(), np.concatenate(parts).tobytes()))
+                    copies = batch.column("copies")[r].as_py() if owner == key else 0
+                    rows.append((owner, key, copies, first.tolist(), size.tolist(), np.concatenate(parts).tobytes()))
                 if rows:
-                    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return run, "owner long, key long, whole boolean, starts array<int>, sizes array<int>, words binary"
+    return run, "owner long, key long, copies long, starts array<int>, sizes array<int>, words binary"
+
+
+class Reference:
+    """The automaton of one document's reference passages, and which of its windows it has met anywhere else."""
+
+    def __init__(self, key: int, copies: int, starts: list[int], sizes: list[int], words: bytes, window: int):
+        self.key, self.window, self.own, self.times, self.met = key, window, [], Counter(), set()
+        numbers = np.frombuffer(words, np.uint64).tolist()
+        cuts = iter(range(-1, -len(numbers) - 1, -1))  # each end of a passage is a number of its own
+        self.automaton = Automaton([x or next(cuts) for x in numbers])
+        for start, end, state in self.stream(starts, sizes, numbers):
+            self.own.append((start + end - window, state))
+            self.times[state] += copies
+
+    def stream(self, starts: list[int], sizes: list[int], numbers: list[int]):
+        at = 0
+        for start, size in zip(starts, sizes):
+            for end, state in self.automaton.windows(numbers[at : at + size], self.window):
+                yield start, end, state
+            at += size + 1
+
+    def probe(self, starts: list[int], sizes: list[int], words: bytes) -> list[int]:
+        """Starts of a probe's windows that occur in the reference, in rising order; the reference learns that they occur elsewhere."""
+        found = []
+        for start, end, state in self.stream(starts, sizes, np.frombuffer(words, np.uint64).tolist()):
+            self.met.add(state)
+            found.append(start + end - self.window)
+        return found
+
+    def repeated(self) -> list[int]:
+        """Starts of the reference's own windows that occur in a probe, or more than once in the reference itself."""
+        return [start for start, state in self.own if state in self.met or self.times[state] > 1]
 
 
 def _stream(window: int):
-    """Spans of each probe that its reference's automaton matches over ``window`` words or more; rows come sorted by reference."""
+    """Spans of references and probes that occur elsewhere too; rows come sorted, each reference before its probes."""
     def run(batches):
-        owner = automaton = None
+        reference, group, out = None, None, []
+
+        def note(key: int, starts: list[int]) -> None:
+            if starts:
+                first, size = _joined(starts, window)
+                out.append((np.full(len(first), key), first, size))
+
+        def passed_on():
+            keys, starts, sizes = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else ((), (), ())))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts.astype(np.int32)), pa.array(sizes.astype(np.int32))], ["key", "start", "size"])
+
         for batch in batches:
-            keys, starts, sizes = [], [], []
             for r in range(batch.num_rows):
-                if automaton is None or batch.column("owner")[r].as_py() != owner:
-                    owner = batch.column("owner")[r].as_py()
-                    reference = np.frombuffer(batch.column("reference")[r].as_py(), np.uint64).tolist()
-                    cuts = iter(range(-1, -len(reference) - 1, -1))  # each end of a passage is a number of its own
-                    automaton = Automaton([x or next(cuts) for x in reference])
-                key, words = batch.column("key")[r].as_py(), np.frombuffer(batch.column("words")[r].as_py(), np.uint64).tolist()
-                at = 0
-                for start, size in zip(batch.column("starts")[r].as_py(), batch.column("sizes")[r].as_py()):
-                    for i, j in automaton.spans(words[at : at + size], window):
-                        keys.append(key)
-                        starts.append(start + i)
-                        sizes.append(j - i)
-                    at += size + 1
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())], ["key", "start", "size"])
+                row = {n: batch.column(n)[r].as_py() for n in batch.schema.names}
+                if group != (row["owner"], row["salt"]):
+                    if reference is not None:
+                        note(reference.key, reference.repeated())
+                    group = row["owner"], row["salt"]
+                    reference = Reference(row["key"], row["copies"], row["starts"], row["sizes"], row["words"], window)
+                else:
+                    note(row["key"], reference.probe(row["starts"], row["sizes"], row["words"]))
+            yield passed_on()
+        if reference is not None:
+            note(reference.key, reference.repeated())
+            yield passed_on()
 
     return run
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = 35, gram: int = 12, bits: int = 28) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = 35, gram: int = 12, bits: int = 28, probes: int = 2000) -> DataFrame:
     """Remove every word covered by ``window`` consecutive words that also start anywhere else in the table.
 
     1. Every window is anchored at its least hashed run of ``gram`` words; equal windows have equal anchors. Anchors that occur
        more than once are marked in a bit table of fixed size, which is broadcast. Where it is crowded, more windows are candidates.
-    2. Windows with a marked anchor are counted by hash, pre-aggregated. Of those that occur more than once, the places in the
-       document with the smallest key are references; the references of a document, merged, are its reference passages.
-    3. A suffix automaton of each document's reference passages goes to all documents that name it; they stream their
-       own passages through it, and spans with matching statistics of ``window`` words or more are removed, like the references.
+    2. Windows with a marked anchor are counted by hash, pre-aggregated. This only says which passages meet which: of windows that may
+       occur more than once, the places in the document with the smallest key make its reference passages, the others its probes.
+    3. A suffix automaton is built of each document's reference passages. The probes stream through it, and so do the passages
+       themselves: the matching statistics say which windows of a probe occur in the reference, and which of the reference's
+       own windows a probe met or the reference holds twice. Those spans are removed, of references and probes alike.
 
     All windows are judged on the input. Words are compared by 64-bit hashes. Documents are told apart by a 64-bit hash of
     id and text, so rows that repeat both share their spans, and each counts as a place. Null texts and those shorter than a
-    window lose nothing. An automaton holds the repeated words of one document; hot references are joined, so that
-    adaptive execution can split their probes. Texts are shuffled once, by document.
+    window lose nothing. An automaton holds the repeated words of one document; a reference goes once to every ``probes`` documents
+    that name it, so those of a hot one are dealt to several tasks. Texts are shuffled once, by document.
 
     Returns ``doc_id``, ``n_words``, ``n_removed`` and ``kept`` (words joined by one space), one row per row of ``docs``; other
     columns are not read, and an empty table gives an empty result.
@@ -265,13 +330,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = pairs.groupBy("key").agg(F.collect_list(F.struct("ref", "starts")).alias("found"))
     found = stored(found, "repeats")
     cut, fields = _passages(window)
-    distinct = texts.groupBy("key").agg(F.first("text").alias("text"))  # rows that repeat one would only give the same passages
-    passages = stored(distinct.join(found, "key").select("key", "text", "found").mapInArrow(cut, fields), "passages")
-    references = passages.where("whole").select("owner", F.col("words").alias("reference"))
-    probes = passages.where("not whole").join(references, "owner").select("owner", "key", "starts", "sizes", "words", "reference")
-    matched = probes.sortWithinPartitions("owner").mapInArrow(_stream(window), "key long, start int, size int")
-    own = passages.where("whole").select("key", F.explode(F.arrays_zip("starts", "sizes")).alias("s")).select("key", F.col("s.starts").alias("start"), F.col("s.sizes").alias("size"))
-    spans = matched.unionByName(own).groupBy("key").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
+    distinct = texts.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))  # rows that repeat one would only give the same passages
+    passages = stored(distinct.join(found, "key").select("key", "text", "copies", "found").mapInArrow(cut, fields), "passages")
+    shares = passages.groupBy("owner").agg(F.ceil(F.count("*") / probes).alias("shares")).where("shares > 1")
+    dealt = passages.join(shares, "owner", "left").withColumn("shares", F.coalesce("shares", F.lit(1)).cast("long"))
+    everywhere = F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)
+    salt = F.explode(F.when(F.col("copies") > 0, everywhere).otherwise(F.array(F.pmod(F.xxhash64("key"), "shares"))))
+    dealt = dealt.select("owner", salt.alias("salt"), "key", "copies", "starts", "sizes", "words")
+    ordered = dealt.repartition("owner", "salt").sortWithinPartitions("owner", "salt", F.col("copies").desc())
+    matched = ordered.mapInArrow(_stream(window), "key long, start int, size int")
+    spans = matched.groupBy("key").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
     joined = texts.join(spans, "key", "left").select("doc_id", "spans", "text")
 
     def remove(batches):

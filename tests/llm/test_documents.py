@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -74,6 +75,28 @@ def test_substrings_match_brute_force(docs):
         want[d, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)] += 1
     for bits in (28, 8):  # a crowded bit table changes nothing
         assert Counter(map(tuple, substrings.without_repeats(docs, bits=bits).collect())) == want
+    assert Counter(map(tuple, substrings.without_repeats(docs, probes=2).collect())) == want  # references dealt to several tasks
+
+
+def test_the_automata_decide_what_goes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    shared, twice = (" ".join(map(str, rng.integers(0, 10**6, 60))) for _ in range(2))
+    lone = lambda: " ".join(map(str, rng.integers(0, 10**6, 50)))
+    rows = [(1, f"{lone()} {shared} {lone()}"), (2, f"{lone()} {shared}"), (3, f"{twice} {lone()} {twice}"), (4, lone())]
+    table = documents(spark, [(d, t, "en", "a") for d, t in rows])
+    assert {r.doc_id: r.n_removed for r in substrings.without_repeats(table).collect()} == {1: 60, 2: 60, 3: 120, 4: 0}
+    # without its reference or its probe, neither side of a pair loses anything; a passage that a document repeats stays found
+    words = lambda text: substrings.word_hashes(text).tobytes()
+    alone = substrings.Reference(1, 1, [50], [60], words(shared) + bytes(8), 35)
+    assert alone.repeated() == []
+    assert alone.probe([0], [50], words(lone()) + bytes(8)) == [] and alone.repeated() == []
+    assert alone.probe([7], [50], words(" ".join(shared.split()[10:])) + bytes(8)) == list(range(7, 23)) and alone.repeated() == list(range(60, 76))
+    itself = substrings.Reference(3, 1, [0, 110], [60, 60], (words(twice) + bytes(8)) * 2, 35)
+    assert itself.repeated() == [*range(26), *range(110, 136)]
+    assert substrings.Reference(3, 2, [0], [60], words(twice) + bytes(8), 35).repeated() == list(range(26))
+    # the count of windows alone removes nothing
+    monkeypatch.setattr(substrings, "_stream", lambda window: lambda batches: (b.select(["key", "salt", "copies"]).slice(0, 0).rename_columns(["key", "start", "size"]).cast(pa.schema([("key", pa.int64()), ("start", pa.int32()), ("size", pa.int32())])) for b in batches))
+    assert {r.n_removed for r in substrings.without_repeats(table).collect()} == {0}
 
 
 def test_automaton_gives_maximal_spans():
