@@ -24,6 +24,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 SLICE = 1 << 16
+DEALS = 64  # parts in which the passages of an owner learn how often its reference is sent
 FORTH, BACKWARDS = _powers(BASE, SLICE), _powers(BACK, SLICE)
 GAP = re.compile(rb"[ \t-\r]")
 
@@ -333,7 +334,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = texts.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))  # rows that repeat one would only give the same passages
     passages = stored(distinct.join(found, "key").select("key", "text", "copies", "found").mapInArrow(cut, fields), "passages")
     shares = passages.groupBy("owner").agg(F.ceil(F.count("*") / probes).alias("shares")).where("shares > 1")
-    dealt = passages.join(shares, "owner", "left").withColumn("shares", F.coalesce("shares", F.lit(1)).cast("long"))
+    shares = shares.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))  # hot owners only, met part by part
+    parted = passages.withColumn("part", F.pmod(F.xxhash64("owner", "key"), F.lit(DEALS)).cast("int"))
+    dealt = parted.join(shares, ["owner", "part"], "left").withColumn("shares", F.coalesce("shares", F.lit(1)).cast("long"))
     everywhere = F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)
     salt = F.explode(F.when(F.col("copies") > 0, everywhere).otherwise(F.array(F.pmod(F.xxhash64("key"), "shares"))))
     dealt = dealt.select("owner", salt.alias("salt"), "key", "copies", "starts", "sizes", "words")
