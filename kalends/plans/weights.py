@@ -322,8 +322,8 @@ def impute_grid(cells: DataFrame, profiles: DataFrame, constraints: DataFrame, p
     value stop the step.
     """
     cells = checks.stop_where(cells, F.expr("not (lower <= central and central <= upper)"), "bounds that do not hold their value", "economy", "category", "lower", "central", "upper")
-    cells = checks.unrepeated(cells, ["economy"], ["category"], "repeated cells")
-    profiles = checks.unrepeated(profiles, ["economy"], [], "repeated profiles")
+    cells = cut(checks.unrepeated(cells, ["economy"], ["category"], "repeated cells"))
+    profiles = cut(checks.unrepeated(profiles, ["economy"], [], "repeated profiles"))
     vectors = cut(core_vectors(cells, policy))
     distances = cut(donor_distance(profiles, vectors))
     pool = cut(donor_pool(distances, policy))
