@@ -190,7 +190,7 @@ def test_pipeline_run_equals_its_stages(spark):
 
 
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are absent")
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op12_source_divergence"}))  # its rows are pairs and terms; see the SQL
 def test_every_query_covers_its_table(spark, name):
     rows = queries.QUERIES[name](spark, SF_DIR).count()
     source = {"op3": "pages", "op6": "conversations", "op9": "embeddings"}.get(name.split("_")[0], "documents")
