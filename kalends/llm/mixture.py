@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalends.llm.common import WORD, count_words, stored
+from kalends.operators.windows import ranked
 
 SEED = 20_240_607
 BROADCAST_ROWS = 50_000  # of the plan, each of some 150 bytes
+RANGES = 64  # of the sources, in code-point order and by size for their weight
+CELL_BITS = 10  # a node counts the hashes of its blocks in cells of their first bits
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -16,17 +19,20 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> D
 
     ``sources`` has ``key``, ``source`` and ``source_size``. Sources in code-point order, null last, take the weights in
     turn. If the sources with the least size for their weight are full, the rest shares what they leave; the level at which
-    nobody is above is the highest over all numbers of full sources. One row per source: the windows run over sources only.
+    nobody is above is the highest over all numbers of full sources. Places and running sums come from range partitions
+    (``ranked``), so any number of sources will do.
     """
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(ordered) - 1) % len(weights) + 1).cast("int"))
-    everything, scarce = Window.partitionBy(), Window.orderBy(F.col("source_size") / F.col("weight"), "key").rowsBetween(Window.unboundedPreceding, -1)
-    table = sources.withColumn("weight", weight).withColumn("total", F.sum("source_size").over(everything))
-    full = F.coalesce(F.sum(F.col("source_size") * most).over(scarce), F.lit(0))
-    left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(scarce), F.lit(0))
-    table = table.withColumn("level", (F.col("total") - full) / left)
-    table = table.withColumn("target", F.least(F.col("source_size") * most, F.max("level").over(everything) * F.col("weight")).cast("double"))
-    return table.select("key", "source_size", "target", F.round("target").cast("long").alias("quota"))
+    placed = ranked(sources, (F.col("source").asc_nulls_last(),), "place_", RANGES)
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("place_") - 1) % len(weights) + 1).cast("int"))
+    table = placed.withColumn("weight", weight).drop("place_")
+    full = F.col("source_size") * most
+    scarce = (F.col("source_size") / F.col("weight"), F.col("key"))
+    table = ranked(table, scarce, "place_", RANGES, full_upto=full, weight_upto=F.col("weight")).drop("place_")
+    sums = table.agg(F.struct(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))).scalar()
+    left = F.col("sums_.weight") - (F.col("weight_upto") - F.col("weight"))
+    table = table.withColumn("sums_", sums).withColumn("level", (F.col("sums_.size") - (F.col("full_upto") - full)) / left)
+    target = F.least(full, table.agg(F.max("level")).scalar() * F.col("weight")).cast("double")
+    return table.withColumn("target", target).select("key", "source_size", "target", F.round("target").cast("long").alias("quota"))
 
 
 def _filled(rows: DataFrame, by: list[str], order: Column, size: str) -> DataFrame:
@@ -36,26 +42,40 @@ def _filled(rows: DataFrame, by: list[str], order: Column, size: str) -> DataFra
     return rows.withColumn("part", F.greatest(F.lit(0), F.least(F.col(size), F.col("rest") - gone)).cast("long"))
 
 
-def _split(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
+def split(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """Blocks of each source for each shard: exact quotas that sum up to ``n``, drawn down a binary tree over the shards.
 
-    At every node a random half of its blocks, told apart by source only, goes left: the sources' counts are one
-    multivariate hypergeometric draw. ``quotas`` has ``key`` and ``n``; rows here are blocks, a fixed number per source.
+    ``quotas`` has ``key`` and ``n``, the blocks of a source. A node of the tree holds how many blocks of each source it has and hands
+    a random part of them, as large as its left shards' share, to its left child: the blocks with the smallest hashes. That is one
+    multivariate hypergeometric draw, since blocks count by source only. Which hashes are small enough is found by
+    counting them in ``2 ** CELL_BITS`` cells of each node; only the one cell in which the part ends is ordered. Shards differ by at
+    most one block for each level. Returns ``key``, ``shard`` and ``n`` above zero; an empty table gives an empty result.
     """
-    balls = quotas.where("n > 0").select("key", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("ball"))
-    balls = balls.select("key", "ball", F.lit(0).alias("low"), F.lit(shards).alias("high"))
+    nodes = quotas.where("n > 0").select("key", F.lit(0).alias("low"), F.lit(shards).alias("high"), F.col("n").cast("long").alias("n"))
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
     for level in range(max(shards - 1, 0).bit_length()):
-        node = Window.partitionBy("low")
-        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
-        left = F.round(F.count("*").over(node) * (middle - F.col("low")) / (F.col("high") - F.col("low")))
-        rank = F.row_number().over(node.orderBy(F.xxhash64(F.lit(seed), F.lit(level), "key", "ball"), "key", "ball"))
-        balls = balls.select("key", "ball", "low", "high", middle.alias("middle"), (rank <= left).alias("goes_left"))
-        balls = balls.select(
-            "key", "ball",
-            F.when(F.col("goes_left") | (F.col("high") - F.col("low") == 1), F.col("low")).otherwise(F.col("middle")).alias("low"),
-            F.when(F.col("goes_left") & (F.col("high") - F.col("low") > 1), F.col("middle")).otherwise(F.col("high")).alias("high"),
+        nodes = stored(nodes, "nodes")
+        inner = nodes.where("high - low > 1")
+        balls = inner.select("key", "low", "high", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("ball"))
+        balls = balls.withColumn("h", F.xxhash64(F.lit(seed), F.lit(level), "key", "ball"))
+        balls = balls.withColumn("cell", F.shiftrightunsigned("h", 64 - CELL_BITS).cast("int"))
+        within = Window.partitionBy("low")  # cells of one node: 2 ** CELL_BITS rows at most
+        cells = balls.groupBy("low", "high", "cell").agg(F.count("*").alias("held"))
+        part = F.round(F.sum("held").over(within) * (middle - F.col("low")) / (F.col("high") - F.col("low"))).cast("long")
+        upto = F.sum("held").over(within.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
+        room = F.least(F.col("held"), F.greatest(F.lit(0).cast("long"), F.col("part") - (F.col("upto") - F.col("held"))))
+        cells = cells.withColumns({"part": part, "upto": upto}).withColumn("room", room).where("room > 0").select("low", "cell", "held", "room")
+        chosen = balls.join(cells, ["low", "cell"])
+        rank = F.row_number().over(Window.partitionBy("low", "cell").orderBy("h", "key", "ball"))
+        edge = chosen.where("room < held").withColumn("rank", rank).where("rank <= room").drop("rank")
+        left = chosen.where("room = held").unionByName(edge).groupBy("key", "low").agg(F.count("*").alias("goes_left"))
+        parted = inner.join(left, ["key", "low"], "left").withColumn("goes_left", F.coalesce("goes_left", F.lit(0).cast("long")))
+        sides = F.array(
+            F.struct(F.col("low"), middle.alias("high"), F.col("goes_left").alias("n")),
+            F.struct(middle.alias("low"), F.col("high"), (F.col("n") - F.col("goes_left")).alias("n")),
         )
-    return balls.groupBy("key", F.col("low").alias("shard")).agg(F.count("*").alias("n"))
+        nodes = parted.select("key", F.explode(sides).alias("side")).select("key", "side.*").where("n > 0").unionByName(nodes.where("high - low = 1"))
+    return nodes.select("key", F.col("low").alias("shard"), "n")
 
 
 def plan(
@@ -71,8 +91,8 @@ def plan(
     the splitting tree and drawn from the permuted order: shards get disjoint blocks. Reruns agree.
 
     Returns for every row of ``docs``: ``doc_id``, ``others``, ``size`` (words; null has none), ``source_size``, ``target``
-    and ``takes``, an array of (copy, shard, words). Sums are pre-aggregated; windows run over sources, over blocks of a
-    source, or over the documents of one sub-block (one in ``4 ** bits`` of the source). Null sources are a source of their
+    and ``takes``, an array of (copy, shard, words). Sums are pre-aggregated; windows run over cells of a node, over blocks of a
+    source, or over the documents of one sub-block (one in ``4 ** bits`` of the source); a block has a shard only through the tree. Null sources are a source of their
     own, null ids and repeated rows count like any other; other columns are not read; an empty table gives an empty result.
     """
     h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
@@ -94,7 +114,7 @@ def plan(
     units = blocks.select("key", "block", F.explode(F.sequence(F.lit(0).cast("long"), "full")).alias("copy"), "full", "block_part")
     units = units.where("copy < full or block_part > 0").select("key", "block", "copy")
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.lit(seed), F.lit("draw"), "key", "block", "copy"), "block", "copy"))
-    quotas = _split(units.groupBy("key").agg(F.count("*").alias("n")), shards, seed)
+    quotas = stored(split(units.groupBy("key").agg(F.count("*").alias("n")), shards, seed), "quotas")
     upto = F.sum("n").over(Window.partitionBy("key").orderBy("shard"))
     places = quotas.withColumn("upto", upto).select("key", "shard", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, "upto")).alias("place"))
     drawn = units.withColumn("place", rank.cast("long")).join(places, ["key", "place"]).groupBy("key", "block")
@@ -109,9 +129,9 @@ def plan(
     subs = within.groupBy("key", "block", "sub", "rest").agg(F.sum("size").alias("sub_size"))
     subs = _filled(subs, ["key", "block"], F.col("sub"), "sub_size").select("key", "block", "sub", "sub_size", F.col("part").alias("sub_part"))
     rows = rows.join(small(subs), ["key", "block", "sub"], "left")
-    split = F.coalesce((F.col("sub_part") > 0) & (F.col("sub_part") < F.col("sub_size")), F.lit(False))
-    whole = rows.where(~split).withColumn("part", F.when(F.coalesce("sub_part", "block_part") > 0, F.col("size")).otherwise(0))
-    cut = _filled(rows.where(split).withColumn("rest", F.col("sub_part")), ["key", "block", "sub"], F.col("h"), "size")
+    divided = F.coalesce((F.col("sub_part") > 0) & (F.col("sub_part") < F.col("sub_size")), F.lit(False))
+    whole = rows.where(~divided).withColumn("part", F.when(F.coalesce("sub_part", "block_part") > 0, F.col("size")).otherwise(0))
+    cut = _filled(rows.where(divided).withColumn("rest", F.col("sub_part")), ["key", "block", "sub"], F.col("h"), "size")
     out = whole.unionByName(cut)
     words = F.transform(F.coalesce("units", F.array().cast("array<struct<copy:bigint,shard:int>>")), lambda u: F.struct(
         u["copy"].alias("copy"), u["shard"].alias("shard"), F.when(u["copy"] < F.col("full"), F.col("size")).otherwise(F.col("part")).alias("words"),

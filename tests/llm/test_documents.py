@@ -139,10 +139,44 @@ def test_mixture_meets_targets(docs):
 
 def test_mixture_shards_are_even_and_disjoint(docs):
     planned = mixture.plan(docs, others=("text",), shards=4)
+    plan = planned.collect()
     taken = mixture.taken(planned).agg(F.sum("taken")).first()[0]
     rows = mixture.copies(planned).collect()
-    assert {r.shard for r in rows} <= set(range(4))
+    assert {r.shard for r in rows} == set(range(4))
     assert sum(len(WORDS.findall(r.text)) for r in rows) == taken
+    # a copy of a document is in one shard, and the shards together hold every copy
+    assert all(len({t.copy for t in r.takes}) == len(r.takes) for r in plan)
+    assert Counter((r.doc_id, r.shard) for r in rows) == Counter((r.doc_id, t.shard) for r in plan for t in r.takes)
+
+
+@pytest.mark.parametrize("shards", [1, 2, 5, 16])
+def test_splitting_tree_equals_plain_draws(spark, shards):
+    quotas = [("a", 700), ("b", 256), ("c", 1), ("d", 0), ("", 90)]
+    df = spark.createDataFrame(quotas, "key string, n long")
+    got = {(r.key, r.shard): r.n for r in mixture.split(df, shards, 7).collect()}
+    # the quotas are exact and the shards even
+    assert all(sum(n for (k, _), n in got.items() if k == key) == n for key, n in quotas)
+    total = [sum(n for (_, s), n in got.items() if s == shard) for shard in range(shards)]
+    assert max(total) - min(total) <= max(shards - 1, 0).bit_length()
+    # each node again, by ordering all its balls
+    levels = max(shards - 1, 0).bit_length()
+    balls = df.select("key", "n", F.explode(F.sequence(F.lit(0), F.lit(max(levels, 1) - 1))).alias("level")).where("n > 0")
+    balls = balls.select("key", "level", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("ball"))
+    hashes = {(r.level, r.key, r.ball): r.h for r in balls.withColumn("h", F.xxhash64(F.lit(7), "level", "key", "ball")).collect()}
+    nodes = {(0, shards): {k: n for k, n in quotas if n}}
+    for level in range(levels):
+        below = {}
+        for (low, high), held in nodes.items():
+            if high - low == 1:
+                below[low, high] = held
+                continue
+            middle = (low + high) // 2
+            order = sorted((hashes[level, k, x] % 2**64, k, x) for k, n in held.items() for x in range(1, n + 1))
+            part = int(len(order) * (middle - low) / (high - low) + 0.5)
+            below[low, middle] = dict(Counter(k for _, k, _ in order[:part]))
+            below[middle, high] = dict(Counter(k for _, k, _ in order[part:]))
+        nodes = below
+    assert got == {(k, low): n for (low, _), held in nodes.items() for k, n in held.items()}
 
 
 def test_pseudonyms_go_back_and_keep_formats():
