@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kalends.functions.classes import EXACT_CLASSES
 from kalends.functions.months import months_between, release_lag, spine_of
-from kalends.session import cut
+from kalends.session import written
 
 MONTH = "^[0-9]{4}-(0[1-9]|1[0-2])$"
 
@@ -236,49 +236,103 @@ def registry_violations(definitions: DataFrame, category_count: int) -> DataFram
 
 
 def _settled(state: DataFrame, step) -> DataFrame:
-    """``state`` (node, label) after ``step`` changes nothing any more; every round is cut."""
+    """``state`` (node, label) after ``step`` changes nothing any more; every round is written."""
     sums = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("node", "label").cast("decimal(20,0)"))).first()
-    state, before, now = cut(state), None, None
+    state, before, now = written(state), None, None
     while before is None or before != now:
         before = sums(state) if now is None else now
-        state = cut(step(state))
+        state = written(step(state))
         now = sums(state)
     return state
 
 
-def _core(links: DataFrame) -> DataFrame:
-    """Links whose ends both have a link in and a link out: what is left when open chains are peeled off."""
-    live, size = cut(links), None
-    while (n := live.count()) != size:
-        size = n
-        kept = live.join(live.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-        live = cut(kept.join(live.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a", "b"))
-    return live
+def _steps(links: DataFrame) -> list[DataFrame]:
+    """Where nodes with one successor stand after 1, 2, 4, ... steps along such nodes: (node, to, low), ``low`` the least name passed.
+
+    After the last table every ``to`` has left those nodes or runs round a circle of them.
+    """
+    lone = links.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("to")).filter("n = 1")
+    steps = [written(lone.select(F.col("a").alias("node"), "to", F.col("a").alias("low")))]
+    for _ in range(steps[0].count().bit_length()):
+        now = steps[-1]
+        then = now.select(F.col("node").alias("to"), F.col("to").alias("later"), F.col("low").alias("low_later"))
+        steps.append(written(now.join(then, "to", "left").select("node", F.coalesce("later", "to").alias("to"), F.least("low", "low_later").alias("low"))))
+    return steps
+
+
+def _contracted(live: DataFrame, backwards: bool) -> tuple[DataFrame, DataFrame, tuple]:
+    """Links between the nodes with several successors (predecessors, ``backwards``), chains between them passed over in one link.
+
+    Also the classes of closed circles, (node, label), and what it takes to find the chains' own nodes again: where chains begin, and the steps.
+    """
+    view = live.select(F.col("b").alias("a"), F.col("a").alias("b")) if backwards else live
+    steps = _steps(view)
+    last, lone = steps[-1], steps[0].select("node")
+    circling = last.join(lone.select(F.col("node").alias("to")), "to", "left_semi").select(F.col("to").alias("node")).distinct()
+    circles = last.join(circling, "node").select("node", F.col("low").alias("label"))
+    forks = view.join(lone.select(F.col("node").alias("a")), "a", "left_anti").select("a", "b")
+    ended = forks.join(last.select(F.col("node").alias("b"), F.col("to").alias("end")), "b", "left").withColumn("on_chain", F.col("end").isNotNull())
+    ended = ended.withColumn("end", F.coalesce("end", "b")).join(forks.select(F.col("a").alias("end")).distinct(), "end", "left_semi")
+    ended = written(ended)
+    links = ended.select(F.col("end").alias("a"), F.col("a").alias("b")) if backwards else ended.select("a", F.col("end").alias("b"))
+    return written(links.distinct()), written(circles), (ended.filter("on_chain").select("a", "b", "end"), steps)
+
+
+def _on_chains(classes: DataFrame, begins: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """Nodes of the chains that lead from a class back into it, with its label: marks double their way along the steps."""
+    ends = classes.select(F.col("node").alias("end"), F.col("label").alias("end_label"))
+    marks = written(begins.join(classes.withColumnRenamed("node", "a"), "a").join(ends, "end").filter("label = end_label").select(F.col("b").alias("node"), "label").distinct())
+    if marks.isEmpty():
+        return marks
+    lone = steps[0].select("node")
+    for step in steps:
+        ahead = marks.join(step, "node").select(F.col("to").alias("node"), "label").join(lone, "node", "left_semi")
+        marks = written(marks.unionByName(ahead).distinct())
+    return marks
+
+
+def _classes_of_forks(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One class for each name, as (node, label), and the links without their nodes.
+
+    Each node takes the smallest name that reaches it; going back from the nodes that kept their own name, among those of its name,
+    finds one strongly connected class per name.
+    """
+    ahead = lambda s: s.unionByName(links.join(s, links["a"] == s["node"]).select(F.col("b").alias("node"), "label")).groupBy("node").agg(F.min("label").alias("label"))
+    named = _settled(links.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), ahead)
+    own = named.select(F.col("node").alias("a"), F.col("label"))
+    inner = written(links.join(own, "a").join(named.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b").filter("label = label_b").select("a", "b"))
+    back = lambda s: s.unionByName(inner.join(s, inner["b"] == s["node"]).select(F.col("a").alias("node"), "label")).distinct()
+    members = _settled(named.filter("node = label"), back)
+    loops = links.filter("a = b").select(F.col("a").alias("node")).withColumn("loops", F.lit(True))
+    classes = members.join(loops, "node", "left").groupBy("label").agg(F.count("*").alias("n"), F.max("loops").alias("loops")).filter("n > 1 or loops")
+    gone = members.select("node")
+    left = links.join(gone, links["a"] == gone["node"], "left_anti").join(gone, F.col("b") == gone["node"], "left_anti")
+    return written(members.join(classes.select("label"), "label").select("node", "label")), written(left)
 
 
 def fallback_cycles(definitions: DataFrame) -> DataFrame:
     """Series on a fallback cycle.
 
-    In the core of the links, each series takes the smallest name that reaches it; going back from the series that kept its own name,
-    among those of its name, finds one strongly connected class per name. Classes leave and the rest is peeled again.
-    Tables never exceed the links; rounds are bounded by the core's diameter.
+    Chains of series with one fallback, then of series that are one fallback, are passed over by doubling steps: circles close, open ends
+    drop off, and only series with several links each way are left, for which names are passed on link by link. Rounds grow with the
+    logarithm of the longest chain; on what is left after that, with its diameter. Tables never exceed the links. Missing names are no series.
     """
-    live = _core(definitions.select(F.col("series_id").alias("a"), F.explode("fallback_series").alias("b")).distinct())
-    found = live.select(F.col("a").alias("series_id")).limit(0)
-    while not live.isEmpty():
-        links = live
-        ahead = lambda s: s.unionByName(links.join(s, links["a"] == s["node"]).select(F.col("b").alias("node"), "label")).groupBy("node").agg(F.min("label").alias("label"))
-        named = _settled(links.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), ahead)
-        own = named.select(F.col("node").alias("a"), F.col("label"))
-        inner = cut(links.join(own, "a").join(named.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b").filter("label = label_b").select("a", "b"))
-        back = lambda s: s.unionByName(inner.join(s, inner["b"] == s["node"]).select(F.col("a").alias("node"), "label")).distinct()
-        members = _settled(named.filter("node = label"), back)
-        loops = links.filter("a = b").select(F.col("a").alias("node")).withColumn("loops", F.lit(True))
-        classes = members.join(loops, "node", "left").groupBy("label").agg(F.count("*").alias("n"), F.max("loops").alias("loops"))
-        found = found.unionByName(members.join(classes.filter("n > 1 or loops"), "label").select(F.col("node").alias("series_id")))
-        gone = members.select("node")
-        live = _core(links.join(gone, links["a"] == gone["node"], "left_anti").join(gone, F.col("b") == gone["node"], "left_anti"))
-    return found
+    live = written(definitions.select(F.col("series_id").alias("a"), F.explode("fallback_series").alias("b")).filter("a is not null and b is not null").distinct())
+    found, chains = live.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0), []
+    size, still, backwards = live.count(), 0, False
+    while size:
+        live, closed, chain = _contracted(live, backwards)
+        found, backwards = found.unionByName(closed), not backwards
+        chains.append(chain)
+        left = live.count()
+        still, size = still + 1 if left == size else 0, left
+        if size and still == 2:
+            members, live = _classes_of_forks(live)
+            found, size, still = found.unionByName(members), live.count(), 0
+    found = written(found)
+    for begins, steps in reversed(chains):
+        found = written(found.unionByName(_on_chains(found, begins, steps)))
+    return found.select(F.col("node").alias("series_id"))
 
 
 def mapping_violations(mapping: DataFrame, source_codes: DataFrame, targets: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,3 +38,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder so that later branches reread it instead of computing it again."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """As ``cut``, for loops: a table in the shared folder, whose size is that of its files.
+
+    A checkpoint keeps the size that was guessed for its plan, and guesses for joins multiply from round to round.
+    """
+    path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,7 @@
 """Pipelines stop at bad tables, incomplete months stay visible, texts fold whatever their range."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +115,37 @@ def test_cycles_between_cycles_are_told_apart(spark):
     assert checks.fallback_cycles(df.limit(0)).count() == 0
 
 
+def on_cycles(links):
+    """Brute force: nodes that reach themselves."""
+    def reached(start):
+        seen, todo = set(), list(links.get(start, ()))
+        while todo:
+            if (x := todo.pop()) not in seen:
+                seen.add(x)
+                todo += links.get(x, ())
+        return seen
+    return sorted(x for x in links if x in reached(x))
+
+
+@pytest.mark.parametrize("seed", (0, 3))
+def test_cycles_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    n = 40
+    links = {f"s{k}": sorted({f"s{rng.randrange(n + 5)}" for _ in range(rng.choice((0, 1, 1, 1, 2, 3) if seed < 3 else (2, 3)))}) for k in range(n)}
+    df = spark.createDataFrame(list(links.items()), "series_id string, fallback_series array<string>")
+    assert sorted(r.series_id for r in checks.fallback_cycles(df).collect()) == on_cycles(links)
+
+
+def test_long_cycle_takes_few_rounds(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(checks, "written", lambda df, kept=checks.written: calls.append(1) or kept(df))
+    n = 1000
+    links = {f"s{k}": [f"s{(k + 1) % n}"] for k in range(n)} | {f"t{k}": [f"t{k + 1}"] for k in range(n)}  # a circle and an open chain
+    df = spark.createDataFrame(list(links.items()), "series_id string, fallback_series array<string>")
+    assert sorted(r.series_id for r in checks.fallback_cycles(df).collect()) == sorted(f"s{k}" for k in range(n))
+    assert len(calls) <= 25
+
+
 def test_overlaps_name_their_partner(spark):
     spans = spark.createDataFrame([("A", "X", "2020-01", "2020-12"), ("A", "Y", "2020-02", "2020-03"), ("A", "Z", "2020-06", "")], "economy string, currency string, effective_from string, effective_to string")
     assert [(r.currency, r.earlier_currency) for r in checks.interval_overlaps(spans).orderBy("currency").collect()] == [("Y", "X"), ("Z", "X")]
