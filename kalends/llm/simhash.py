@@ -17,6 +17,8 @@ from kalends.llm.components import component_labels
 
 SEED, STEP = 42, 1 << 16
 MOST_HASHES = 1 << 21  # of the shingle sets of one chunk of a shard
+PIVOTS = 64  # members of a crowded shard that every chunk of it meets, on average
+SPAN = 3  # width of a band of sizes, in powers of 1 / least
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -206,19 +208,81 @@ def _exact_links(shards: DataFrame, texts: DataFrame, shingle: int, radius: int,
     """Links of nodes whose shingle sets have a Jaccard similarity of ``least`` or more, among the pairs that a shard's tree finds.
 
     ``shards`` has ``(t, key, fp, node, n)`` and further fingerprint words, ``texts`` rows ``(node, text)``. Sets are made only for
-    members of shards of two or more; a shard of over ``most`` members or ``MOST_HASHES`` hashes is dealt into chunks.
+    members of shards of two or more. A shard of over ``most`` members or ``MOST_HASHES`` hashes is crowded: its members are parted
+    by size (``_sized``) and dealt into chunks. First each chunk is searched by itself, together with a few pivots that all
+    chunks of a shard meet, so that near copies find one class whatever their number. Then members outside a shard's largest class
+    meet all others (``_rest``): pairs within that class need no look. Rows grow with the members, and with members times those
+    outside the largest class over ``most``.
     """
     more = tuple(c for c in shards.columns if c not in ("t", "key", "fp", "node", "n"))
     shards = stored(shards, "shards")
-    several = shards.groupBy("t", "key").agg(F.count("*").alias("count"), F.sum("n").alias("n")).where("count > 1")
-    several = stored(several.select("t", "key", F.ceil(F.greatest(F.col("count") / most, F.col("n") / MOST_HASHES)).cast("int").alias("chunks")), "several")
-    dealt = stored(shards.drop("n").join(several, ["t", "key"]), "shards")
+    dealt = stored(shards.join(_chunked(shards, most), ["t", "key"]), "shards")
+    crowded = dealt.where("chunks > 1").drop("chunks", "count")
+    some = bool(crowded.take(1))
+    if some:
+        crowded = stored(_sized(crowded, least), "crowded")
+        crowded = stored(crowded.join(_chunked(crowded, most), ["t", "key"]), "crowded")
+        dealt = dealt.where("chunks = 1").unionByName(crowded)
     nodes = stored(dealt.select("node").distinct(), "nodes")
     # copies of a text are put together before the shuffle
     sets = texts.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     sets = stored(sets.select("node", _shingle_set(shingle)(F.col("text")).alias("set")), "sets")
-    rows = _tree_rows(dealt.join(sets, "node"), "node")
-    return rows.mapInArrow(_tree_links(radius, more, limit, Fraction(str(least))), "a binary, b binary")
+
+    def solved(rows: DataFrame) -> DataFrame:
+        rows = rows.drop("n", "chunks", "count").join(sets, "node")
+        rows = rows.repartition(shuffle_width(rows.sparkSession), "t", "key", "low", "high").sortWithinPartitions("t", "key", "low", "high", "side", "node")
+        rows = rows.select("t", "key", "low", "high", "side", "fp", *more, "node", "set")
+        return rows.mapInArrow(_tree_links(radius, more, limit, Fraction(str(least))), "a binary, b binary")
+
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    pivot = F.pmod(F.xxhash64("node", F.lit(1)), F.col("count")) < PIVOTS
+    chunk = F.when(pivot, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))
+    links = solved(dealt.withColumn("low", F.explode(chunk)).withColumn("high", F.col("low")).withColumn("side", F.lit(0)))
+    if not some:
+        return links
+    labels = stored(component_labels(stored(links, "links")), "labels")
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(solved(_rest(crowded.where("chunks > 1"), labels, most)))
+
+
+def _chunked(shards: DataFrame, most: int) -> DataFrame:
+    """Shards of two or more members, with their ``count`` and the number of ``chunks`` that hold them."""
+    several = shards.groupBy("t", "key").agg(F.count("*").alias("count"), F.sum("n").alias("n")).where("count > 1")
+    return stored(several.select("t", "key", "count", _chunks(F.col("count"), F.col("n"), most).alias("chunks")), "several")
+
+
+def _chunks(count, n, most: int):
+    return F.ceil(F.greatest(count / most, n / MOST_HASHES)).cast("int")
+
+
+def _sized(shards: DataFrame, least: float) -> DataFrame:
+    """Shards parted by set size into bands, ``t``, that overlap: sets whose sizes allow a similarity of ``least`` share one.
+
+    With x the logarithm of the size to the base ``1 / least``, such sets differ by 1 at most in x. Band k holds x from ``k * SPAN``
+    to ``(k + 1) * SPAN + 1``.
+    """
+    x = F.log("n") / -np.log(least)
+    band = F.floor(x / SPAN).cast("int")
+    return shards.withColumn("t", F.explode(F.when(x - band * SPAN <= 1 + 1e-6, F.array(band, band - 1)).otherwise(F.array(band))))
+
+
+def _rest(crowded: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """Pairs of chunks in which members outside a shard's largest class meet all of its members.
+
+    The class's members are dealt into chunks from 0, the others into those that follow.
+    """
+    rows = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = stored(rows.groupBy("t", "key", "label").agg(F.count("*").alias("c"), F.sum("n").alias("h")), "sizes")
+    bulk = F.max_by("label", F.struct("c", "label")).alias("bulk")
+    shards = sizes.groupBy("t", "key").agg(bulk, F.max("c").alias("c"), F.max_by("h", F.struct("c", "label")).alias("h"), F.sum("c").alias("all_c"), F.sum("h").alias("all_h"))
+    others = _chunks(F.col("all_c") - F.col("c"), F.col("all_h") - F.col("h"), most)
+    shards = shards.where("all_c > c").select("t", "key", "bulk", _chunks(F.col("c"), F.col("h"), most).alias("first"), others.alias("others"))
+    rows = rows.join(shards, ["t", "key"])
+    inside, last = F.col("label") == F.col("bulk"), F.col("first") + F.col("others") - 1
+    place = F.xxhash64("node")
+    rows = rows.withColumn("chunk", F.when(inside, F.pmod(place, "first")).otherwise(F.col("first") + F.pmod(place, "others")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.when(inside, F.col("first")).otherwise(0), last)))
+    rows = rows.withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
+    return rows.withColumn("side", (F.col("chunk") > F.col("other")).cast("int")).drop("label", "bulk", "first", "others", "chunk", "other")
 
 
 def _tree_rows(dealt: DataFrame, node: str) -> DataFrame:

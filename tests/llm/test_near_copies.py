@@ -74,3 +74,21 @@ def test_texts_of_one_filler_stay_apart(spark):
     rows.append((9, rows[2][1].replace(" ", "\n")))
     kept = corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()
     assert sorted(r.doc_id for r in kept) == [0, 1, 2, 3, 4, 5]
+
+
+def test_crowded_shards_equal_brute_force(spark):
+    """One shared passage, a large class of near copies, texts just beside it and texts of other sizes in the same shards."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    line = [f"notice{k}" for k in range(12)]
+    copied = [word() for _ in range(60)]
+    rows = [(k, " ".join([*line, *copied, f"own{k}"])) for k in range(0, 80, 2)]
+    rows += [(k, " ".join([*line, *copied[: 60 - k // 4], *(word() for _ in range(k // 4))])) for k in range(1, 80, 2)]
+    rows += [(100 + k, " ".join([*line, *(word() for _ in range(2 + 7 * k % 90))])) for k in range(60)]
+    pairs = [[*line, *(word() for _ in range(30))] for _ in range(10)]
+    rows += [(200 + 2 * k, " ".join(p)) for k, p in enumerate(pairs)] + [(201 + 2 * k, " ".join([*p, "end"])) for k, p in enumerate(pairs)]
+    rows += [(300 + k, t) for k, (_, t) in enumerate(rows[:5])]
+    want = brute(rows)
+    got = simhash.near_duplicates(table(spark, rows), shingle=5, radius=26, sketch=4, wide=3, limit=76, least=0.8, most=16).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(set(want.values())) < len(rows) - 60
