@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     text has only four or five shingles; ``limit`` is over four deviations above either, and so is 26 for the first 64 bits, which the
     trees search. The one with the smallest id stays; of rows that repeat it, one; of a group without ids, one.
     """
-    return simhash.representatives(docs, shingle=5, radius=26, sketch=4, wide=3, limit=76, least=0.8, others=COLUMNS[1:]).select(*COLUMNS)
+    return simhash.representatives(docs, shingle=5, radius=26, sketch=4, wide=3, limit=76, least=0.8, most=1024, others=COLUMNS[1:]).select(*COLUMNS)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
