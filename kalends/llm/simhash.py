@@ -225,7 +225,7 @@ def _exact_links(shards: DataFrame, texts: DataFrame, shingle: int, radius: int,
         dealt = dealt.where("chunks = 1").unionByName(crowded)
     nodes = stored(dealt.select("node").distinct(), "nodes")
     # copies of a text are put together before the shuffle
-    sets = texts.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    sets = texts.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi")
     sets = stored(sets.select("node", _shingle_set(shingle)(F.col("text")).alias("set")), "sets")
 
     def solved(rows: DataFrame) -> DataFrame:
