@@ -8,6 +8,7 @@ from kalends.catalog import base, query
 from kalends.catalog.base import sql
 from kalends.catalog.functions import normalized_sql, text_sql
 from kalends.functions.classes import SOURCE_FAMILIES
+from kalends.functions.text import unescape_closed
 from kalends.plans import audit
 from kalends.session import cut
 from kalends.sources.tables import table
@@ -43,7 +44,7 @@ _MISSING = "list_filter(CASE spec " + " ".join(
     FROM (SELECT *, {_MISSING} AS missing FROM (SELECT page_id AS doc_id, regexp_extract(url, '/([a-z][a-z])/', 1) AS spec, {_VISIBLE} AS shown FROM pages))""")
 def marker_audit(spark, sf_dir):
     docs = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.regexp_extract("url", "/([a-z][a-z])/", 1).alias("spec"), F.col("html").alias("body"))
-    return audit.marker_audit(docs, spark.createDataFrame(MARKERS, "spec string, marker string"))
+    return audit.marker_audit(docs, spark.createDataFrame(MARKERS, "spec string, marker string"), unescape_closed)
 
 
 _STATUS = ("ACCESS_BLOCKED", "CONTENT_VALIDATION_FAILED", "ACQUIRED_DISCOVERY_EVIDENCE", "ACQUIRED_DOCUMENTATION_EVIDENCE", "ACQUIRED_DATASET", "FAILED")

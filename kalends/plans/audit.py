@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kalends.functions.classes import SOURCE_FAMILIES, source_family
-from kalends.functions.text import normalize_name, searchable_text
+from kalends.functions.text import normalize_name, searchable_text, unescape
 
 PROBE_FAMILIES = SOURCE_FAMILIES[:8]
 CORE_FAMILIES = SOURCE_FAMILIES[:6]
@@ -37,14 +37,14 @@ def content_signature(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.when(reason == "", "PASS").otherwise("FAIL").alias("status"), reason.alias("reason"))
 
 
-def marker_audit(docs: DataFrame, markers: DataFrame) -> DataFrame:
+def marker_audit(docs: DataFrame, markers: DataFrame, read: Callable[[Column], Column] = unescape) -> DataFrame:
     """Whether every required marker of a document's specification occurs in its normalised visible text.
 
     ``docs``: doc_id, spec, body; ``markers``: spec, marker. Markers are gathered per specification, so each text
-    is normalised once and never repeated per marker.
+    is normalised once and never repeated per marker. ``read`` reads character references.
     """
     wanted = markers.groupBy("spec").agg(F.array_sort(F.collect_set(normalize_name(F.col("marker")))).alias("wanted"))
-    rows = docs.join(wanted, "spec", "left").withColumn("text", normalize_name(searchable_text(F.col("body"))))
+    rows = docs.join(wanted, "spec", "left").withColumn("text", normalize_name(searchable_text(F.col("body"), read)))
     none = F.coalesce(F.size("wanted"), F.lit(0)) <= 0
     missing = F.filter("wanted", lambda m: ~F.contains(F.col("text"), m))
     return rows.select("doc_id", F.coalesce("spec", F.lit("")).alias("spec"), F.when(none | (F.col("text") == ""), "").otherwise(F.array_join(missing, "|")).alias("missing_markers"),
