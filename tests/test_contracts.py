@@ -100,6 +100,22 @@ def test_separation_needs_one_universe_basis_and_convention(spark):
         run(whole, price_basis=F.lit("COMMON_CURRENCY_RELATIVE"))
 
 
+def test_separation_keeps_months_with_holes_of_a_given_universe(spark):
+    schema = "economy string, category string, period string, weight double, price_relative double"
+    cells = [("A", "x", "2020-01", 0.75, 100.0), ("B", "x", "2020-01", 0.25, 100.0), ("A", "x", "2020-02", 0.75, 120.0)]
+    universe = spark.createDataFrame([("A", "x", 0.75), ("B", "x", 0.25)], "economy string, category string, weight double")
+    held = spark.createDataFrame([(e, "EUR", "2020-01", "") for e in "AB"], "economy string, currency string, effective_from string, effective_to string")
+    fx = spark.createDataFrame([], "currency string, period string, rate double, redenomination double")
+    run = lambda rows, u=universe: index.fx_separation(spark.createDataFrame(rows, schema), held, fx, "2020-01", u)["index"].collect()
+    got = {r.period: (r.status, r.local_index, r.common_index, r.missing_weight) for r in run(cells)}
+    assert got == {"2020-01": ("COMPLETE", 100.0, 100.0, 0.0), "2020-02": ("INCOMPLETE_FX", 90.0, None, 0.25)}
+    for rows, reason in (([*cells, cells[0]], "repeated cells"), ([*cells, ("C", "x", "2020-02", 0.1, 1.0)], "cells without a weight"), ([*cells[:2], (*cells[2][:3], 0.7, 1.0)], "weights that change")):
+        with pytest.raises(Exception, match=reason):
+            run(rows)
+    with pytest.raises(Exception, match="sum up to 1"):
+        run(cells[:1], universe.limit(1))
+
+
 def test_a_partial_last_month_has_no_value(spark):
     rows = [("I", p, "E", c, 0.5, v, "P1_OFFICIAL_CATEGORY") for p, c, v in (("2020-01", "x", 100.0), ("2020-01", "y", 100.0), ("2020-02", "x", 110.0), ("2020-02", "y", None))]
     grid = spark.createDataFrame(rows, "index_id string, period string, economy string, category string, weight double, price_relative double, evidence_class string")

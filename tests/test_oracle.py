@@ -77,3 +77,14 @@ def test_pages_cut_inside_a_reference_agree_with_sql(spark, tmp_path):
         df = QUERIES[name](spark, str(tmp_path))
         cursor = con.execute(ORACLES[name])
         assert Counter(rows_of(df.columns, df.collect())) == Counter(rows_of([d[0] for d in cursor.description], cursor.fetchall())), name
+
+
+@pytest.mark.parametrize("name", ("fx_separation", "fx_coverage"))
+def test_months_with_holes_are_separated_too(spark, cons, name):
+    df = QUERIES[name](spark, SF_DIR)
+    cursor = cons[SF_DIR].execute(ORACLES[name])
+    columns = [d[0] for d in cursor.description]
+    got = rows_of(df.columns, df.collect())
+    assert Counter(got) == Counter(rows_of(columns, cursor.fetchall()))
+    months = cons[SF_DIR].execute("SELECT count(DISTINCT strftime(l_shipdate, '%Y-%m')) FROM lineitem").fetchone()[0]
+    assert len({row[sorted(columns).index("period")] for row in got}) == months
