@@ -172,8 +172,9 @@ def dedupe_ranked_rows(spark, sf_dir):
     JOIN (SELECT canonical, string_agg(source_category, '|' ORDER BY source_category) AS required FROM {BRIDGE_SQL} GROUP BY 1) USING (canonical)""")
 def bridge_components(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("component"))
-    rows = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("economy"), "component", F.col("l_extendedprice").cast(MONEY).alias("value"))
-    found = ingest.bridge_components(rows, bridge(spark).select(F.col("source_category").alias("component"), F.col("canonical").alias("category")))
+    lines = table(spark, sf_dir, "lineitem")
+    rows = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("economy"), "component", F.col("l_extendedprice").cast(MONEY).alias("value"))
+    found = ingest.bridge_components(rows, bridge(spark).select(F.col("source_category").alias("component"), F.col("canonical").alias("category")), lines.count())
     return found.withColumn("value", F.col("value").cast("double"))
 
 
