@@ -125,7 +125,7 @@ def common_cases(spark, sf_dir):
     UNION ALL SELECT *, 'RIGHT_ONLY' FROM (SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'N' EXCEPT ALL SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'A')""")
 def sample_difference(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return sets.sample_difference(lines.filter("l_returnflag = 'A'"), lines.filter("l_returnflag = 'N'"), ["l_partkey", "l_suppkey"])
+    return sets.sample_difference(lines.filter("l_returnflag = 'A'"), lines.filter("l_returnflag = 'N'"), ["l_partkey", "l_suppkey"], lines.count())
 
 
 @query("stack_indices", sql(f"""

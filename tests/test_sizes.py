@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from kalends import session
+from kalends.operators import sets
 from kalends.sources import ingest
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,7 +24,7 @@ def plan_of(df):
 
 
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are absent")
-@pytest.mark.parametrize("name,keys", (("bridge_components", 1), ("release_lag", 2)))
+@pytest.mark.parametrize("name,keys", (("bridge_components", 1), ("release_lag", 2), ("sample_difference", 1)))
 def test_wide_steps_are_dealt_by_rows(spark, monkeypatch, name, keys):
     queries = entry_module.queries()
     before = Counter(queries[name](spark, SF_DIR).collect())
@@ -53,3 +54,15 @@ def test_bridge_of_many_components_equals_brute_force(spark):
         assert {(r.economy, r.category): r.reason for r in found} == want
         assert all(r.present == "|".join(sorted(groups[r.economy, r.category])) and r.required == "|".join(sorted(required[r.category])) for r in found)
         assert {(r.economy, r.category): r.value for r in found}["whole", "wide"] == 130.0
+
+
+def test_sample_difference_counts_repeated_rows_and_nulls(spark):
+    rng = random.Random(7)
+    make = lambda n: [(rng.choice((1, 2, 3, None)), rng.choice(("a", None))) for _ in range(n)]
+    left, right = make(60), make(45)
+    a, b = (spark.createDataFrame(rows, "k int, v string") for rows in (left, right))
+    want = Counter((*r, "LEFT_ONLY") for r in (Counter(left) - Counter(right)).elements()) + Counter((*r, "RIGHT_ONLY") for r in (Counter(right) - Counter(left)).elements())
+    for rows in (None, 105):
+        df = sets.sample_difference(a, b, ["k", "v"], rows)
+        assert plan_of(df).count("Exchange hashpartitioning") == 1  # one grouping for both ways
+        assert Counter(tuple(r) for r in df.collect()) == want
