@@ -24,7 +24,7 @@ def plan_of(df):
 
 
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are absent")
-@pytest.mark.parametrize("name,keys", (("bridge_components", 1), ("release_lag", 2), ("sample_difference", 1)))
+@pytest.mark.parametrize("name,keys", (("bridge_components", 1), ("release_lag", 2), ("sample_difference", 1), ("select_best_price", 2), ("rejected_candidates", 2)))
 def test_wide_steps_are_dealt_by_rows(spark, monkeypatch, name, keys):
     queries = entry_module.queries()
     before = Counter(queries[name](spark, SF_DIR).collect())
