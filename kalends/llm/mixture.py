@@ -28,6 +28,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> D
     full = F.col("source_size") * most
     scarce = (F.col("source_size") / F.col("weight"), F.col("key"))
     table = ranked(table, scarce, "place_", RANGES, full_upto=full, weight_upto=F.col("weight")).drop("place_")
+    table = stored(table, "sources")
     sums = table.agg(F.struct(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))).scalar()
     left = F.col("sums_.weight") - (F.col("weight_upto") - F.col("weight"))
     table = table.withColumn("sums_", sums).withColumn("level", (F.col("sums_.size") - (F.col("full_upto") - full)) / left)
@@ -48,7 +49,7 @@ def split(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     ``quotas`` has ``key`` and ``n``, the blocks of a source. A node of the tree holds how many blocks of each source it has and hands
     a random part of them, as large as its left shards' share, to its left child: the blocks with the smallest hashes. That is one
     multivariate hypergeometric draw, since blocks count by source only. Which hashes are small enough is found by
-    counting them in ``2 ** CELL_BITS`` cells of each node; only the one cell in which the part ends is ordered. Shards differ by at
+    counting them in ``2 ** CELL_BITS`` cells of each node; hashes are ordered within a cell only. Shards differ by at
     most one block for each level. Returns ``key``, ``shard`` and ``n`` above zero; an empty table gives an empty result.
     """
     nodes = quotas.where("n > 0").select("key", F.lit(0).alias("low"), F.lit(shards).alias("high"), F.col("n").cast("long").alias("n"))
@@ -64,12 +65,10 @@ def split(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
         part = F.round(F.sum("held").over(within) * (middle - F.col("low")) / (F.col("high") - F.col("low"))).cast("long")
         upto = F.sum("held").over(within.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
         room = F.least(F.col("held"), F.greatest(F.lit(0).cast("long"), F.col("part") - (F.col("upto") - F.col("held"))))
-        cells = cells.withColumns({"part": part, "upto": upto}).withColumn("room", room).where("room > 0").select("low", "cell", "held", "room")
-        chosen = balls.join(cells, ["low", "cell"])
+        cells = cells.withColumns({"part": part, "upto": upto}).select("low", "cell", room.alias("room"))
         rank = F.row_number().over(Window.partitionBy("low", "cell").orderBy("h", "key", "ball"))
-        edge = chosen.where("room < held").withColumn("rank", rank).where("rank <= room").drop("rank")
-        left = chosen.where("room = held").unionByName(edge).groupBy("key", "low").agg(F.count("*").alias("goes_left"))
-        parted = inner.join(left, ["key", "low"], "left").withColumn("goes_left", F.coalesce("goes_left", F.lit(0).cast("long")))
+        drawn = balls.join(cells, ["low", "cell"]).withColumn("rank", rank)
+        parted = drawn.groupBy("key", "low", "high").agg(F.count("*").alias("n"), F.count_if(F.col("rank") <= F.col("room")).alias("goes_left"))
         sides = F.array(
             F.struct(F.col("low"), middle.alias("high"), F.col("goes_left").alias("n")),
             F.struct(middle.alias("low"), F.col("high"), (F.col("n") - F.col("goes_left")).alias("n")),
@@ -91,7 +90,8 @@ def plan(
     the splitting tree and drawn from the permuted order: shards get disjoint blocks. Reruns agree.
 
     Returns for every row of ``docs``: ``doc_id``, ``others``, ``size`` (words; null has none), ``source_size``, ``target``
-    and ``takes``, an array of (copy, shard, words). Sums are pre-aggregated; windows run over cells of a node, over blocks of a
+    and ``takes``, an array of (copy, shard, words). Each step's small table is written, so the driver, which plans a query anew
+    after each of its shuffles, never holds more than one step. Sums are pre-aggregated; windows run over cells of a node, over blocks of a
     source, or over the documents of one sub-block (one in ``4 ** bits`` of the source); a block has a shard only through the tree. Null sources are a source of their
     own, null ids and repeated rows count like any other; other columns are not read; an empty table gives an empty result.
     """
@@ -119,7 +119,7 @@ def plan(
     places = quotas.withColumn("upto", upto).select("key", "shard", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, "upto")).alias("place"))
     drawn = units.withColumn("place", rank.cast("long")).join(places, ["key", "place"]).groupBy("key", "block")
     drawn = drawn.agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("units"))  # most + 1 at most
-    blocks = blocks.join(drawn, ["key", "block"], "left")
+    blocks = stored(blocks.join(drawn, ["key", "block"], "left"), "blocks")
 
     # the plan has at most ``2 ** bits`` rows for each source; it is broadcast where that is little, so that documents stay where they are
     small = F.broadcast if blocks.count() <= BROADCAST_ROWS else (lambda df: df)
@@ -128,6 +128,7 @@ def plan(
     within = sizes.join(blocks.where(inside).select("key", "block", F.col("block_part").alias("rest")), ["key", "block"])
     subs = within.groupBy("key", "block", "sub", "rest").agg(F.sum("size").alias("sub_size"))
     subs = _filled(subs, ["key", "block"], F.col("sub"), "sub_size").select("key", "block", "sub", "sub_size", F.col("part").alias("sub_part"))
+    subs = stored(subs, "subs")
     rows = rows.join(small(subs), ["key", "block", "sub"], "left")
     divided = F.coalesce((F.col("sub_part") > 0) & (F.col("sub_part") < F.col("sub_size")), F.lit(False))
     whole = rows.where(~divided).withColumn("part", F.when(F.coalesce("sub_part", "block_part") > 0, F.col("size")).otherwise(0))
