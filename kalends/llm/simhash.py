@@ -19,6 +19,7 @@ SEED, STEP = 42, 1 << 16
 MOST_HASHES = 1 << 21  # of the shingle sets of one chunk of a shard
 PIVOTS = 64  # members of a crowded shard that every chunk of it meets, on average
 SPAN = 3  # width of a band of sizes, in powers of 1 / least
+MARKS = 1 << 26  # bits of the table that tells which rows have to be looked at
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -204,12 +205,34 @@ def _links(shards: DataFrame, radius: int, most: int) -> DataFrame:
     return _tree_rows(shards.join(large, ["t", "key"], "left"), "fp").mapInArrow(_tree_links(radius), "a long, b long")
 
 
-def _exact_links(shards: DataFrame, texts: DataFrame, shingle: int, radius: int, most: int, limit: int, least: float) -> DataFrame:
+def _row_key(id_col: str, text_col: str):
+    """128-bit digest of a row's id and text, both of which may be null."""
+    own, text = F.col(id_col).cast("string"), F.col(text_col)
+    lengths = (F.coalesce(F.octet_length(c), F.lit(-1)).cast("string") for c in (own, text))
+    return F.unhex(F.md5(F.concat_ws(" ", *lengths, own, text).cast("binary")))
+
+
+def _marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``marked``: true wherever ``row`` is among ``keys``, and by chance where it shares its bit with one of them.
+
+    The bits are a table of fixed size, which is broadcast, so rows stay where they are. Where it is crowded, more are marked.
+    """
+    place = F.pmod(F.xxhash64("row"), F.lit(MARKS))
+    cells = keys.select(F.bitmap_bucket_number(place).alias("cell"), F.bitmap_bit_position(place).alias("bit"))
+    cells = cells.repartition(shuffle_width(rows.sparkSession), "cell").groupBy("cell").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    found = rows.withColumn("cell", F.bitmap_bucket_number(place)).join(F.broadcast(cells), "cell", "left")
+    bit = F.bitmap_bit_position(place).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.coalesce(F.getbit(byte, bit.bitwiseAND(7)) == 1, F.lit(False))
+    return found.withColumn("marked", marked).drop("cell", "bits")
+
+
+def _exact_links(shards: DataFrame, base: DataFrame, texts: DataFrame, shingle: int, radius: int, most: int, limit: int, least: float) -> DataFrame:
     """Links of nodes whose shingle sets have a Jaccard similarity of ``least`` or more, among the pairs that a shard's tree finds.
 
-    ``shards`` has ``(t, key, fp, node, n)`` and further fingerprint words, ``texts`` rows ``(node, text)``. Sets are made only for
-    members of shards of two or more. A shard of over ``most`` members or ``MOST_HASHES`` hashes is crowded: its members are parted
-    by size (``_sized``) and dealt into chunks. First each chunk is searched by itself, together with a few pivots that all
+    ``shards`` has ``(t, key, fp, node, n)`` and further fingerprint words, ``base`` rows ``(node, row)``, ``texts`` rows ``(row, text)``. Sets
+    are made only for members of shards of two or more, of one row each, where the texts are; no text is shuffled. A shard of
+    over ``most`` members or ``MOST_HASHES`` hashes is crowded: its members are parted by size (``_sized``) and dealt into chunks. First each chunk is searched by itself, together with a few pivots that all
     chunks of a shard meet, so that near copies find one class whatever their number. Then members outside a shard's largest class
     meet all others (``_rest``): pairs within that class need no look. Rows grow with the members, and with members times those
     outside the largest class over ``most``.
@@ -223,13 +246,13 @@ def _exact_links(shards: DataFrame, texts: DataFrame, shingle: int, radius: int,
         crowded = stored(_sized(crowded, least), "crowded")
         crowded = stored(crowded.join(_chunked(crowded, most), ["t", "key"]), "crowded")
         dealt = dealt.where("chunks = 1").unionByName(crowded)
-    nodes = stored(dealt.select("node").distinct(), "nodes")
-    # copies of a text are put together before the shuffle
-    sets = texts.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi")
-    sets = stored(sets.select("node", _shingle_set(shingle)(F.col("text")).alias("set")), "sets")
+    nodes = stored(dealt.select("node").distinct().join(base.groupBy("node").agg(F.min("row").alias("row")), "node"), "nodes")
 
-    def solved(rows: DataFrame) -> DataFrame:
-        rows = rows.drop("n", "chunks", "count").join(sets, "node")
+    def solved(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+        # rows that repeat a text and its id are put together before the shuffle, which serves the join too
+        found = _marked(texts, nodes.select("row")).where("marked").select("row", _shingle_set(shingle)(F.col("text")).alias("set"))
+        sets = found.groupBy("row").agg(F.first("set").alias("set"))
+        rows = rows.drop("n", "chunks", "count").join(nodes, "node").join(sets, "row")
         rows = rows.repartition(shuffle_width(rows.sparkSession), "t", "key", "low", "high").sortWithinPartitions("t", "key", "low", "high", "side", "node")
         rows = rows.select("t", "key", "low", "high", "side", "fp", *more, "node", "set")
         return rows.mapInArrow(_tree_links(radius, more, limit, Fraction(str(least))), "a binary, b binary")
@@ -237,11 +260,13 @@ def _exact_links(shards: DataFrame, texts: DataFrame, shingle: int, radius: int,
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     pivot = F.pmod(F.xxhash64("node", F.lit(1)), F.col("count")) < PIVOTS
     chunk = F.when(pivot, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))
-    links = solved(dealt.withColumn("low", F.explode(chunk)).withColumn("high", F.col("low")).withColumn("side", F.lit(0)))
+    links = solved(dealt.withColumn("low", F.explode(chunk)).withColumn("high", F.col("low")).withColumn("side", F.lit(0)), nodes)
     if not some:
         return links
     labels = stored(component_labels(stored(links, "links")), "labels")
-    return labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(solved(_rest(crowded.where("chunks > 1"), labels, most)))
+    rest = stored(_rest(crowded.where("chunks > 1"), labels, most), "rest")
+    nodes = stored(nodes.join(rest.select("node").distinct(), "node", "left_semi"), "nodes")
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(solved(_met(rest), nodes))
 
 
 def _chunked(shards: DataFrame, most: int) -> DataFrame:
@@ -266,9 +291,9 @@ def _sized(shards: DataFrame, least: float) -> DataFrame:
 
 
 def _rest(crowded: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """Pairs of chunks in which members outside a shard's largest class meet all of its members.
+    """Shards with members outside their largest class, and the ``chunk`` of each member.
 
-    The class's members are dealt into chunks from 0, the others into those that follow.
+    The class's members are dealt into chunks from 0, the others into the ``others`` chunks that follow, from ``first``.
     """
     rows = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = stored(rows.groupBy("t", "key", "label").agg(F.count("*").alias("c"), F.sum("n").alias("h")), "sizes")
@@ -277,12 +302,17 @@ def _rest(crowded: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     others = _chunks(F.col("all_c") - F.col("c"), F.col("all_h") - F.col("h"), most)
     shards = shards.where("all_c > c").select("t", "key", "bulk", _chunks(F.col("c"), F.col("h"), most).alias("first"), others.alias("others"))
     rows = rows.join(shards, ["t", "key"])
-    inside, last = F.col("label") == F.col("bulk"), F.col("first") + F.col("others") - 1
-    place = F.xxhash64("node")
+    inside, place = F.col("label") == F.col("bulk"), F.xxhash64("node")
     rows = rows.withColumn("chunk", F.when(inside, F.pmod(place, "first")).otherwise(F.col("first") + F.pmod(place, "others")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.when(inside, F.col("first")).otherwise(0), last)))
+    return rows.drop("label", "bulk")
+
+
+def _met(rest: DataFrame) -> DataFrame:
+    """Pairs of chunks in which members outside a shard's largest class meet all of its members."""
+    least = F.when(F.col("chunk") < F.col("first"), F.col("first")).otherwise(0)
+    rows = rest.withColumn("other", F.explode(F.sequence(least, F.col("first") + F.col("others") - 1)))
     rows = rows.withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
-    return rows.withColumn("side", (F.col("chunk") > F.col("other")).cast("int")).drop("label", "bulk", "first", "others", "chunk", "other")
+    return rows.withColumn("side", (F.col("chunk") > F.col("other")).cast("int")).drop("first", "others", "chunk", "other")
 
 
 def _tree_rows(dealt: DataFrame, node: str) -> DataFrame:
@@ -299,24 +329,24 @@ def _tree_rows(dealt: DataFrame, node: str) -> DataFrame:
 
 def _classes(
     docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, sketch: int, most: int, others: tuple[str, ...], wide: int, limit: int, least: float,
+    rows: bool = False,
 ) -> tuple[DataFrame, DataFrame, str]:
     """Rows (doc_id, _others, fp), for each fingerprint its smallest id, its class's smallest id and its class's smallest linked fingerprint, and the
-    column that tells texts apart: ``fp``, or with a sketch the digest of the shingle set, ``node``, in place of the fingerprint."""
+    column that tells texts apart: ``fp``, or with a sketch the digest of the shingle set, ``node``, in place of the fingerprint. With a sketch, or with
+    ``rows``, they also have the key of their id and text, ``row``, by which ``docs`` is read again: texts are not stored a second time."""
     described = _described(shingle, sketch, wide)(F.col("text"))
     base = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(f"_{c}") for c in others), F.col(text_col).alias("text"))
-    kept, node = [f"_{c}" for c in others], "fp"
-    if sketch:
-        own = [] if text_col in others else ["text"]
-        base = stored(base.select("doc_id", *kept, *own, described.alias("d")).select("doc_id", *kept, *own, "d.fp", "d.low", "d.wide", "d.node", "d.n"), "prints")
-        texts, node = base.select("node", F.col(own[0] if own else f"_{text_col}").alias("text")), "node"
-    else:
-        base = base.select("doc_id", *kept, described.alias("d"))
-        base = stored(base.select("doc_id", *kept, "d.fp"), "prints")
+    kept, node = [f"_{c}" for c in others], "node" if sketch else "fp"
+    if sketch or rows:
+        base, kept = base.withColumn("row", _row_key("doc_id", "text")), [*kept, "row"]
+    base = base.select("doc_id", *kept, described.alias("d"))
+    base = stored(base.select("doc_id", *kept, *(("d.fp", "d.low", "d.wide", "d.node", "d.n") if sketch else ("d.fp",))), "prints")
     smallest = base.groupBy(node).agg(F.min("doc_id").alias("first_id"))
     if sketch:
         more = [F.get("wide", F.lit(k)).alias(f"w{k}") for k in range(wide)]
         shards = base.select(F.lit(0).alias("t"), F.explode("low").alias("key"), "fp", *more, "node", "n").distinct()
-        links = _exact_links(shards, texts, shingle, radius, most, limit, least)
+        texts = docs.select(_row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+        links = _exact_links(shards, base.select("node", "row"), texts, shingle, radius, most, limit, least)
     else:
         shards = smallest.select("fp", F.explode(_block_keys(radius, blocks)).alias("k")).select("k.t", "k.key", "fp")
         links = _links(shards, radius, most)
@@ -366,10 +396,14 @@ def representatives(
     """One document of each class of ``near_duplicates``: ``doc_id`` and ``others``.
 
     The row with the class's smallest id stays; of rows that repeat it one, of texts that share it that with the smallest
-    fingerprint (with a sketch, digest of its shingles), of a class without ids one row of the smallest. Rows are joined by it and id, so copies
-    of a text do not meet in one task.
+    fingerprint (with a sketch, digest of its shingles), of a class without ids one row of the smallest. The choice is made by ids and digests;
+    then ``docs`` is read again, and only rows that go or repeat one another (``_marked``) are shuffled. So ``docs`` must read the same each time.
     """
-    base, classes, node = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, others, wide, limit, least)
+    base, classes, node = _classes(docs, id_col, text_col, shingle, radius, blocks, sketch, most, (), wide, limit, least, rows=True)
     chosen = classes.where("first_id <=> component_id").groupBy("label", "first_id").agg(F.min(node).alias(node))
-    rows = base.join(chosen.select(node, "first_id"), (base[node] == chosen[node]) & base["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
-    return rows.dropDuplicates([node, "doc_id"]).select("doc_id", *(F.col(f"_{c}").alias(c) for c in others))
+    kept = base.join(chosen.select(node, "first_id"), (base[node] == chosen[node]) & base["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
+    kept = kept.groupBy(node, "doc_id").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("kept"))
+    held = stored(base.groupBy("row").agg(F.count("*").alias("count")).join(kept, "row", "left"), "held")
+    found = _marked(docs.select(_row_key(id_col, text_col).alias("row"), F.col(id_col).alias("doc_id"), *others), held.where("kept is null or count > 1"))
+    asked = found.where("marked").dropDuplicates(["row"]).join(held.where("kept"), "row", "left_semi")
+    return found.where("not marked").unionByName(asked).select("doc_id", *others)

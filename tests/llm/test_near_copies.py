@@ -2,6 +2,8 @@
 
 import random
 from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 
@@ -92,3 +94,18 @@ def test_crowded_shards_equal_brute_force(spark):
     got = simhash.near_duplicates(table(spark, rows), shingle=5, radius=26, sketch=4, wide=3, limit=76, least=0.8, most=16).collect()
     assert {r.doc_id: r.component_id for r in got} == want
     assert len(set(want.values())) < len(rows) - 60
+
+
+def test_texts_that_stay_are_neither_stored_nor_shuffled(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join(f"w{rng.randrange(10**9)}" for _ in range(4000))) for k in range(200)]
+    size = sum(len(t) for _, t in rows)
+    docs = table(spark, rows).localCheckpoint()
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    moved = lambda: sum(s.shuffleWriteBytes() for s in map(stages().apply, range(stages().size())))
+    stages = lambda: spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    held = lambda: sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+    before = held(), moved()
+    assert corpus_pipeline.near_duplicates(spark, docs, "").count() == len(rows)
+    assert held() - before[0] < size / 4
+    assert moved() - before[1] < size / 4
