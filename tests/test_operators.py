@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kalends.functions import months, text
+from kalends.functions.classes import EVIDENCE_CLASSES
 from kalends.operators import aggregates, checks, joins, ranks, windows
 from kalends.plans import index
 
@@ -152,3 +153,22 @@ def test_results_do_not_depend_on_row_order(spark):
     first = windows.select_best_price(spark.createDataFrame(rows, schema)).first()
     second = windows.select_best_price(spark.createDataFrame(rows[::-1], schema).repartition(7)).first()
     assert first == second and first.series_id == "S15" and first.candidate_count == 20
+
+
+def test_selection_lists_the_candidates_it_passed_over(spark):
+    rng = random.Random(13)
+    rows = [(f"S{s}", e, c, p, rng.random(), rng.choice((*EVIDENCE_CLASSES, EVIDENCE_CLASSES[0])), rng.choice((1, 2, 10)))
+            for s in range(30) for e in (*"ABC", None) for c in "xy" for p in ("2020-01", "2020-02") if rng.random() < 0.5]
+    rows.append(("only", "D", "x", "2020-01", 1.0, EVIDENCE_CLASSES[4], 3))
+    cells = {}
+    for row in rows:
+        cells.setdefault(row[1:4], []).append((row[5], row[6], row[0]))
+    want = {key: [series for *_, series in sorted(found)] for key, found in cells.items()}
+    df = spark.createDataFrame(rows, "series_id string, economy string, category string, period string, price_relative double, evidence_class string, source_priority int")
+    for size in ((), (len(rows),)):
+        best = windows.select_best_price(df, *size)
+        got = {(r.economy, r.category, r.period): r for r in best.collect()}
+        assert {key: [r.series_id, *filter(None, r.rejected_series_ids.split("|"))] for key, r in got.items()} == want
+        assert all(r.candidate_count == len(want[key]) for key, r in got.items())
+    assert got["D", "x", "2020-01"].rejected_series_ids == ""
+    assert max(map(len, want.values())) > 10 and "collect_list" not in best.drop("rejected_series_ids")._jdf.queryExecution().optimizedPlan().toString()
